@@ -3,39 +3,84 @@
 A plain ``row_number().over(Window.partitionBy(key).orderBy(...))`` sends every
 row of a key to one task.  When one key holds a third of the data (one
 declaration covering every county, one busy month in one state) that task runs
-alone.  These helpers split each group into contiguous *range buckets*:
-
-1. ``repartitionByRange(keys + order)`` cuts the global sort order into
-   ranges by sampled bounds, so a hot key lands in several buckets; the
-   bucket id is ``spark_partition_id()`` of that exchange.
-2. The scan runs per (key, bucket) with a window — bounded by bucket size.
-3. A per-(key, bucket) summary (counts, first/last non-null) is tiny: at most
-   ``n_buckets`` rows per key.  A window over it, partitioned by key, carries
-   offsets / fill values across buckets.
-4. The summary is joined back on (key, bucket); the big side is already
-   hash-partitioned on those columns by step 2, so only the summary moves.
-
-``skew_safe=False`` falls back to the single window (one shuffle fewer) for
-callers that know their groups are small.
+alone.  These helpers split each large group into contiguous *value buckets*:
+
+1. Per key, ``min``/``max``/``count`` of the first order column (encoded as a
+   monotone number) are aggregated (map-side combined, order-invariant).
+2. A key with ``count <= rows_per_bucket`` stays one bucket; a larger key is
+   cut into ``ceil(count / rows_per_bucket)`` equal-width value ranges.  The
+   bucket id is a pure function of the row and these aggregates, so every
+   recomputation (task retry, lost executor, a second branch of the plan)
+   assigns the same bucket — unlike ``spark_partition_id()`` after a sampled
+   range exchange, which can differ between two evaluations.
+3. ``repartition(keys + bucket)`` spreads a hot key over many tasks; the scan
+   runs per (key, bucket) with a window, bounded by the bucket size.
+4. A per-(key, bucket) summary (counts, first/last non-null) has one row per
+   key plus one per extra bucket; a window over it, partitioned by key,
+   carries offsets / fill values across buckets, and it is joined back.
+
+``skew_safe=False`` falls back to the single window (one shuffle) for callers
+that know their groups are small.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _B = "__bucket"
+ROWS_PER_BUCKET = 2_000_000
+MAX_BUCKETS = 4096
 
 
 def _order_cols(order: list[str | Column]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def _bucketed(df: DataFrame, keys: list[str], order: list[str | Column], n_buckets: int | None) -> DataFrame:
-    n = n_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *[F.col(k) for k in keys], *_order_cols(order)).withColumn(
-        _B, F.spark_partition_id()
+def _monotone_value(df: DataFrame, name: str) -> Column:
+    """A DOUBLE that never decreases as ``name`` increases (ascending order)."""
+    dt = df.schema[name].dataType
+    c = F.col(name)
+    if isinstance(dt, T.NumericType):
+        return c.cast("double")
+    if isinstance(dt, T.DateType):
+        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("double")
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(c.cast("timestamp")).cast("double")
+    if isinstance(dt, T.StringType):
+        # first 6 UTF-8 bytes as a 48-bit number: byte order == string order
+        return F.conv(F.rpad(F.hex(F.substring(c, 1, 6)), 12, "0"), 16, 10).cast("double")
+    return F.lit(0.0)
+
+
+def _bucketed(
+    df: DataFrame, keys: list[str], order: list[str | Column], rows_per_bucket: int | None
+) -> DataFrame:
+    rpb = rows_per_bucket or ROWS_PER_BUCKET
+    first = order[0] if order and isinstance(order[0], str) else None
+    v = _monotone_value(df, first) if first else F.lit(0.0)
+    t = df.withColumn("__v", v)
+    stats = t.groupBy(*keys).agg(
+        F.min("__v").alias("__vmin"), F.max("__v").alias("__vmax"), F.count(F.lit(1)).alias("__cnt")
+    )
+    stats = stats.withColumn(
+        "__nb", F.least(F.lit(MAX_BUCKETS).cast("long"), F.ceil(F.col("__cnt") / F.lit(float(rpb))).cast("long"))
+    )
+    t = join_null_safe(t, stats, keys)
+    span = F.col("__vmax") - F.col("__vmin")
+    bucket = (
+        F.when(F.col("__v").isNull(), F.lit(-1).cast("long"))
+        .when((F.col("__nb") <= 1) | (span <= 0), F.lit(0).cast("long"))
+        .otherwise(
+            F.least(
+                F.col("__nb") - 1,
+                F.floor((F.col("__v") - F.col("__vmin")) * F.col("__nb") / F.when(span > 0, span)).cast("long"),
+            )
+        )
     )
+    t = t.withColumn(_B, bucket).drop("__v", "__vmin", "__vmax", "__cnt", "__nb")
+    return t.repartition(*[F.col(k) for k in keys], F.col(_B))
 
 
 def number_within(
@@ -44,13 +89,13 @@ def number_within(
     order: list[str | Column],
     out: str = "rn",
     skew_safe: bool = True,
-    n_buckets: int | None = None,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """``row_number()`` within ``keys`` by ``order`` (1-based), hot keys split."""
     if not skew_safe:
         w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
         return df.withColumn(out, F.row_number().over(w))
-    t = _bucketed(df, keys, order, n_buckets)
+    t = _bucketed(df, keys, order, rows_per_bucket)
     local = t.withColumn("__lrn", F.row_number().over(Window.partitionBy(*keys, _B).orderBy(*_order_cols(order))))
     counts = t.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
@@ -69,7 +114,7 @@ def fill_within(
     col: str,
     direction: str = "updown",
     skew_safe: bool = True,
-    n_buckets: int | None = None,
+    rows_per_bucket: int | None = None,
 ) -> DataFrame:
     """Fill NULLs of ``col`` within ``keys`` in ``order``.
 
@@ -85,7 +130,7 @@ def fill_within(
         prv = F.last(col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
         return df.withColumn(col, _combine(F.col(col), nxt, prv, direction))
 
-    t = _bucketed(df, keys, order, n_buckets)
+    t = _bucketed(df, keys, order, rows_per_bucket)
     w = Window.partitionBy(*keys, _B).orderBy(*oc)
     local = t.withColumn("__nxt", F.first(col, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
     local = local.withColumn("__prv", F.last(col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))

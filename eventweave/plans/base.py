@@ -152,15 +152,25 @@ def star_casualties(spark, sf):
 
 
 def star_locations(spark, sf):
+    """Places of an order: its customer's state (county = market segment) and
+    every supplier state of its lines (county from the part)."""
+    s = states(spark, sf)
+    o = tbl(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    cu = tbl(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    home = o.join(cu, o["o_custkey"] == cu["c_custkey"]).join(s, F.col("c_nationkey") == s["n_nationkey"]).select(
+        F.col("o_orderkey").cast("string").alias("eventKey"),
+        F.col("abbr").alias("state"),
+        F.lower("c_mktsegment").alias("county"),
+    )
     li = tbl(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_partkey")
     su = tbl(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    s = states(spark, sf)
     j = li.join(su, li["l_suppkey"] == su["s_suppkey"]).join(s, F.col("s_nationkey") == s["n_nationkey"])
-    return j.select(
+    shipped = j.select(
         F.col("l_orderkey").cast("string").alias("eventKey"),
         F.col("abbr").alias("state"),
         F.expr("'c' || cast(l_partkey % 7 as string)").alias("county"),
-    ).distinct()
+    )
+    return home.unionByName(shipped).distinct()
 
 
 # ------------------------------------------------------------ SQL CTE twins
@@ -200,7 +210,10 @@ CTE = {
   SELECT cast(l_orderkey AS VARCHAR) AS eventKey, l_quantity AS nKilled, round(l_tax * 100) AS nWounded
   FROM lineitem WHERE l_linenumber = 1)""",
     "star_locations": """star_locations AS (
-  SELECT DISTINCT cast(l_orderkey AS VARCHAR) AS eventKey, s.abbr AS state, 'c' || cast(l_partkey % 7 AS VARCHAR) AS county
+  SELECT cast(o_orderkey AS VARCHAR) AS eventKey, s.abbr AS state, lower(c_mktsegment) AS county
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN states s ON c_nationkey = s.n_nationkey
+  UNION
+  SELECT cast(l_orderkey AS VARCHAR) AS eventKey, s.abbr AS state, 'c' || cast(l_partkey % 7 AS VARCHAR) AS county
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN states s ON s_nationkey = s.n_nationkey)""",
 }
 

@@ -9,7 +9,7 @@ from ..operators.geo import expand_counties
 from ..operators.spans import expand_days
 from .base import YEARS, county_dim, decl_spans, impact_spans, register, star_casualties, star_dates, star_locations, star_types, with_ctes
 
-SEARCH = dict(year=1997, state="BB", incident_type="1-URGENT")
+SEARCH = dict(year=1997, state="DS", incident_type="1-URGENT")
 
 
 @register(

@@ -18,7 +18,7 @@ def _frame(spark):
 
 def test_number_within_matches_window(spark):
     df = _frame(spark)
-    got = number_within(df, ["k"], ["o"], "rn", n_buckets=6)
+    got = number_within(df, ["k"], ["o"], "rn", rows_per_bucket=40)
     exp = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o")))
     assert sorted(got.collect(), key=str) == sorted(exp.collect(), key=str)
 
@@ -26,7 +26,7 @@ def test_number_within_matches_window(spark):
 def test_fill_within_matches_window(spark):
     df = _frame(spark)
     for direction in ("updown", "downup", "up", "down"):
-        got = fill_within(df, ["k"], ["o"], "v", direction, n_buckets=6)
+        got = fill_within(df, ["k"], ["o"], "v", direction, rows_per_bucket=40)
         exp = fill_within(df, ["k"], ["o"], "v", direction, skew_safe=False)
         assert sorted(got.collect(), key=str) == sorted(exp.collect(), key=str), direction
 
