@@ -34,8 +34,36 @@ ROWS_PER_BUCKET = 2_000_000
 MAX_BUCKETS = 4096
 
 
-def _order_cols(order: list[str | Column]) -> list[Column]:
-    return [F.col(o) if isinstance(o, str) else o for o in order]
+def _spec(item: str) -> tuple[str, bool, bool]:
+    """``"name [asc|desc] [nulls first|last]"`` -> (name, ascending, nulls_first)."""
+    parts = item.split()
+    name, rest = parts[0], [p.lower() for p in parts[1:]]
+    asc = "desc" not in rest
+    if "nulls" in rest:
+        nulls_first = rest[rest.index("nulls") + 1] == "first"
+    else:
+        nulls_first = asc  # Spark's default: NULLs sort as the smallest value
+    return name, asc, nulls_first
+
+
+def _sorted(name: str, asc: bool, nulls_first: bool) -> Column:
+    c = F.col(name)
+    if asc:
+        return c.asc_nulls_first() if nulls_first else c.asc_nulls_last()
+    return c.desc_nulls_first() if nulls_first else c.desc_nulls_last()
+
+
+def _order_cols(order: list[str | Column], reverse: bool = False) -> list[Column]:
+    out = []
+    for o in order:
+        if isinstance(o, str):
+            name, asc, nf = _spec(o)
+            out.append(_sorted(name, not asc, not nf) if reverse else _sorted(name, asc, nf))
+        elif reverse:
+            raise ValueError("reversible order needs text specs such as 'col desc nulls last'")
+        else:
+            out.append(o)
+    return out
 
 
 def _monotone_value(df: DataFrame, name: str) -> Column:
@@ -58,7 +86,10 @@ def _bucketed(
     df: DataFrame, keys: list[str], order: list[str | Column], rows_per_bucket: int | None
 ) -> DataFrame:
     rpb = rows_per_bucket or ROWS_PER_BUCKET
-    first = order[0] if order and isinstance(order[0], str) else None
+    first = None
+    if order and isinstance(order[0], str):
+        name, asc, nulls_first = _spec(order[0])
+        first = name if (asc and nulls_first) else None  # value buckets follow ascending, NULLs first
     v = _monotone_value(df, first) if first else F.lit(0.0)
     t = df.withColumn("__v", v)
     stats = t.groupBy(*keys).agg(
@@ -123,37 +154,46 @@ def fill_within(
     """
     if direction not in ("up", "down", "updown", "downup"):
         raise ValueError(direction)
-    oc = _order_cols(order)
+    # Only running frames (UNBOUNDED PRECEDING .. CURRENT ROW) are used: Spark
+    # evaluates them incrementally, while a frame reaching UNBOUNDED FOLLOWING
+    # is re-aggregated per row (quadratic in the group size).  The look-ahead
+    # is the running last non-null over the reversed order.
+    oc, rc = _order_cols(order), _order_cols(order, reverse=True)
+    running = (Window.unboundedPreceding, Window.currentRow)
     if not skew_safe:
-        w = Window.partitionBy(*keys).orderBy(*oc)
-        nxt = F.first(col, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing))
-        prv = F.last(col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-        return df.withColumn(col, _combine(F.col(col), nxt, prv, direction))
+        fwd = Window.partitionBy(*keys).orderBy(*oc).rowsBetween(*running)
+        bwd = Window.partitionBy(*keys).orderBy(*rc).rowsBetween(*running)
+        t = df.withColumn("__nxt", F.last(col, ignorenulls=True).over(bwd))
+        t = t.withColumn("__prv", F.last(col, ignorenulls=True).over(fwd))
+        return t.withColumn(col, _combine(F.col(col), F.col("__nxt"), F.col("__prv"), direction)).drop("__nxt", "__prv")
 
     t = _bucketed(df, keys, order, rows_per_bucket)
     w = Window.partitionBy(*keys, _B).orderBy(*oc)
-    local = t.withColumn("__nxt", F.first(col, ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)))
-    local = local.withColumn("__prv", F.last(col, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-
-    # first / last non-null value of each bucket, by the same order
-    ord_struct = F.struct(*oc)
-    present = F.when(F.col(col).isNotNull(), ord_struct)
-    summary = t.groupBy(*keys, _B).agg(
-        F.min_by(F.col(col), present).alias("__first"),
-        F.max_by(F.col(col), present).alias("__last"),
+    wr = Window.partitionBy(*keys, _B).orderBy(*rc)
+    local = t.withColumn("__nxt", F.last(col, ignorenulls=True).over(wr.rowsBetween(*running)))
+    local = local.withColumn("__prv", F.last(col, ignorenulls=True).over(w.rowsBetween(*running)))
+    local = local.withColumn("__lrn", F.row_number().over(w))
+    local = local.withColumn("__cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, _B)))
+
+    # first / last non-null value of each bucket: the look-ahead of its first
+    # row and the look-back of its last row (any sort direction is respected)
+    summary = local.groupBy(*keys, _B).agg(
+        F.first(F.when(F.col("__lrn") == 1, F.col("__nxt")), ignorenulls=True).alias("__first"),
+        F.first(F.when(F.col("__lrn") == F.col("__cnt"), F.col("__prv")), ignorenulls=True).alias("__last"),
     )
     ws = Window.partitionBy(*keys).orderBy(_B)
+    wsr = Window.partitionBy(*keys).orderBy(F.col(_B).desc())
     carry = summary.select(
         *keys,
         _B,
-        F.first("__first", ignorenulls=True).over(ws.rowsBetween(1, Window.unboundedFollowing)).alias("__later"),
+        F.last("__first", ignorenulls=True).over(wsr.rowsBetween(Window.unboundedPreceding, -1)).alias("__later"),
         F.last("__last", ignorenulls=True).over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("__earlier"),
     )
     joined = join_null_safe(local, carry, [*keys, _B])
     nxt = F.coalesce(F.col("__nxt"), F.col("__later"))
     prv = F.coalesce(F.col("__prv"), F.col("__earlier"))
     return joined.withColumn(col, _combine(F.col(col), nxt, prv, direction)).drop(
-        _B, "__nxt", "__prv", "__later", "__earlier"
+        _B, "__nxt", "__prv", "__later", "__earlier", "__lrn", "__cnt"
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import spans as sp
 from ..operators.cleaning import sequence_id
 from ..operators.geo import expand_counties
+from ..session import cut_lineage
 from .base import CTE, CTE_DEPS, county_dim, decl_spans, impact_spans, register, states, tbl, with_ctes
 
 # ------------------------------------------------------------------ frames
@@ -82,8 +83,9 @@ CTE_DEPS["event_map"] = ["fema_days", "impact_days"]
 
 
 def fema_spans(spark, sf):
-    """Declaration spans with their per-declaration row id."""
-    return sequence_id(decl_spans(spark, sf), "eventid", ["rowkey"], 3, out="femaID")
+    """Declaration spans with their per-declaration row id (A09); a stage
+    boundary (checkpointed) like the span files the reference saves."""
+    return cut_lineage(sequence_id(decl_spans(spark, sf), "eventid", ["rowkey"], 3, out="femaID"))
 
 
 def fema_days(spark, sf):
@@ -97,7 +99,7 @@ def impact_days(spark, sf):
 def event_map_frame(spark, sf):
     a = fema_days(spark, sf).select("Day", "state", "county", "femaID")
     b = impact_days(spark, sf).select("Day", "state", "county", F.col("eventid").alias("emdatID"))
-    return sp.event_map(a, b)
+    return cut_lineage(sp.event_map(a, b))
 
 
 # ------------------------------------------------------------------ queries
