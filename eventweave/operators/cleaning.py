@@ -130,10 +130,17 @@ def canonical_state(df: DataFrame, col: str, states: DataFrame, out: str = "stat
     return t.withColumn(out, F.coalesce("__by_name", "__by_code")).drop("__n_key", "__by_name", "__c_key", "__by_code")
 
 
-def clean_admin(df: DataFrame, allowed: list[str] | None = None, state: str = "state", county: str = "county") -> DataFrame:
-    """Lower-case counties without dots; keep only allowed state codes."""
+def clean_admin(
+    df: DataFrame, allowed: list[str] | DataFrame | None = None, state: str = "state", county: str = "county"
+) -> DataFrame:
+    """Lower-case counties without dots; keep only allowed state codes
+    (a code list, or a one-column table of codes for a semi join)."""
     allowed = allowed if allowed is not None else US_ADMIN_CODES
-    return df.withColumn(county, F.regexp_replace(F.lower(F.col(county)), r"\.", "")).filter(F.col(state).isin(allowed))
+    t = df.withColumn(county, F.regexp_replace(F.lower(F.col(county)), r"\.", ""))
+    if isinstance(allowed, DataFrame):
+        codes = allowed.select(F.col(allowed.columns[0]).alias("__code")).distinct()
+        return t.join(codes, t[state] == codes["__code"], "left_semi")
+    return t.filter(F.col(state).isin(allowed))
 
 
 def drop_listed(df: DataFrame, blocklist: DataFrame | list[str], key: str) -> DataFrame:

@@ -92,7 +92,7 @@ def apply_patches(df: DataFrame, key: str, patches: DataFrame, column: str, lite
     j = df.join(grouped, df[key].cast("string") == grouped["__pkey"], "left")
 
     def step(acc, q):
-        applies = q["when_match"].isNull() | acc.rlike(q["when_match"])
+        applies = q["when_match"].isNull() | F.regexp_like(acc, q["when_match"])
         first = F.regexp_replace(acc, F.concat(F.lit("(?s)^(.*?)(?:"), q["pattern"], F.lit(")")), F.concat(F.lit("$1"), q["repl"]))
         changed = (
             F.when(q["op"] == "set", q["value"])
@@ -110,10 +110,12 @@ def apply_patches(df: DataFrame, key: str, patches: DataFrame, column: str, lite
 
 def apply_date_patches(df: DataFrame, key: str, patches: DataFrame, begin: str = "begin_date", end: str = "end_date") -> DataFrame:
     """Replace span dates for listed events (``key, begin_date, end_date``;
-    a NULL in the patch keeps the current value)."""
-    p = patches.select(
-        F.col("key").alias("__pkey"), F.col("begin_date").alias("__pb"), F.col("end_date").alias("__pe")
-    ).dropDuplicates(["__pkey"])
+    a NULL in the patch keeps the current value).  A key listed twice uses its
+    smallest (begin, end) patch, so the result never depends on row order."""
+    p = patches.groupBy(F.col("key").alias("__pkey")).agg(
+        F.min(F.struct(F.col("begin_date").alias("b"), F.col("end_date").alias("e"))).alias("__p")
+    )
+    p = p.select("__pkey", F.col("__p.b").alias("__pb"), F.col("__p.e").alias("__pe"))
     j = df.join(p, df[key].cast("string") == p["__pkey"], "left")
     return (
         j.withColumn(begin, F.coalesce("__pb", begin))

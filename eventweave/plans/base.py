@@ -75,7 +75,9 @@ def tbl(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 # ---------------------------------------------------------------- base frames
 def states(spark: SparkSession, sf: str) -> DataFrame:
-    return tbl(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("state_name"), F.expr(ABBR_EXPR).alias("abbr"))
+    return tbl(spark, sf, "nation").select(
+        "n_nationkey", "n_regionkey", F.col("n_name").alias("state_name"), F.expr(ABBR_EXPR).alias("abbr")
+    )
 
 
 def decl_spans(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,7 +177,7 @@ def star_locations(spark, sf):
 
 # ------------------------------------------------------------ SQL CTE twins
 CTE = {
-    "states": f"states AS (SELECT n_nationkey, n_name AS state_name, {ABBR_EXPR} AS abbr FROM nation)",
+    "states": f"states AS (SELECT n_nationkey, n_regionkey, n_name AS state_name, {ABBR_EXPR} AS abbr FROM nation)",
     "decl_spans": """decl_spans AS (
   SELECT 'FEMA' AS Source, 'DR-' || cast(o_orderkey // 4 AS VARCHAR) AS eventid, o_orderkey AS rowkey,
          cast(o_orderdate AS DATE) AS begin_date,
