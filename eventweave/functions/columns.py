@@ -61,7 +61,7 @@ def regex_trim(c: ColumnLike) -> Column:
 
 def date_part(c: ColumnLike) -> Column:
     """Date text before a ``T`` time part (``2019-03-01T00:00:00Z`` -> date)."""
-    return F.try_to_date(F.substring_index(_c(c), "T", 1), F.lit("yyyy-MM-dd"))
+    return F.try_to_date(F.substring_index(_c(c), "T", 1), "yyyy-MM-dd")
 
 
 def compose_date(year: ColumnLike, month: ColumnLike, day: ColumnLike) -> Column:
@@ -72,4 +72,4 @@ def compose_date(year: ColumnLike, month: ColumnLike, day: ColumnLike) -> Column
         pad_counter(_c(month), 2),
         pad_counter(_c(day), 2),
     )
-    return F.try_to_date(txt, F.lit("yyyy-MM-dd"))
+    return F.try_to_date(txt, "yyyy-MM-dd")

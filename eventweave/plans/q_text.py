@@ -222,11 +222,16 @@ def parsed_locations(spark, sf):
 
 @register(
     "parse_locations",
-    with_ctes(["parsed"], "SELECT p_partkey, piece_no, region_no, State, Region, County, inProgress FROM parsed"),
+    with_ctes(
+        ["parsed"],
+        """SELECT p_partkey, cast(piece_no AS DOUBLE) AS piece_no, cast(region_no AS DOUBLE) AS region_no,
+       State, Region, County, inProgress FROM parsed""",
+    ),
     "A14",
 )
 def q_parse_locations(spark, sf):
-    return parsed_locations(spark, sf)
+    p = parsed_locations(spark, sf)
+    return p.withColumn("piece_no", F.col("piece_no").cast("double")).withColumn("region_no", F.col("region_no").cast("double"))
 
 
 @register(
