@@ -85,6 +85,8 @@ def _monotone_value(df: DataFrame, name: str) -> Column:
 def _bucketed(
     df: DataFrame, keys: list[str], order: list[str | Column], rows_per_bucket: int | None
 ) -> DataFrame:
+    """Add ``__bucket`` (0 for ordinary keys) and ``__split`` (key is cut into
+    several buckets), hash-partitioned on keys + bucket."""
     rpb = rows_per_bucket or ROWS_PER_BUCKET
     first = None
     if order and isinstance(order[0], str):
@@ -95,14 +97,21 @@ def _bucketed(
     stats = t.groupBy(*keys).agg(
         F.min("__v").alias("__vmin"), F.max("__v").alias("__vmax"), F.count(F.lit(1)).alias("__cnt")
     )
-    stats = stats.withColumn(
-        "__nb", F.least(F.lit(MAX_BUCKETS).cast("long"), F.ceil(F.col("__cnt") / F.lit(float(rpb))).cast("long"))
+    # Only keys above rows_per_bucket are split.  There are at most
+    # rows / rows_per_bucket of them (a bound that holds at any scale), so the
+    # hot-key table is broadcast and the data itself is not shuffled to get it.
+    hot = stats.filter(F.col("__cnt") > rpb).select(
+        *keys,
+        "__vmin",
+        "__vmax",
+        F.least(F.lit(MAX_BUCKETS).cast("long"), F.ceil(F.col("__cnt") / F.lit(float(rpb))).cast("long")).alias("__nb"),
     )
-    t = join_null_safe(t, stats, keys)
+    t = join_null_safe(t, hot, keys, "left", broadcast_right=True)
     span = F.col("__vmax") - F.col("__vmin")
     bucket = (
-        F.when(F.col("__v").isNull(), F.lit(-1).cast("long"))
-        .when((F.col("__nb") <= 1) | (span <= 0), F.lit(0).cast("long"))
+        F.when(F.col("__nb").isNull(), F.lit(0).cast("long"))
+        .when(F.col("__v").isNull(), F.lit(-1).cast("long"))
+        .when(span <= 0, F.lit(0).cast("long"))
         .otherwise(
             F.least(
                 F.col("__nb") - 1,
@@ -110,7 +119,8 @@ def _bucketed(
             )
         )
     )
-    t = t.withColumn(_B, bucket).drop("__v", "__vmin", "__vmax", "__cnt", "__nb")
+    t = t.withColumn(_B, bucket).withColumn("__split", F.col("__nb").isNotNull())
+    t = t.drop("__v", "__vmin", "__vmax", "__nb")
     return t.repartition(*[F.col(k) for k in keys], F.col(_B))
 
 
@@ -128,13 +138,14 @@ def number_within(
         return df.withColumn(out, F.row_number().over(w))
     t = _bucketed(df, keys, order, rows_per_bucket)
     local = t.withColumn("__lrn", F.row_number().over(Window.partitionBy(*keys, _B).orderBy(*_order_cols(order))))
-    counts = t.groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("__n"))
+    # bucket offsets, for split keys only (bounded like the hot-key table)
+    counts = t.filter(F.col("__split")).groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*keys, _B, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
     return (
-        join_null_safe(local, offsets, [*keys, _B])
-        .withColumn(out, (F.col("__lrn") + F.col("__off")).cast("int"))
-        .drop(_B, "__lrn", "__off")
+        join_null_safe(local, offsets, [*keys, _B], "left", broadcast_right=True)
+        .withColumn(out, (F.col("__lrn") + F.coalesce(F.col("__off"), F.lit(0))).cast("int"))
+        .drop(_B, "__split", "__lrn", "__off")
     )
 
 
@@ -150,7 +161,8 @@ def fill_within(
     """Fill NULLs of ``col`` within ``keys`` in ``order``.
 
     ``down``: previous non-null; ``up``: next non-null; ``updown``: next, else
-    previous; ``downup``: previous, else next.
+    previous; ``downup``: previous, else next.  Order items are column names
+    with an optional direction, e.g. ``"emdatID asc nulls last"``.
     """
     if direction not in ("up", "down", "updown", "downup"):
         raise ValueError(direction)
@@ -172,12 +184,18 @@ def fill_within(
     wr = Window.partitionBy(*keys, _B).orderBy(*rc)
     local = t.withColumn("__nxt", F.last(col, ignorenulls=True).over(wr.rowsBetween(*running)))
     local = local.withColumn("__prv", F.last(col, ignorenulls=True).over(w.rowsBetween(*running)))
-    local = local.withColumn("__lrn", F.row_number().over(w))
-    local = local.withColumn("__cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, _B)))
 
-    # first / last non-null value of each bucket: the look-ahead of its first
-    # row and the look-back of its last row (any sort direction is respected)
-    summary = local.groupBy(*keys, _B).agg(
+    # first / last non-null value of each bucket of a split key: the look-ahead
+    # of its first row and the look-back of its last row
+    # (computed from the split rows alone, before the windows, so the windows
+    # over ordinary keys run once)
+    split = t.filter(F.col("__split"))
+    split = split.withColumn("__nxt", F.last(col, ignorenulls=True).over(wr.rowsBetween(*running)))
+    split = split.withColumn("__prv", F.last(col, ignorenulls=True).over(w.rowsBetween(*running)))
+    split = split.withColumn("__lrn", F.row_number().over(w)).withColumn(
+        "__cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, _B))
+    )
+    summary = split.groupBy(*keys, _B).agg(
         F.first(F.when(F.col("__lrn") == 1, F.col("__nxt")), ignorenulls=True).alias("__first"),
         F.first(F.when(F.col("__lrn") == F.col("__cnt"), F.col("__prv")), ignorenulls=True).alias("__last"),
     )
@@ -189,19 +207,24 @@ def fill_within(
         F.last("__first", ignorenulls=True).over(wsr.rowsBetween(Window.unboundedPreceding, -1)).alias("__later"),
         F.last("__last", ignorenulls=True).over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("__earlier"),
     )
-    joined = join_null_safe(local, carry, [*keys, _B])
+    joined = join_null_safe(local, carry, [*keys, _B], "left", broadcast_right=True)
     nxt = F.coalesce(F.col("__nxt"), F.col("__later"))
     prv = F.coalesce(F.col("__prv"), F.col("__earlier"))
     return joined.withColumn(col, _combine(F.col(col), nxt, prv, direction)).drop(
-        _B, "__nxt", "__prv", "__later", "__earlier", "__lrn", "__cnt"
+        _B, "__split", "__nxt", "__prv", "__later", "__earlier"
     )
 
 
-def join_null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
+def join_null_safe(
+    left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner", broadcast_right: bool = False
+) -> DataFrame:
     """Equi-join on ``cols`` where NULL matches NULL (grouping keys may be NULL).
 
-    Spark plans ``<=>`` keys as an ordinary hash/sort-merge equi-join."""
+    Spark plans ``<=>`` keys as an ordinary hash/sort-merge equi-join.
+    ``broadcast_right`` only for a right side whose size has a proven bound."""
     r = right.select(*[F.col(c).alias(f"__r_{c}") for c in cols], *[c for c in right.columns if c not in cols])
+    if broadcast_right:
+        r = F.broadcast(r)
     cond = None
     for c in cols:
         e = left[c].eqNullSafe(r[f"__r_{c}"])

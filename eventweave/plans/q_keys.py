@@ -98,11 +98,11 @@ def filled_map(spark, sf):
 
 
 def composite_map(spark, sf):
-    return cut_lineage(ky.composite_id(filled_map(spark, sf)))
+    return cut_lineage(ky.composite_id(filled_map(spark, sf)), "composite_map")
 
 
 def key_table(spark, sf):
-    return cut_lineage(ky.mint_keys(composite_map(spark, sf)))
+    return cut_lineage(ky.mint_keys(composite_map(spark, sf)), "keys")
 
 
 def key_map(spark, sf):

@@ -85,7 +85,7 @@ CTE_DEPS["event_map"] = ["fema_days", "impact_days"]
 def fema_spans(spark, sf):
     """Declaration spans with their per-declaration row id (A09); a stage
     boundary (checkpointed) like the span files the reference saves."""
-    return cut_lineage(sequence_id(decl_spans(spark, sf), "eventid", ["rowkey"], 3, out="femaID"))
+    return cut_lineage(sequence_id(decl_spans(spark, sf), "eventid", ["rowkey"], 3, out="femaID"), "fema_spans")
 
 
 def fema_days(spark, sf):
@@ -99,7 +99,7 @@ def impact_days(spark, sf):
 def event_map_frame(spark, sf):
     a = fema_days(spark, sf).select("Day", "state", "county", "femaID")
     b = impact_days(spark, sf).select("Day", "state", "county", F.col("eventid").alias("emdatID"))
-    return cut_lineage(sp.event_map(a, b))
+    return cut_lineage(sp.event_map(a, b), "event_map")
 
 
 # ------------------------------------------------------------------ queries

@@ -69,10 +69,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut the lineage at a pipeline stage: write the frame once as a parquet
+    table in the shared checkpoint folder and continue from the files.
+
+    Unlike ``Dataset.checkpoint`` (which evaluates the plan once to count and
+    again to save the RDD) this computes the stage once; later reads prune
+    columns and push filters into the files, and a lost executor only re-reads
+    files instead of recomputing the stage."""
+    return materialize(df, name)
 
 
 def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
