@@ -51,7 +51,9 @@ def search_events(
     j = j.withColumn("Year", F.year("eventStart"))
     cond = F.lit(True)
     if year is not None:
-        cond = cond & (F.col("Year") == year)
+        # the same test as a date range as well, which parquet can push down
+        lo, hi = F.lit(f"{year}-01-01").cast("date"), F.lit(f"{year + 1}-01-01").cast("date")
+        cond = cond & (F.col("Year") == year) & (F.col("eventStart") >= lo) & (F.col("eventStart") < hi)
     if state is not None:
         cond = cond & (F.col("state") == state)
     if incident_type is not None:

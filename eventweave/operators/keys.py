@@ -43,15 +43,19 @@ def mint_keys(
     alone (every place of the id gets every key, as a bare id join does).
     The (month, state) numbering goes through the skew-safe scan.
     """
-    starts = event_map.groupBy(id_col).agg(F.min(day).alias("__start"))
-    id_states = event_map.select(id_col, state).distinct()
-    k = id_states.join(starts, on=id_col, how="inner").withColumn("__ym", F.date_format("__start", "yyyy_MM"))
+    # one pass over the (large) event map: every distinct id row with its first
+    # day; everything after works on this small table
+    ids = event_map.groupBy(*carry, id_col, state).agg(F.min(day).alias("__d"))
+    id_states = ids.groupBy(id_col, state).agg(F.min("__d").alias("__d"))
+    starts = id_states.groupBy(id_col).agg(F.min("__d").alias("__start"))
+    k = id_states.select(id_col, state).join(starts, on=id_col, how="inner")
+    k = k.withColumn("__ym", F.date_format("__start", "yyyy_MM"))
     k = number_within(k, ["__ym", state], [id_col], "__rn", skew_safe=skew_safe)
     k = k.withColumn("eventKey", F.concat_ws("_", F.col("__ym"), F.col(state), pad_counter("__rn", pad)))
-    ids = event_map.select(*carry, id_col, state).distinct()
+    ids = ids.drop("__d")
     if keep_state:
         out = join_null_safe(ids, k.select(id_col, state, "eventKey"), [id_col, state])
-        return out.select(*carry, id_col, state, "eventKey").distinct()
+        return out.select(*carry, id_col, state, "eventKey")
     out = ids.drop(state).distinct().join(k.select(id_col, "eventKey"), on=id_col, how="inner")
     return out.select(*carry, id_col, "eventKey").distinct()
 

@@ -17,6 +17,8 @@ Mapping (SURVEY section 5):
 
 from __future__ import annotations
 
+import functools
+import threading
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -41,16 +43,41 @@ class Query:
 
 
 REGISTRY: dict[str, Query] = {}
+_BUILD = threading.local()
 
 
 def register(name: str, sql: str | None, operators: str):
     def deco(fn):
-        REGISTRY[name] = Query(name, lambda spark, sf: present(fn(spark, sf)), sql, operators)
+        def build(spark: SparkSession, sf: str) -> DataFrame:
+            _BUILD.stages = {}
+            try:
+                return present(fn(spark, sf))
+            finally:
+                _BUILD.stages = None
+
+        REGISTRY[name] = Query(name, build, sql, operators)
         return fn
 
     return deco
 
 
+def stage(fn):
+    """A pipeline stage (a written table): built once per query build, however
+    many branches of that query read it."""
+
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, sf: str) -> DataFrame:
+        memo = getattr(_BUILD, "stages", None)
+        if memo is None:
+            return fn(spark, sf)
+        key = (fn.__name__, sf)
+        if key not in memo:
+            memo[key] = fn(spark, sf)
+        return memo[key]
+
+    return wrapper
+
+
 def present(df: DataFrame) -> DataFrame:
     """Driver-facing types: dates as ``yyyy-MM-dd`` text, timestamps as text,
     all integers as BIGINT, floats as DOUBLE (the SQL oracles cast alike)."""

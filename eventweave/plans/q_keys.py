@@ -10,7 +10,7 @@ from ..operators import keys as ky
 from ..operators import marts as mt
 from ..operators.geo import expand_counties
 from ..session import cut_lineage
-from .base import CTE, CTE_DEPS, county_dim, decl_spans, impact_spans, register, tbl, with_ctes
+from .base import CTE, CTE_DEPS, county_dim, decl_spans, impact_spans, register, stage, tbl, with_ctes
 from .q_spans import event_map_frame, fema_days, fema_spans, impact_days
 
 # Our own hazard dictionaries (ordered rules) and hierarchy.
@@ -97,10 +97,12 @@ def filled_map(spark, sf):
     return ky.fill_updown(em, "femaID", "emdatID", ["Day", "emdatID asc nulls last"])
 
 
+@stage
 def composite_map(spark, sf):
     return cut_lineage(ky.composite_id(filled_map(spark, sf)), "composite_map")
 
 
+@stage
 def key_table(spark, sf):
     return cut_lineage(ky.mint_keys(composite_map(spark, sf)), "keys")
 

@@ -13,7 +13,7 @@ from ..operators import spans as sp
 from ..operators.cleaning import sequence_id
 from ..operators.geo import expand_counties
 from ..session import cut_lineage
-from .base import CTE, CTE_DEPS, county_dim, decl_spans, impact_spans, register, states, tbl, with_ctes
+from .base import CTE, CTE_DEPS, county_dim, decl_spans, impact_spans, register, stage, states, tbl, with_ctes
 
 # ------------------------------------------------------------------ frames
 def ship_spans(spark, sf):
@@ -82,6 +82,7 @@ CTE["event_map"] = """event_map AS (
 CTE_DEPS["event_map"] = ["fema_days", "impact_days"]
 
 
+@stage
 def fema_spans(spark, sf):
     """Declaration spans with their per-declaration row id (A09); a stage
     boundary (checkpointed) like the span files the reference saves."""
@@ -96,6 +97,7 @@ def impact_days(spark, sf):
     return sp.expand_days(expand_counties(impact_spans(spark, sf), county_dim(spark, sf)))
 
 
+@stage
 def event_map_frame(spark, sf):
     a = fema_days(spark, sf).select("Day", "state", "county", "femaID")
     b = impact_days(spark, sf).select("Day", "state", "county", F.col("eventid").alias("emdatID"))
