@@ -142,7 +142,6 @@ def duration_pivot(
     row: str = "state",
     day: str = "Day",
     event_weighted: bool = False,
-    year_of: str = "day",
 ) -> DataFrame:
     """Mean duration, ``row`` x ``Year: yyyy`` columns.
 

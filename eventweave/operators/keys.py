@@ -83,13 +83,15 @@ def mint_source_keys(
     """Older per-source keys (pad 3), all sources bound together.  Returns
     Source, eventid, super_id, state, eventKey."""
     t = days.withColumn("__super", source_event_id(source, id_col))
-    starts = t.groupBy(source, "__super").agg(F.min(day).alias("__start"))
-    id_states = t.select(source, "__super", state).distinct()
-    k = id_states.join(starts, on=[source, "__super"], how="inner").withColumn("__ym", F.date_format("__start", "yyyy_MM"))
+    # one pass over the day rows; the rest works on the distinct ids
+    ids = t.groupBy(source, id_col, "__super", state).agg(F.min(day).alias("__d"))
+    id_states = ids.groupBy(source, "__super", state).agg(F.min("__d").alias("__d"))
+    starts = id_states.groupBy(source, "__super").agg(F.min("__d").alias("__start"))
+    k = id_states.select(source, "__super", state).join(starts, on=[source, "__super"], how="inner")
+    k = k.withColumn("__ym", F.date_format("__start", "yyyy_MM"))
     k = number_within(k, ["__ym", state], [source, "__super"], "__rn", skew_safe=skew_safe)
     k = k.withColumn("eventKey", F.concat_ws("_", F.col("__ym"), F.col(state), pad_counter("__rn", pad)))
-    ids = t.select(source, id_col, "__super", state).distinct()
-    out = ids.join(k.select(source, "__super", state, "eventKey"), on=[source, "__super", state], how="inner")
+    out = ids.drop("__d").join(k.select(source, "__super", state, "eventKey"), on=[source, "__super", state], how="inner")
     return out.select(source, id_col, F.col("__super").alias("super_id"), state, "eventKey")
 
 

@@ -36,3 +36,15 @@ def test_group_stats_null_key(spark):
     got = with_group_stats(df, ["k"], [F.min("o").alias("mn")])
     assert got.count() == df.count()
     assert got.filter(F.col("k").isNull()).select("mn").distinct().collect()[0][0] == 0
+
+
+def test_buckets_stable_on_shuffled_input(spark):
+    # input order changes between evaluations (random sort + shuffle): bucket
+    # ids must not, or rows would be lost when the plan is evaluated twice
+    df = _frame(spark).orderBy(F.rand()).repartition(5)
+    got = number_within(df, ["k"], ["o"], "rn", rows_per_bucket=30)
+    a = sorted(got.collect(), key=str)
+    b = sorted(got.collect(), key=str)
+    assert a == b and len(a) == 400
+    exp = _frame(spark).withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o")))
+    assert a == sorted(exp.collect(), key=str)
