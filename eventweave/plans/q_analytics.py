@@ -55,8 +55,8 @@ def q_units_affected(spark, sf):
     "summarize",
     with_ctes(
         ["decl_spans"],
-        """SELECT incident_type, cast(min(d) AS DOUBLE) AS min, quantile_cont(d, 0.25) AS q1,
-       quantile_cont(d, 0.5) AS median, round(avg(d), 6) AS mean, quantile_cont(d, 0.75) AS q3,
+        """SELECT incident_type, cast(min(d) AS DOUBLE) AS min, round(quantile_cont(d, 0.25), 6) AS q1,
+       round(quantile_cont(d, 0.5), 6) AS median, round(avg(d), 6) AS mean, round(quantile_cont(d, 0.75), 6) AS q3,
        cast(max(d) AS DOUBLE) AS max, count(*) AS n, count(*) - count(d) AS n_missing
 FROM (SELECT incident_type, date_diff('day', begin_date, end_date) AS d FROM decl_spans) x
 GROUP BY incident_type""",
@@ -66,7 +66,7 @@ GROUP BY incident_type""",
 def q_summarize(spark, sf):
     d = decl_spans(spark, sf).withColumn("d", F.datediff("end_date", "begin_date"))
     out = an.summarize(d, "d", ["incident_type"])
-    return out.withColumn("mean", F.round("mean", 6))
+    return out.select(*[F.round(c, 6).alias(c) if c in ("q1", "median", "mean", "q3") else F.col(c) for c in out.columns])
 
 
 def _impact_days(spark, sf):

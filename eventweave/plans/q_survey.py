@@ -15,7 +15,7 @@ from .base import register, tbl, with_ctes
 PANEL_SQL = """panel AS (
   SELECT d.doc_id AS record,
          'Borough of ' || d.source || ' County, State ' || upper(d.lang) || ' (' || upper(d.lang) || ')' AS sitename,
-         2000 + d.doc_id % 4 AS year, d.n_chars / 100.0 AS weight, d.lang AS stratum, d.source AS PSU,
+         2000 + d.doc_id % 4 AS year, cast(d.n_chars AS DOUBLE) / 100.0 AS weight, d.lang AS stratum, d.source AS PSU,
          12 + d.doc_id % 7 AS age, 1 + d.doc_id % 2 AS sex, l.quality + 1 AS q26, l.toxic + 1 AS q27
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 

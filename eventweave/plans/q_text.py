@@ -138,7 +138,7 @@ def q_apply_patches(spark, sf):
         ["ship_spans"],
         """SELECT s.rowkey, cast(coalesce(p.b, s.begin_date) AS VARCHAR) AS begin_date,
        cast(coalesce(p.e, s.end_raw) AS VARCHAR) AS end_date,
-       coalesce(p.e, s.end_raw) < coalesce(p.b, s.begin_date) AS is_reversed
+       coalesce(coalesce(p.e, s.end_raw) < coalesce(p.b, s.begin_date), false) AS is_reversed
 FROM ship_spans s LEFT JOIN (
   SELECT k, b, e FROM (
     SELECT cast(rowkey AS VARCHAR) AS k, end_raw AS b, begin_date AS e,
@@ -154,7 +154,7 @@ def q_date_patches(spark, sf):
     )
     spans = s.select("rowkey", "begin_date", F.col("end_raw").alias("end_date"))
     out = tx.apply_date_patches(spans, "rowkey", patches)
-    return out.withColumn("is_reversed", F.col("end_date") < F.col("begin_date"))
+    return out.withColumn("is_reversed", F.coalesce(F.col("end_date") < F.col("begin_date"), F.lit(False)))
 
 
 @register(

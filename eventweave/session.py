@@ -18,8 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # a partition is skewed when 4x the median and above 128 MB (Spark's default
-    # factor; the byte floor keeps small test shuffles from being split)
+    # a join partition counts as skewed at 4x the median size (and above the
+    # skewedPartitionThresholdInBytes floor), a little stricter than the default
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     # AQE converts a sort-merge join to a broadcast join only after the build
     # side's shuffle stage has run and measured below this size: the size check
