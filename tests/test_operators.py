@@ -185,3 +185,50 @@ def test_impact_pivot_na_propagates(spark):
     df = spark.createDataFrame(rows, "ev STRING, t STRING, n DOUBLE, Day DATE")
     r = an.impact_pivot(df, F.col("ev"), "t", "n", [2000, 2001]).first()
     assert r["Year: 2000"] is None and r["Year: 2001"] == 5.0 and r["total"] == 5.0
+
+
+def test_span_match_buckets_agree(spark):
+    rng = random.Random(11)
+    rows = []
+    for i in range(80):
+        b = D(1999, 12, 1) + dt.timedelta(days=rng.randint(0, 500))
+        rows.append((f"x{i}", rng.choice(["A", "B"]), b, b + dt.timedelta(days=rng.randint(0, 120))))
+    a = spark.createDataFrame(rows[:40], "a_id STRING, state STRING, begin_date DATE, end_date DATE")
+    b = spark.createDataFrame(rows[40:], "b_id STRING, state STRING, b_begin DATE, b_end DATE")
+    results = []
+    for unit in ("week", "month", "year"):
+        m = spans.match_spans(a, b, ["state"], bucket=unit, b_begin="b_begin", b_end="b_end")
+        results.append(sorted(m.select("a_id", "b_id", "overlap_days").collect()))
+    brute = [
+        (x[0], y[0], (min(x[3], y[3]) - max(x[2], y[2])).days + 1)
+        for x in rows[:40] for y in rows[40:]
+        if x[1] == y[1] and x[2] <= y[3] and y[2] <= x[3]
+    ]
+    assert results[0] == results[1] == results[2]
+    assert [tuple(r) for r in results[0]] == sorted(brute)
+
+
+def test_exposure_keeps_panel_rows_without_events(spark):
+    panel = spark.createDataFrame(
+        [("p1", "TX", D(2000, 1, 1), D(2000, 12, 31)), ("p2", "FL", D(2000, 1, 1), D(2000, 12, 31))],
+        "pid STRING, state STRING, begin_date DATE, end_date DATE",
+    )
+    ev = spark.createDataFrame(
+        [("e1", "TX", D(1999, 12, 30), D(2000, 1, 2)), ("e2", "TX", D(2000, 6, 1), D(2000, 6, 1))],
+        "eid STRING, state STRING, begin_date DATE, end_date DATE",
+    )
+    got = {r.pid: (r.n_events, r.exposure_days) for r in spans.exposure(panel, ev, "pid", ["state"], "eid").collect()}
+    assert got == {"p1": (2, 3), "p2": (0, 0)}
+
+
+def test_source_key_id_rules(spark):
+    days = spark.createDataFrame(
+        [("FEMA", "DR-9_001", D(2000, 1, 5), "TX"), ("FEMA", "DR-9_002", D(2000, 1, 3), "TX"),
+         ("EMDAT", "2000-0001-0001", D(2000, 1, 4), "TX"), ("GTD", "77", D(2000, 2, 1), "TX")],
+        "Source STRING, eventid STRING, Day DATE, state STRING",
+    )
+    got = {(r.Source, r.eventid): (r.super_id, r.eventKey) for r in keys.mint_source_keys(days).collect()}
+    assert got[("FEMA", "DR-9_001")] == ("DR-9", got[("FEMA", "DR-9_002")][1])
+    assert got[("EMDAT", "2000-0001-0001")][0] == "2000-0001"
+    assert got[("GTD", "77")] == ("77", "2000_02_TX_001")
+    assert {k for _, k in got.values()} >= {"2000_01_TX_001", "2000_01_TX_002"}
