@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import regex_trim
+from .ordered import number_within
 
 
 def parse_site(df: DataFrame, col: str = "sitename") -> DataFrame:
@@ -21,12 +22,14 @@ def parse_site(df: DataFrame, col: str = "sitename") -> DataFrame:
 
 def recode_binary(df: DataFrame, cols: list[str], suffix: str = "_0") -> DataFrame:
     """Code each answer by its sorted level (1, 2, ...) and write ``2 - code``
-    (yes=1/no=2 becomes 1/0).  Levels are ranked on the distinct values — a
-    few per question — and joined back."""
+    (yes=1/no=2 becomes 1/0).  Levels are ranked on the distinct values and
+    joined back."""
     out = df
     for c in cols:
-        levels = df.select(c).filter(F.col(c).isNotNull()).distinct()
-        levels = levels.withColumn("__code", F.dense_rank().over(Window.orderBy(c)))
+        levels = df.select(c).filter(F.col(c).isNotNull()).distinct().withColumn("__all", F.lit(0))
+        # levels are distinct, so their row number is their dense rank; the
+        # skew-safe numbering keeps even a large level set off a single task
+        levels = number_within(levels, ["__all"], [c], "__code").drop("__all")
         out = out.join(levels, on=c, how="left").withColumn(c + suffix, (F.lit(2) - F.col("__code")).cast("int")).drop("__code")
     return out
 
