@@ -5,8 +5,9 @@ row of a key to one task.  When one key holds a third of the data (one
 declaration covering every county, one busy month in one state) that task runs
 alone.  These helpers split each large group into contiguous *value buckets*:
 
-1. Per key, ``min``/``max``/``count`` of the first order column (encoded as a
-   monotone number) are aggregated (map-side combined, order-invariant).
+1. Per key, ``min``/``max``/``count`` of the first order column are
+   aggregated (map-side combined, order-invariant); the column is read as a
+   monotone number (for text: the bytes after the key's common prefix).
 2. A key with ``count <= rows_per_bucket`` stays one bucket; a larger key is
    cut into ``ceil(count / rows_per_bucket)`` equal-width value ranges.  The
    bucket id is a pure function of the row and these aggregates, so every
@@ -82,6 +83,17 @@ def _monotone_value(df: DataFrame, name: str) -> Column:
     return F.lit(0.0)
 
 
+_COMMON_PREFIX = (
+    "coalesce(aggregate(sequence(1, least(length(__smin), length(__smax))), 0, "
+    "(acc, i) -> IF(acc = i - 1 AND substring(__smin, i, 1) = substring(__smax, i, 1), i, acc)), 0)"
+)
+
+
+def _suffix_value(col: str) -> Column:
+    """The 6 bytes after a hot key's common prefix (``__pre``) as a number."""
+    return F.expr(f"cast(conv(rpad(hex(substring({col}, __pre + 1, 6)), 12, '0'), 16, 10) AS DOUBLE)")
+
+
 def _bucketed(
     df: DataFrame, keys: list[str], order: list[str | Column], rows_per_bucket: int | None
 ) -> DataFrame:
@@ -92,21 +104,30 @@ def _bucketed(
     if order and isinstance(order[0], str):
         name, asc, nulls_first = _spec(order[0])
         first = name if (asc and nulls_first) else None  # value buckets follow ascending, NULLs first
-    v = _monotone_value(df, first) if first else F.lit(0.0)
-    t = df.withColumn("__v", v)
-    stats = t.groupBy(*keys).agg(
-        F.min("__v").alias("__vmin"), F.max("__v").alias("__vmax"), F.count(F.lit(1)).alias("__cnt")
-    )
+    is_text = first is not None and isinstance(df.schema[first].dataType, T.StringType)
+    nb = F.least(F.lit(MAX_BUCKETS).cast("long"), F.ceil(F.col("__cnt") / F.lit(float(rpb))).cast("long")).alias("__nb")
     # Only keys above rows_per_bucket are split.  There are at most
     # rows / rows_per_bucket of them (a bound that holds at any scale), so the
     # hot-key table is broadcast and the data itself is not shuffled to get it.
-    hot = stats.filter(F.col("__cnt") > rpb).select(
-        *keys,
-        "__vmin",
-        "__vmax",
-        F.least(F.lit(MAX_BUCKETS).cast("long"), F.ceil(F.col("__cnt") / F.lit(float(rpb))).cast("long")).alias("__nb"),
-    )
-    t = join_null_safe(t, hot, keys, "left", broadcast_right=True)
+    if is_text:
+        # text: every value of a key lies between its min and max and so shares
+        # their common prefix; the bytes after it spread the key over buckets
+        t = df.withColumn("__s", F.col(first))
+        stats = t.groupBy(*keys).agg(
+            F.min("__s").alias("__smin"), F.max("__s").alias("__smax"), F.count(F.lit(1)).alias("__cnt")
+        )
+        hot = stats.filter(F.col("__cnt") > rpb).withColumn("__pre", F.expr(_COMMON_PREFIX))
+        hot = hot.select(*keys, _suffix_value("__smin").alias("__vmin"), _suffix_value("__smax").alias("__vmax"), nb, "__pre")
+        t = join_null_safe(t, hot, keys, "left", broadcast_right=True).withColumn("__v", _suffix_value("__s"))
+        t = t.drop("__s", "__pre")
+    else:
+        v = _monotone_value(df, first) if first else F.lit(0.0)
+        t = df.withColumn("__v", v)
+        stats = t.groupBy(*keys).agg(
+            F.min("__v").alias("__vmin"), F.max("__v").alias("__vmax"), F.count(F.lit(1)).alias("__cnt")
+        )
+        hot = stats.filter(F.col("__cnt") > rpb).select(*keys, "__vmin", "__vmax", nb)
+        t = join_null_safe(t, hot, keys, "left", broadcast_right=True)
     span = F.col("__vmax") - F.col("__vmin")
     bucket = (
         F.when(F.col("__nb").isNull(), F.lit(0).cast("long"))

@@ -48,3 +48,18 @@ def test_buckets_stable_on_shuffled_input(spark):
     assert a == b and len(a) == 400
     exp = _frame(spark).withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o")))
     assert a == sorted(exp.collect(), key=str)
+
+
+def test_text_order_with_shared_prefix_splits(spark):
+    # one hot key whose ids share a long prefix: buckets must still spread it
+    rows = [("hot", f"DR-4485_2020-{i:05d}-USA") for i in range(300)] + [("cold", f"x{i}") for i in range(5)]
+    df = spark.createDataFrame(rows, "k STRING, id STRING").orderBy(F.rand())
+    from eventweave.operators.ordered import _B, _bucketed
+
+    buckets = _bucketed(df, ["k"], ["id"], 50).filter(F.col("k") == "hot").select(_B).distinct().count()
+    assert buckets >= 4
+    got = number_within(df, ["k"], ["id"], "rn", rows_per_bucket=50)
+    exp = spark.createDataFrame(rows, "k STRING, id STRING").withColumn(
+        "rn", F.row_number().over(Window.partitionBy("k").orderBy("id"))
+    )
+    assert sorted(got.collect()) == sorted(exp.collect())
