@@ -35,7 +35,9 @@ def main() -> None:
     from eventweave.plans.catalog import queries
     from eventweave.session import local_session
 
-    spark = local_session(cores=cpus, shuffle_partitions=max(8, cpus * 2), app="eventweave-bench")
+    # one shuffle partition per core locally; AQE coalesces further (a cluster
+    # sets its own, much larger, spark.sql.shuffle.partitions)
+    spark = local_session(cores=cpus, shuffle_partitions=cpus, app="eventweave-bench")
     qs = queries()
     times: dict[str, float] = {}
     for name in HEADLINE:
