@@ -3,22 +3,19 @@
 A plain ``row_number().over(Window.partitionBy(key).orderBy(...))`` sends every
 row of a key to one task.  When one key holds a third of the data (one
 declaration covering every county, one busy month in one state) that task runs
-alone.  These helpers split each large group into contiguous *value buckets*:
-
-1. Per key, ``min``/``max``/``count`` of the first order column are
-   aggregated (map-side combined, order-invariant); the column is read as a
-   monotone number (for text: the bytes after the key's common prefix).
-2. A key with ``count <= rows_per_bucket`` stays one bucket; a larger key is
-   cut into ``ceil(count / rows_per_bucket)`` equal-width value ranges.  The
-   bucket id is a pure function of the row and these aggregates, so every
-   recomputation (task retry, lost executor, a second branch of the plan)
-   assigns the same bucket — unlike ``spark_partition_id()`` after a sampled
-   range exchange, which can differ between two evaluations.
-3. ``repartition(keys + bucket)`` spreads a hot key over many tasks; the scan
-   runs per (key, bucket) with a window, bounded by the bucket size.
-4. A per-(key, bucket) summary (counts, first/last non-null) has one row per
-   key plus one per extra bucket; a window over it, partitioned by key,
-   carries offsets / fill values across buckets, and it is joined back.
+alone.  Here the rows are *range-partitioned* on (keys, full order) and written
+once to the shared checkpoint folder with the number of their range:
+
+1. Spark samples the whole key tuple, so a hot key is cut wherever its rows
+   are, whatever the types, directions and shapes of the order columns; only
+   rows equal in every order column stay together.
+2. The written table fixes the ranges: a retried task or a second branch of
+   the plan reads the same files, so it sees the same ranges, and the input is
+   evaluated once (plus Spark's sampling pass).
+3. The scan runs per (key, range) with a running window.
+4. Only a key that crosses a range border needs offsets or carried values, and
+   there are at most two such (key, range) rows per range; they are joined
+   back by an ordinary join whose strategy Spark picks by measured size.
 
 ``skew_safe=False`` falls back to the single window (one shuffle) for callers
 that know their groups are small.
@@ -28,11 +25,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_B = "__bucket"
-ROWS_PER_BUCKET = 2_000_000
-MAX_BUCKETS = 4096
+from ..session import materialize
+
+RANGE = "__range"
+INDEX = "__index"
 
 
 def _spec(item: str) -> tuple[str, bool, bool]:
@@ -67,82 +64,24 @@ def _order_cols(order: list[str | Column], reverse: bool = False) -> list[Column
     return out
 
 
-def _monotone_value(df: DataFrame, name: str) -> Column:
-    """A DOUBLE that never decreases as ``name`` increases (ascending order)."""
-    dt = df.schema[name].dataType
-    c = F.col(name)
-    if isinstance(dt, T.NumericType):
-        return c.cast("double")
-    if isinstance(dt, T.DateType):
-        return F.datediff(c, F.lit("1970-01-01").cast("date")).cast("double")
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dt, T.StringType):
-        # first 6 UTF-8 bytes as a 48-bit number: byte order == string order
-        return F.conv(F.rpad(F.hex(F.substring(c, 1, 6)), 12, "0"), 16, 10).cast("double")
-    return F.lit(0.0)
-
-
-_COMMON_PREFIX = (
-    "coalesce(aggregate(sequence(1, least(length(__smin), length(__smax))), 0, "
-    "(acc, i) -> IF(acc = i - 1 AND substring(__smin, i, 1) = substring(__smax, i, 1), i, acc)), 0)"
-)
+def ranged(df: DataFrame, keys: list[str], order: list[str | Column], partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned and sorted on (keys, order), written once with
+    ``__range`` (number of the range; ranges follow the order) and ``__index``
+    (position inside the range, from 0)."""
+    cols = [F.col(k).asc_nulls_first() for k in keys] + _order_cols(order)
+    t = df.repartitionByRange(partitions, *cols) if partitions else df.repartitionByRange(*cols)
+    t = t.sortWithinPartitions(*cols)
+    # monotonically_increasing_id: the row's position in its partition is its low 33 bits
+    index = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return materialize(t.withColumn(RANGE, F.spark_partition_id()).withColumn(INDEX, index), "ranged")
 
 
-def _suffix_value(col: str) -> Column:
-    """The 6 bytes after a hot key's common prefix (``__pre``) as a number."""
-    return F.expr(f"cast(conv(rpad(hex(substring({col}, __pre + 1, 6)), 12, '0'), 16, 10) AS DOUBLE)")
-
-
-def _bucketed(
-    df: DataFrame, keys: list[str], order: list[str | Column], rows_per_bucket: int | None
-) -> DataFrame:
-    """Add ``__bucket`` (0 for ordinary keys) and ``__split`` (key is cut into
-    several buckets), hash-partitioned on keys + bucket."""
-    rpb = rows_per_bucket or ROWS_PER_BUCKET
-    first = None
-    if order and isinstance(order[0], str):
-        name, asc, nulls_first = _spec(order[0])
-        first = name if (asc and nulls_first) else None  # value buckets follow ascending, NULLs first
-    is_text = first is not None and isinstance(df.schema[first].dataType, T.StringType)
-    nb = F.least(F.lit(MAX_BUCKETS).cast("long"), F.ceil(F.col("__cnt") / F.lit(float(rpb))).cast("long")).alias("__nb")
-    # Only keys above rows_per_bucket are split.  There are at most
-    # rows / rows_per_bucket of them (a bound that holds at any scale), so the
-    # hot-key table is broadcast and the data itself is not shuffled to get it.
-    if is_text:
-        # text: every value of a key lies between its min and max and so shares
-        # their common prefix; the bytes after it spread the key over buckets
-        t = df.withColumn("__s", F.col(first))
-        stats = t.groupBy(*keys).agg(
-            F.min("__s").alias("__smin"), F.max("__s").alias("__smax"), F.count(F.lit(1)).alias("__cnt")
-        )
-        hot = stats.filter(F.col("__cnt") > rpb).withColumn("__pre", F.expr(_COMMON_PREFIX))
-        hot = hot.select(*keys, _suffix_value("__smin").alias("__vmin"), _suffix_value("__smax").alias("__vmax"), nb, "__pre")
-        t = join_null_safe(t, hot, keys, "left", broadcast_right=True).withColumn("__v", _suffix_value("__s"))
-        t = t.drop("__s", "__pre")
-    else:
-        v = _monotone_value(df, first) if first else F.lit(0.0)
-        t = df.withColumn("__v", v)
-        stats = t.groupBy(*keys).agg(
-            F.min("__v").alias("__vmin"), F.max("__v").alias("__vmax"), F.count(F.lit(1)).alias("__cnt")
-        )
-        hot = stats.filter(F.col("__cnt") > rpb).select(*keys, "__vmin", "__vmax", nb)
-        t = join_null_safe(t, hot, keys, "left", broadcast_right=True)
-    span = F.col("__vmax") - F.col("__vmin")
-    bucket = (
-        F.when(F.col("__nb").isNull(), F.lit(0).cast("long"))
-        .when(F.col("__v").isNull(), F.lit(-1).cast("long"))
-        .when(span <= 0, F.lit(0).cast("long"))
-        .otherwise(
-            F.least(
-                F.col("__nb") - 1,
-                F.floor((F.col("__v") - F.col("__vmin")) * F.col("__nb") / F.when(span > 0, span)).cast("long"),
-            )
-        )
-    )
-    t = t.withColumn(_B, bucket).withColumn("__split", F.col("__nb").isNotNull())
-    t = t.drop("__v", "__vmin", "__vmax", "__nb")
-    return t.repartition(*[F.col(k) for k in keys], F.col(_B))
+def range_offsets(staged: DataFrame, keys: list[str], value: Column | None = None) -> DataFrame:
+    """Per (keys, range): the sum of ``value`` (default: rows) of the same key in
+    all earlier ranges, as ``__off``.  One row per key and range."""
+    total = staged.groupBy(*keys, RANGE).agg(F.sum(value if value is not None else F.lit(1)).alias("__n"))
+    before = Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    return total.select(*keys, RANGE, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
 
 
 def number_within(
@@ -151,22 +90,19 @@ def number_within(
     order: list[str | Column],
     out: str = "rn",
     skew_safe: bool = True,
-    rows_per_bucket: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """``row_number()`` within ``keys`` by ``order`` (1-based), hot keys split."""
+    """``row_number()`` (BIGINT) within ``keys`` by ``order`` (1-based), hot keys split."""
     if not skew_safe:
         w = Window.partitionBy(*keys).orderBy(*_order_cols(order))
-        return df.withColumn(out, F.row_number().over(w))
-    t = _bucketed(df, keys, order, rows_per_bucket)
-    local = t.withColumn("__lrn", F.row_number().over(Window.partitionBy(*keys, _B).orderBy(*_order_cols(order))))
-    # bucket offsets, for split keys only (bounded like the hot-key table)
-    counts = t.filter(F.col("__split")).groupBy(*keys, _B).agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*keys, _B, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+        return df.withColumn(out, F.row_number().over(w).cast("long"))
+    t = ranged(df, keys, order, partitions)
+    offsets = range_offsets(t, keys).filter(F.col("__off") > 0)  # keys that cross a border
+    local = t.withColumn("__lrn", F.row_number().over(Window.partitionBy(*keys, RANGE).orderBy(INDEX)).cast("long"))
     return (
-        join_null_safe(local, offsets, [*keys, _B], "left", broadcast_right=True)
-        .withColumn(out, (F.col("__lrn") + F.coalesce(F.col("__off"), F.lit(0))).cast("int"))
-        .drop(_B, "__split", "__lrn", "__off")
+        join_null_safe(local, offsets, [*keys, RANGE], "left")
+        .withColumn(out, F.col("__lrn") + F.coalesce(F.col("__off"), F.lit(0)))
+        .drop(RANGE, INDEX, "__lrn", "__off")
     )
 
 
@@ -177,7 +113,7 @@ def fill_within(
     col: str,
     direction: str = "updown",
     skew_safe: bool = True,
-    rows_per_bucket: int | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Fill NULLs of ``col`` within ``keys`` in ``order``.
 
@@ -193,59 +129,43 @@ def fill_within(
     # is the running last non-null over the reversed order.
     oc, rc = _order_cols(order), _order_cols(order, reverse=True)
     running = (Window.unboundedPreceding, Window.currentRow)
+
+    def both(t: DataFrame, part: list[str], fwd: list[Column], bwd: list[Column]) -> DataFrame:
+        back = Window.partitionBy(*part).orderBy(*bwd).rowsBetween(*running)
+        ahead = Window.partitionBy(*part).orderBy(*fwd).rowsBetween(*running)
+        t = t.withColumn("__nxt", F.last(col, ignorenulls=True).over(back))
+        return t.withColumn("__prv", F.last(col, ignorenulls=True).over(ahead))
+
     if not skew_safe:
-        fwd = Window.partitionBy(*keys).orderBy(*oc).rowsBetween(*running)
-        bwd = Window.partitionBy(*keys).orderBy(*rc).rowsBetween(*running)
-        t = df.withColumn("__nxt", F.last(col, ignorenulls=True).over(bwd))
-        t = t.withColumn("__prv", F.last(col, ignorenulls=True).over(fwd))
+        t = both(df, keys, oc, rc)
         return t.withColumn(col, _combine(F.col(col), F.col("__nxt"), F.col("__prv"), direction)).drop("__nxt", "__prv")
 
-    t = _bucketed(df, keys, order, rows_per_bucket)
-    w = Window.partitionBy(*keys, _B).orderBy(*oc)
-    wr = Window.partitionBy(*keys, _B).orderBy(*rc)
-    local = t.withColumn("__nxt", F.last(col, ignorenulls=True).over(wr.rowsBetween(*running)))
-    local = local.withColumn("__prv", F.last(col, ignorenulls=True).over(w.rowsBetween(*running)))
-
-    # first / last non-null value of each bucket of a split key: the look-ahead
-    # of its first row and the look-back of its last row
-    # (computed from the split rows alone, before the windows, so the windows
-    # over ordinary keys run once)
-    split = t.filter(F.col("__split"))
-    split = split.withColumn("__nxt", F.last(col, ignorenulls=True).over(wr.rowsBetween(*running)))
-    split = split.withColumn("__prv", F.last(col, ignorenulls=True).over(w.rowsBetween(*running)))
-    split = split.withColumn("__lrn", F.row_number().over(w)).withColumn(
-        "__cnt", F.count(F.lit(1)).over(Window.partitionBy(*keys, _B))
-    )
-    summary = split.groupBy(*keys, _B).agg(
-        F.first(F.when(F.col("__lrn") == 1, F.col("__nxt")), ignorenulls=True).alias("__first"),
-        F.first(F.when(F.col("__lrn") == F.col("__cnt"), F.col("__prv")), ignorenulls=True).alias("__last"),
-    )
-    ws = Window.partitionBy(*keys).orderBy(_B)
-    wsr = Window.partitionBy(*keys).orderBy(F.col(_B).desc())
+    t = ranged(df, keys, order, partitions)
+    local = both(t, [*keys, RANGE], [F.col(INDEX)], [F.col(INDEX).desc()])
+    # first / last non-null value of each (key, range), carried over the borders
+    known = F.when(F.col(col).isNotNull(), F.col(INDEX))
+    summary = t.groupBy(*keys, RANGE).agg(F.min_by(col, known).alias("__first"), F.max_by(col, known).alias("__last"))
+    ws = Window.partitionBy(*keys).orderBy(RANGE)
+    wsr = Window.partitionBy(*keys).orderBy(F.col(RANGE).desc())
     carry = summary.select(
         *keys,
-        _B,
+        RANGE,
         F.last("__first", ignorenulls=True).over(wsr.rowsBetween(Window.unboundedPreceding, -1)).alias("__later"),
         F.last("__last", ignorenulls=True).over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("__earlier"),
-    )
-    joined = join_null_safe(local, carry, [*keys, _B], "left", broadcast_right=True)
+    ).filter(F.col("__later").isNotNull() | F.col("__earlier").isNotNull())
+    joined = join_null_safe(local, carry, [*keys, RANGE], "left")
     nxt = F.coalesce(F.col("__nxt"), F.col("__later"))
     prv = F.coalesce(F.col("__prv"), F.col("__earlier"))
     return joined.withColumn(col, _combine(F.col(col), nxt, prv, direction)).drop(
-        _B, "__split", "__nxt", "__prv", "__later", "__earlier"
+        RANGE, INDEX, "__nxt", "__prv", "__later", "__earlier"
     )
 
 
-def join_null_safe(
-    left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner", broadcast_right: bool = False
-) -> DataFrame:
+def join_null_safe(left: DataFrame, right: DataFrame, cols: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``cols`` where NULL matches NULL (grouping keys may be NULL).
 
-    Spark plans ``<=>`` keys as an ordinary hash/sort-merge equi-join.
-    ``broadcast_right`` only for a right side whose size has a proven bound."""
+    Spark plans ``<=>`` keys as an ordinary hash/sort-merge equi-join."""
     r = right.select(*[F.col(c).alias(f"__r_{c}") for c in cols], *[c for c in right.columns if c not in cols])
-    if broadcast_right:
-        r = F.broadcast(r)
     cond = None
     for c in cols:
         e = left[c].eqNullSafe(r[f"__r_{c}"])

@@ -227,7 +227,7 @@ def collapse_days(df: DataFrame, keys: list[str], day: str = "Day", skew_safe: b
     Numbering uses the skew-safe scan, so one long-running event is not one task."""
     d = df.select(*keys, day).distinct()
     n = number_within(d, keys, [day], "__rn", skew_safe=skew_safe)
-    g = n.withColumn("__island", F.date_sub(F.col(day), F.col("__rn")))
+    g = n.withColumn("__island", F.unix_date(F.col(day)) - F.col("__rn"))
     return g.groupBy(*keys, "__island").agg(
         F.min(day).alias("begin_date"), F.max(day).alias("end_date"), F.count(F.lit(1)).cast("long").alias("n_days")
     ).drop("__island")

@@ -2,8 +2,8 @@
 
 The library never creates a cluster session for the caller; it only tunes SQL
 settings that are safe to change at runtime (AQE, skew join, time zone).  The
-checkpoint folder always comes from ``spark.checkpoint.dir`` when the cluster
-names one; a private temporary folder is only used when it is unset (tests).
+checkpoint folder always comes from ``spark.checkpoint.dir``; a private temporary
+folder is only used when it is unset on a ``local`` master (tests).
 """
 
 from __future__ import annotations
@@ -63,16 +63,26 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "event
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a private one only if unset."""
+    """The folder for intermediate tables, which every executor must be able to
+    read: ``spark.checkpoint.dir`` of the session.  Only a ``local`` master may
+    leave it unset (tests); it then gets a private temporary folder."""
     sc = spark.sparkContext
+    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="eventweave-ckpt-")  # tests only: no cluster folder named
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if not _single_machine(sc.master):
+        raise ValueError(
+            f"spark.checkpoint.dir is not set and the master is {sc.master!r}: name a folder shared by all executors"
+        )
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="eventweave-ckpt-"))
+    return sc.getCheckpointDir()
+
+
+def _single_machine(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -99,4 +109,17 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*stages: DataFrame) -> None:
+    """Delete stage tables made by :func:`materialize` that nothing reads any more."""
+    for df in stages:
+        spark = df.sparkSession
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        root = ensure_checkpoint_dir(spark).rstrip("/")
+        folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+        for folder in folders:
+            if "/tables/" in folder and root.split(":", 1)[-1].lstrip("/") in folder:
+                path = jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(conf).delete(path, True)

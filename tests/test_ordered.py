@@ -1,9 +1,10 @@
-"""Skew-safe scans equal the single-window result, including a hot key."""
+"""Skew-safe scans equal the single-window result, and split every hot key."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from eventweave.operators.ordered import fill_within, number_within, with_group_stats
+from eventweave.operators.ordered import RANGE, fill_within, number_within, ranged, with_group_stats
 
 
 def _frame(spark):
@@ -18,15 +19,16 @@ def _frame(spark):
 
 def test_number_within_matches_window(spark):
     df = _frame(spark)
-    got = number_within(df, ["k"], ["o"], "rn", rows_per_bucket=40)
+    got = number_within(df, ["k"], ["o"], "rn", partitions=9)
     exp = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("o")))
     assert sorted(got.collect(), key=str) == sorted(exp.collect(), key=str)
+    assert dict(got.dtypes)["rn"] == "bigint"
 
 
 def test_fill_within_matches_window(spark):
     df = _frame(spark)
     for direction in ("updown", "downup", "up", "down"):
-        got = fill_within(df, ["k"], ["o"], "v", direction, rows_per_bucket=40)
+        got = fill_within(df, ["k"], ["o"], "v", direction, partitions=9)
         exp = fill_within(df, ["k"], ["o"], "v", direction, skew_safe=False)
         assert sorted(got.collect(), key=str) == sorted(exp.collect(), key=str), direction
 
@@ -38,11 +40,11 @@ def test_group_stats_null_key(spark):
     assert got.filter(F.col("k").isNull()).select("mn").distinct().collect()[0][0] == 0
 
 
-def test_buckets_stable_on_shuffled_input(spark):
-    # input order changes between evaluations (random sort + shuffle): bucket
-    # ids must not, or rows would be lost when the plan is evaluated twice
+def test_ranges_stable_on_shuffled_input(spark):
+    # input order changes between evaluations (random sort + shuffle): the
+    # written ranges must not, or rows would be lost when the plan runs twice
     df = _frame(spark).orderBy(F.rand()).repartition(5)
-    got = number_within(df, ["k"], ["o"], "rn", rows_per_bucket=30)
+    got = number_within(df, ["k"], ["o"], "rn", partitions=12)
     a = sorted(got.collect(), key=str)
     b = sorted(got.collect(), key=str)
     assert a == b and len(a) == 400
@@ -50,16 +52,23 @@ def test_buckets_stable_on_shuffled_input(spark):
     assert a == sorted(exp.collect(), key=str)
 
 
-def test_text_order_with_shared_prefix_splits(spark):
-    # one hot key whose ids share a long prefix: buckets must still spread it
-    rows = [("hot", f"DR-4485_2020-{i:05d}-USA") for i in range(300)] + [("cold", f"x{i}") for i in range(5)]
-    df = spark.createDataFrame(rows, "k STRING, id STRING").orderBy(F.rand())
-    from eventweave.operators.ordered import _B, _bucketed
+HOT = {
+    "shared prefix": [(f"DR-4485_2020-{i:05d}-USA", i) for i in range(3000)],
+    "two id families": [(f"DR-{i:05d}" if i % 2 else f"_EM{i:05d}", i) for i in range(3000)],
+    "outlier": [(f"{i:012d}", i) for i in range(2999)] + [("zzzz", 2999)],
+    "ties in the first column": [("same", i) for i in range(3000)],
+}
 
-    buckets = _bucketed(df, ["k"], ["id"], 50).filter(F.col("k") == "hot").select(_B).distinct().count()
-    assert buckets >= 4
-    got = number_within(df, ["k"], ["id"], "rn", rows_per_bucket=50)
-    exp = spark.createDataFrame(rows, "k STRING, id STRING").withColumn(
-        "rn", F.row_number().over(Window.partitionBy("k").orderBy("id"))
-    )
+
+@pytest.mark.parametrize("case", sorted(HOT))
+@pytest.mark.parametrize("direction", ["asc", "desc"])
+def test_largest_range_of_a_hot_key(spark, case, direction):
+    df = spark.createDataFrame([("hot", a, b) for a, b in HOT[case]], "k STRING, a STRING, b INT").repartition(8)
+    order = [f"a {direction}", f"b {direction}"]
+    staged = ranged(df, ["k"], order, partitions=10)
+    sizes = [r["count"] for r in staged.groupBy(RANGE).count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 3 * 3000 / 10
+    w = Window.partitionBy("k").orderBy(*[F.expr(c.split()[0]).desc() if direction == "desc" else F.expr(c.split()[0]) for c in order])
+    exp = df.withColumn("rn", F.row_number().over(w))
+    got = number_within(df, ["k"], order, "rn", partitions=10)
     assert sorted(got.collect()) == sorted(exp.collect())
