@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash_trie
+from ..session import materialize
+from . import bfd_shards, containment, entropy_mix, ppm, simhash_trie, weak_quality
 from .shipping import ship
 
 
@@ -19,13 +20,39 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(_table(spark, sf_dir, "documents"), ppm.held_out_fold())
+
+
+def op5_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return weak_quality.judge(docs, weak_quality.fit(docs))
+
+
+def op7_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containment.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op8_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = entropy_mix.copies(entropy_mix.sizes(_table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", F.col("taken").cast("long"), "source", "rate", "copies")
+
+
+def op10_bfd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = bfd_shards.text_columns(_table(spark, sf_dir, "documents")).select("doc_id", "size", "text_crc32", "text_md5")
+    placed = bfd_shards.pack(materialize(sized, "sized"))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "text_md5"
+    )
+
+
 def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_trie.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash_trie.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op9_simhash_trie,)}
+    found = {f.__name__: f for f in (op3_ppm, op5_weak_quality, op7_containment, op8_entropy_mix, op9_simhash_trie, op10_bfd_shards)}
 
     def wrap(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: build(ship(spark), sf_dir)

@@ -5,12 +5,12 @@ fingerprints within the Hamming budget, found by walking pairs of nodes of a
 binary trie together.  ``near_duplicates``: one row per document with its
 component.
 
-The join: four differing bits leave one half of the word with at most two, so
-the trie is built twice, once with each half leading, and a pair of nodes is
-dropped when the bits accumulated so far exceed ``budget // 2`` inside the
-leading half or ``budget`` below it.  Spark deals the trie out by its top
+The join: four differing bits leave one third of the word with at most one, so
+the trie is built three times, once with each third leading, and a pair of nodes is
+dropped when the bits accumulated so far exceed ``budget // 3`` inside the
+leading third or ``budget`` below it.  Spark deals the trie out by its top
 nodes: a fingerprint goes to its own prefix and to every lower prefix that a
-leading half within the budget can reach.  A prefix with many members is cut into
+leading third within the budget can reach.  A prefix with many members is cut into
 blocks, and every pair of blocks is joined, so no task holds more than two
 blocks.  Tasks return a spanning forest of the links they found (never the
 pairs of a dense group); connected components join the forests.
@@ -24,12 +24,13 @@ result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -41,8 +42,11 @@ BUDGET = 4
 SEED = 42
 #: members of a trie shard above which it is cut into blocks
 BLOCK = 20_000
-#: fingerprints for each top node of the trie, on average
+#: fingerprints for each top node of the trie, on average, once there are more than 2^TOP_BITS times as many
 TOP_NODE = 2048
+TOP_BITS = 8
+#: (first bit, bits) of the thirds of a fingerprint
+THIRDS = ((0, 22), (22, 21), (43, 21))
 #: node pairs expanded at once inside a task
 FRONTIER = 1 << 20
 
@@ -121,14 +125,14 @@ def _levels(x: np.ndarray, depths: list[int]) -> list[tuple[np.ndarray, np.ndarr
     return out
 
 
-def trie_links(a: np.ndarray, b: np.ndarray, budget: int, top: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def trie_links(a: np.ndarray, b: np.ndarray, budget: int, top: int, lead: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs (i, j) with at most ``budget`` differing bits between a[i] and b[j]
-    and at most ``budget // 2`` of them in the leading half.
+    and at most ``budget // 3`` of them in the ``lead`` leading bits.
 
     ``a``, ``b``: sorted distinct values.  Node pairs are expanded four bits deeper at a
-    time; each carries its accumulated differing bits and is pruned over budget.  The
+    time or fewer; each carries its accumulated differing bits and is pruned over budget.  The
     frontier is expanded in bounded pieces, deepest first."""
-    depths = [d for d in range(0, 65, 4) if d == 0 or d > top]
+    depths = sorted({0, lead, *range(top + 3, lead, 4), *range(lead + 3, 64, 4), 64})
     ta, tb = _levels(a, depths), _levels(b, depths)
     last = len(depths) - 1
     todo = [(0, np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64))]
@@ -152,7 +156,7 @@ def trie_links(a: np.ndarray, b: np.ndarray, budget: int, top: int) -> Iterator[
         mask = np.uint64((1 << width) - 1)
         step = np.bitwise_count((ta[level + 1][0][i2] ^ tb[level + 1][0][j2]) & mask) if width < 64 else 0
         acc2 = acc[pair] + step
-        ok = acc2 <= (budget // 2 if depths[level + 1] <= 32 else budget)
+        ok = acc2 <= (budget // 3 if depths[level + 1] <= lead else budget)
         todo.append((level + 1, i2[ok], j2[ok], acc2[ok]))
 
 
@@ -172,12 +176,14 @@ def _union(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
             label[:] = up
 
 
-def forest(a: np.ndarray, b: np.ndarray, budget: int, top: int) -> tuple[np.ndarray, np.ndarray]:
+def forest(a: np.ndarray, b: np.ndarray, budget: int, top: int, lead: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges (value, smallest value of its class) of the links between ``a`` and ``b``."""
+    if not len(a) or not len(b):
+        return a[:0], a[:0]
     values = np.unique(np.concatenate([a, b]))
     at_a, at_b = np.searchsorted(values, a), np.searchsorted(values, b)
     label = np.arange(len(values))
-    for i, j in trie_links(a, b, budget, top):
+    for i, j in trie_links(a, b, budget, top, lead):
         _union(label, at_a[i], at_b[j])
     moved = np.flatnonzero(label != np.arange(len(values)))
     return values[moved], values[label[moved]]
@@ -190,42 +196,51 @@ def link(fps: DataFrame, budget: int = BUDGET, block: int = BLOCK, top_node: int
     """(a, b): a spanning forest of the graph whose links join distinct fingerprints
     (column ``fp``, no repeats) of at most ``budget`` differing bits."""
     n = fps.count()
-    top = min(20, max(3, int(np.ceil(np.log2(max(n, 1) / top_node))) if n > top_node else 3))
     if not 0 <= budget <= 5:
-        raise ValueError("a leading half may differ in two bits at most: budget 0 to 5")
-    flips = budget // 2
-    near = [0] + [1 << i for i in range(top) if flips >= 1] + [1 << i | 1 << j for i in range(top) for j in range(i) if flips >= 2]
-    turned = F.shiftleft("fp", 32).bitwiseOR(F.shiftrightunsigned("fp", 32))
+        raise ValueError("a leading third may differ in one bit at most: budget 0 to 5")
+    top = min(20, max(TOP_BITS, math.ceil(math.log2(max(n, 1) / top_node))))
+    near = [0] + [1 << i for i in range(top) if budget >= 3]
+    turns = [F.struct(F.lit(k).alias("third"), _rotated("fp", first).alias("v")) for k, (first, _) in enumerate(THIRDS)]
     members = (
-        fps.select(F.explode(F.array(F.struct(F.lit(0).alias("half"), F.col("fp").alias("v")), F.struct(F.lit(1).alias("half"), turned.alias("v")))).alias("s"))
-        .select("s.half", "s.v", F.shiftrightunsigned("s.v", 64 - top).alias("own"))
+        fps.select(F.explode(F.array(*turns)).alias("s"))
+        .select("s.third", "s.v", F.shiftrightunsigned("s.v", 64 - top).alias("own"))
         .withColumn("flip", F.explode(F.array([F.lit(x).cast("long") for x in near])))
         .withColumn("node", F.col("own").bitwiseXOR(F.col("flip")))
         .filter(F.col("node") <= F.col("own"))
-        .select("half", "node", "v", (F.col("flip") == 0).alias("owned"))
+        .select("third", "node", "v", (F.col("flip") == 0).alias("owned"))
     )
-    # members of each top node, from the counts of the prefixes (at most 2^(top+1) rows)
-    sizes = members.groupBy("half", "node").agg(F.count(F.lit(1)).alias("n")).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
-    sizes = materialize(sizes, "trie_nodes")
-    crowded = sizes.filter(F.col("blocks") > 1)
-    members = members.join(crowded.select("half", "node", "blocks"), ["half", "node"], "left")
-    k = F.coalesce("blocks", F.lit(1))
-    salt = F.pmod(F.xxhash64("v"), k).cast("int")
-    # block (s, t): owned members of salt s against all members of salt t
-    as_owner = F.when(F.col("owned"), F.transform(F.sequence(F.lit(0), k - 1), lambda t: F.struct(salt.alias("s"), t.alias("t"), F.lit(True).alias("left"))))
-    as_member = F.transform(F.sequence(F.lit(0), k - 1), lambda s: F.struct(s.alias("s"), salt.alias("t"), F.lit(False).alias("left")))
-    dealt = members.withColumn("at", F.explode(F.concat(F.coalesce(as_owner, F.array().cast("array<struct<s:int,t:int,left:boolean>>")), as_member)))
-    dealt = dealt.select("half", "node", "at.s", "at.t", "at.left", "v")
+    # members of each top node: at most 3 * 2^top rows
+    sizes = members.groupBy("third", "node").agg(F.count(F.lit(1)).alias("n"))
+    sizes = materialize(sizes.withColumn("blocks", F.least(F.ceil(F.col("n") / block), F.lit(65535)).cast("int")), "trie_nodes")
+    crowded = sizes.filter(F.col("blocks") > 1).select("third", "node", "blocks")
+    members = members.join(crowded, ["third", "node"], "left")
+    # block (s, t) of a crowded node: owned members of salt s (role 0) against all members of
+    # salt t (role 1); elsewhere one row plays both roles (2)
+    salt = F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    at = lambda s, t, role: F.struct(s.cast("int").alias("s"), t.cast("int").alias("t"), F.lit(role).alias("role"))
+    as_member = F.transform(every, lambda s: at(s, salt, 1))
+    split = F.when(F.col("owned"), F.concat(F.transform(every, lambda t: at(salt, t, 0)), as_member)).otherwise(as_member)
+    whole = F.array(F.when(F.col("owned"), at(F.lit(0), F.lit(0), 2)).otherwise(at(F.lit(0), F.lit(0), 1)))
+    dealt = members.withColumn("at", F.explode(F.when(F.col("blocks").isNull(), whole).otherwise(split)))
+    key = F.shiftleft(F.col("third").cast("long"), 52) + F.shiftleft("node", 32) + F.shiftleft(F.col("at.s").cast("long"), 16) + F.col("at.t")
+    dealt = dealt.select(key.alias("key"), F.col("at.role").alias("role"), "v")
 
     def shard(table: pa.Table) -> pa.Table:
-        left = table.column("left").combine_chunks().to_numpy(zero_copy_only=False)
+        role = table.column("role").combine_chunks().to_numpy()
         v = table.column("v").combine_chunks().to_numpy().view(np.uint64)
-        x, y = forest(np.unique(v[left]), np.unique(v[~left]), budget, top) if left.any() and not left.all() else (v[:0], v[:0])
-        if len(table) and table.column("half")[0].as_py() == 1:
-            x, y = ((w << np.uint64(32)) | (w >> np.uint64(32)) for w in (x, y))
+        first, lead = THIRDS[table.column("key")[0].as_py() >> 52]
+        x, y = forest(np.unique(v[role != 1]), np.unique(v[role != 0]), budget, top, lead)
+        if first:
+            x, y = ((w >> np.uint64(first)) | (w << np.uint64(64 - first)) for w in (x, y))
         return pa.table({"a": x.view(np.int64), "b": y.view(np.int64)})
 
-    return dealt.groupBy("half", "node", "s", "t").applyInArrow(shard, "a long, b long").distinct()
+    return dealt.groupBy("key").applyInArrow(shard, "a long, b long").distinct()
+
+
+def _rotated(fp: str, by: int) -> Column:
+    """``fp`` with bit ``by`` (from the top) leading."""
+    return F.shiftleft(fp, by).bitwiseOR(F.shiftrightunsigned(fp, 64 - by)) if by else F.col(fp)
 
 
 def _components(marked: DataFrame, budget: int) -> DataFrame:
@@ -265,6 +280,6 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, budget: int = BUDGET, s
     return ranked.filter(F.col("__n") == 1).select(*docs.columns)
 
 
-def hex_fingerprint(fp: str = "fp"):
+def hex_fingerprint(fp: str = "fp") -> Column:
     """The 16 lower-case hex digits of a fingerprint."""
     return F.lpad(F.lower(F.hex(F.col(fp))), 16, "0")
