@@ -2,11 +2,14 @@
 
 The model is a byte-context trie: for every context of up to ``ORDER`` bytes, the bytes
 (or the end of text) that follow it and how often.  A symbol is coded in the longest known
-context; if it was never seen there, an escape is coded (method C: as many escape counts
-as distinct symbols) and the next shorter context is asked, without the symbols that
+context; if it was never seen there, an escape is coded (method D: every distinct symbol
+gives half a count to the escape) and the next shorter context is asked, without the symbols that
 the longer one already offered (exclusion).  Below the empty context, the symbols never seen are
 equally likely.
 
+Counting is single: the corpus' counts go to the longest contexts, and a shorter one
+counts the distinct longer nodes that end in it, which is how often it would be asked.
+
 Pretrained on a corpus, the trie is a Spark table and never goes to one place.  A trie node
 is a number (nine bits a symbol), and because a shorter context has seen all symbols
 its extensions have, an escape's cost depends only on the context it leaves.  So three
@@ -41,7 +44,7 @@ from pyspark.taskcontext import TaskContext
 from ..session import materialize
 from . import bytesops as B
 
-ORDER = 4
+ORDER = 5
 #: symbols: 256 bytes and the end of text
 ALPHABET = 257
 BITS = 9
@@ -131,31 +134,34 @@ class Slice:
             kinds = np.where(after_escape, self.new[left_from], kinds)
         hit = seen >= 0
         with np.errstate(divide="ignore", invalid="ignore"):
-            p = np.where(hit, self.count[seen] if len(self.node) else 1.0, kinds) / (total + kinds)
+            p = np.where(hit, self.count[seen] - 0.5 if len(self.node) else 1.0, kinds / 2) / total
             # nothing new in this context: the escape is certain
             out[idx] += np.where(~hit & (kinds <= 0), 0.0, np.log10(np.where(p > 0, p, 1.0)))
         open_[idx[hit]] = False
 
 
 def adaptive_code_length(text: bytes, order: int = ORDER) -> float:
-    """log10 probability of ``text`` and its end under the model that learns from it alone."""
+    """log10 probability of ``text`` and its end under the model that learns from it alone
+    (a symbol is counted in the context that coded it and the longer ones)."""
     trie: dict[tuple, dict[int, int]] = defaultdict(dict)
     history, out = (), 0.0
     for symbol in [*text.lower(), ALPHABET - 1]:
         excluded: set[int] = set()
+        coded = 0
         for k in range(min(order, len(history)), -1, -1):
             seen = {s: n for s, n in trie[history[len(history) - k :]].items() if s not in excluded}
             if not seen:
                 continue
             total = sum(seen.values())
             if symbol in seen:
-                out += math.log10(seen[symbol] / (total + len(seen)))
+                out += math.log10((seen[symbol] - 0.5) / total)
+                coded = k
                 break
-            out += math.log10(len(seen) / (total + len(seen)))
+            out += math.log10(len(seen) / 2 / total)
             excluded |= set(seen)
         else:
             out -= math.log10(ALPHABET - len(excluded))
-        for k in range(min(order, len(history)) + 1):
+        for k in range(coded, min(order, len(history)) + 1):
             node = trie[history[len(history) - k :]]
             node[symbol] = node.get(symbol, 0) + 1
         history = (*history, symbol)[-order:] if order else ()
@@ -232,6 +238,14 @@ def _blocks(docs: DataFrame, order: int, block_bytes: int) -> tuple[DataFrame, D
     return part("text", "doc_id", "text", "held_out"), part("node", "node", "n"), part("word", "word", "n")
 
 
+def _symbols(node: str, most: int) -> Column:
+    """How many symbols a node holds."""
+    n = F.lit(1)
+    for k in range(1, most):
+        n = F.when(F.col(node) >= F.lit(1 << (BITS * k)), k + 1).otherwise(n)
+    return n
+
+
 def trie(counted: DataFrame, order: int = ORDER) -> DataFrame:
     """The model table from (node, n) of deepest nodes: every node with its count and,
     where it is a context, total, kinds, left_total and left_kinds (what its shorter
@@ -240,23 +254,24 @@ def trie(counted: DataFrame, order: int = ORDER) -> DataFrame:
     masks = [(1 << (BITS * keep)) - 1 for keep in range(1, order + 2)]
     # a node and its suffixes; a suffix as long as the node is the node itself, once
     suffix = F.array_distinct(F.array([F.col("node").bitwiseAND(F.lit(m)) for m in masks]))
-    nodes = materialize(deepest.select(F.explode(suffix).alias("node"), "n").groupBy("node").agg(F.sum("n").alias("n")), "ppm_nodes")
+    raw = deepest.select(F.col("node").alias("deepest"), "n", F.explode(suffix).alias("node"))
+    raw = raw.select("node", F.when(F.col("node") == F.col("deepest"), F.col("n")).otherwise(F.lit(0)).alias("n"))
+    raw = materialize(raw.groupBy("node").agg(F.sum("n").alias("n")), "ppm_suffixes")
+    # single counting: a shorter node counts the distinct longer nodes that end in it
+    longer = raw.withColumn("length", _symbols("node", order + 1)).filter("length > 1")
+    longer = longer.groupBy(F.col("node").bitwiseAND(F.expr(f"shiftleft(1L, {BITS} * (length - 1)) - 1")).alias("short")).agg(F.count(F.lit(1)).alias("longer"))
+    nodes = raw.join(longer, F.col("node") == F.col("short"), "left").select("node", (F.col("n") + F.coalesce("longer", F.lit(0))).alias("n"))
+    nodes = materialize(nodes, "ppm_nodes")
     parent = F.shiftright("node", BITS)
     sizes = nodes.groupBy(parent.alias("context")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
     sizes = materialize(sizes.filter("context > 0"), "ppm_contexts")
     # symbols of a context counted in its shorter context: (context, s) -> (suffix of context, s)
-    length = F.lit(0)
-    for k in range(1, order + 1):
-        length = F.when(F.col("node") >= F.lit(1 << (BITS * k)), k).otherwise(length)  # symbols in the node's context
-    mask = F.expr(f"shiftleft(1L, {BITS} * length) - 1")
-    inner = nodes.withColumn("length", length).filter("length > 0").select(parent.alias("context"), F.col("node").bitwiseAND(mask).alias("short"))
+    mask = F.expr(f"shiftleft(1L, {BITS} * (length - 1)) - 1")
+    inner = nodes.withColumn("length", _symbols("node", order + 1)).filter("length > 1").select(parent.alias("context"), F.col("node").bitwiseAND(mask).alias("short"))
     excluded = inner.join(nodes.select(F.col("node").alias("short"), "n"), "short").groupBy("context").agg(F.sum("n").alias("excluded"))
     # the shorter context's own total and kinds; that of a single symbol is the root
-    clength = F.lit(1)
-    for k in range(2, order + 1):
-        clength = F.when(F.col("context") >= F.lit(1 << (BITS * (k - 1))), k).otherwise(clength)
     cmask = F.expr(f"shiftleft(1L, {BITS} * (clength - 1)) - 1")
-    contexts = sizes.join(excluded, "context").withColumn("clength", clength).withColumn("suffix", F.col("context").bitwiseAND(cmask))
+    contexts = sizes.join(excluded, "context").withColumn("clength", _symbols("context", order)).withColumn("suffix", F.col("context").bitwiseAND(cmask))
     shorter = sizes.select(F.col("context").alias("suffix"), F.col("total").alias("stotal"), F.col("kinds").alias("skinds"))
     root = nodes.filter(F.col("node") <= ALPHABET).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     contexts = contexts.join(shorter, "suffix", "left")
@@ -292,10 +307,10 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: in
     unseen = -math.log10(train_tokens + distinct + 1)
 
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        known = answers.to_pandas()
-        part = Slice(known[known["node"].notna()].astype({"node": "int64"}), order, root)
-        heard = known[known["node"].isna()]
-        count = dict(zip(heard["word"], heard["n"], strict=True))
+        is_node = answers.column("node").is_valid()  # kept apart in Arrow: a null would turn the numbers into doubles
+        part = Slice(answers.filter(is_node).select(["node", "n", "total", "kinds", "left_total", "left_kinds"]).to_pandas(), order, root)
+        heard = answers.filter(answers.column("node").is_null())
+        count = dict(zip(heard.column("word").to_pylist(), heard.column("n").to_pylist(), strict=True))
         out = defaultdict(list)
         for batch in rows.combine_chunks().to_batches():
             for piece in B.slices(batch, "text", PIECE):
