@@ -10,14 +10,15 @@ equally likely.
 Counting is single: the corpus' counts go to the longest contexts, and a shorter one
 counts the distinct longer nodes that end in it, which is how often it would be asked.
 
-Pretrained on a corpus, the trie is a Spark table and never goes to one place.  A trie node
-is a number (nine bits a symbol), and because a shorter context has seen all symbols
-its extensions have, an escape's cost depends only on the context it leaves.  So three
-grouped aggregations give every context its total, its distinct symbols and the
-weight left after exclusion.  Documents are scored in blocks of a bounded number of bytes: the pass
-that counts writes, for each block, its texts and the distinct nodes it mentions; the
-nodes are joined with the model, and each block is scored with just its own slice of the
-trie.  Nothing is broadcast.  ``adaptive_code_length`` is the same model learning from
+Pretrained on a corpus, the trie never goes to one place.  A trie node is a number
+(nine bits a symbol).  All contexts that a symbol can back off to share its last
+context bytes, so the nodes are dealt out by the last two: each task holds whole
+sub-tries (contexts of no or one byte, at most 66,049 nodes, go to all tasks) and
+finds the cost of every distinct deepest node (a symbol in its longest context) that
+any document mentions.  Documents are scored in blocks of a bounded number of bytes:
+the pass that counts writes, for each block, its texts (compressed) and the distinct
+deepest nodes in it; these are joined with their costs, and each block is scored with
+just its own.  ``adaptive_code_length`` is the same model learning from
 the text alone, symbol by symbol.
 
 The add-one unigram baseline (``base_score``) goes the same way with words for nodes.
@@ -36,7 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.taskcontext import TaskContext
@@ -48,8 +49,8 @@ ORDER = 5
 #: symbols: 256 bytes and the end of text
 ALPHABET = 257
 BITS = 9
-#: bytes of text scored at once
-BLOCK = 8 << 20
+#: bytes of text scored with one set of nodes
+BLOCK = 32 << 20
 #: bytes of text turned into nodes at once
 PIECE = 1 << 20
 
@@ -74,71 +75,93 @@ def windows(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarr
     return node, at
 
 
-def _shorter(node: np.ndarray, order: int) -> Iterator[np.ndarray]:
-    """The node and its suffixes of fewer symbols, deepest first (a suffix that is as long
-    as the node itself repeats it)."""
-    for keep in range(order + 1, 0, -1):
-        yield node & ((1 << (BITS * keep)) - 1)
+def _mask(symbols: int) -> int:
+    return (1 << (BITS * symbols)) - 1
 
 
-class Slice:
-    """The part of the trie that a block needs: node -> count, and for nodes that are
-    contexts their total, distinct symbols and the weight left below them."""
+def _symbols(node: np.ndarray, most: int) -> np.ndarray:
+    """How many symbols each node holds."""
+    out = np.ones(len(node), dtype=np.int64)
+    for k in range(1, most):
+        out[node >> (BITS * k) > 0] = k + 1
+    return out
 
-    def __init__(self, nodes: pd.DataFrame, order: int, root: tuple[float, float]):
-        nodes = nodes.sort_values("node")
-        self.order, self.root = order, root
-        self.node = nodes["node"].to_numpy()
-        self.count = nodes["n"].to_numpy(dtype=float)
-        self.total, self.kinds = nodes["total"].to_numpy(dtype=float), nodes["kinds"].to_numpy(dtype=float)
-        self.left, self.new = nodes["left_total"].to_numpy(dtype=float), nodes["left_kinds"].to_numpy(dtype=float)
 
-    def _find(self, node: np.ndarray) -> np.ndarray:
-        if not len(self.node):
-            return np.full(len(node), -1)
-        at = np.minimum(np.searchsorted(self.node, node), len(self.node) - 1)
-        return np.where(self.node[at] == node, at, -1)
+def _merged(node: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct nodes, sorted, with their summed counts."""
+    if not len(node):
+        return node, n
+    distinct, code = np.unique(node, return_inverse=True)
+    return distinct, np.bincount(code, n, len(distinct))
+
+
+class Trie:
+    """A (part of a) trie: for each number of symbols the known nodes with their counts, and
+    for each context what it offers and what its shorter context has left after exclusion.
+
+    ``deepest``, ``n``: deepest nodes and corpus counts.  ``shallow``: nodes of one and two
+    symbols with their counts where these come from the whole trie (else they are counted here)."""
+
+    def __init__(self, deepest: np.ndarray, n: np.ndarray, order: int, shallow: dict[int, tuple] | None = None):
+        self.order = order
+        known = n > 0
+        deepest, n = deepest[known], n[known].astype(float)
+        size = _symbols(deepest, order + 1)
+        self.level: dict[int, tuple] = {}
+        longer = np.empty(0, dtype=np.int64)
+        for k in range(order + 1, 0, -1):
+            if shallow is not None and k in shallow:
+                self.level[k] = shallow[k]
+            else:  # its own corpus counts, and one for each longer node that ends in it
+                own = size == k
+                ends = longer & _mask(k)
+                self.level[k] = _merged(np.concatenate([deepest[own], ends]), np.concatenate([n[own], np.ones(len(ends))]))
+            longer = self.level[k][0]
+        self.context: dict[int, tuple] = {}
+        for k in range(1, order + 2):  # contexts of k - 1 symbols
+            node, count = self.level[k]
+            at, code = np.unique(node >> BITS, return_inverse=True)
+            total, kinds = np.bincount(code, count, len(at)), np.bincount(code, minlength=len(at)).astype(float)
+            left, new = total, kinds
+            if k > 1 and len(at):
+                below, below_count = self.level[k - 1]
+                excluded = np.bincount(code, below_count[np.searchsorted(below, node & _mask(k - 1))], len(at))
+                up = np.searchsorted(self.context[k - 1][0], at & _mask(k - 2))
+                left, new = self.context[k - 1][1][up] - excluded, self.context[k - 1][2][up] - kinds
+            self.context[k] = (at, total, kinds, left, new)
 
     def log10(self, node: np.ndarray) -> np.ndarray:
-        """log10 probability of each (distinct) deepest node's symbol in its context."""
+        """log10 probability of each deepest node's symbol in its context."""
         out = np.zeros(len(node))
-        open_ = np.ones(len(node), dtype=bool)  # not coded yet
-        reached = np.full(len(node), -1)  # the known context that was left by an escape
-        entered = np.zeros(len(node), dtype=bool)  # some context was known
-        top = np.zeros(len(node), dtype=np.int64)
-        for k in range(self.order + 1):
-            top[node >> (BITS * k) > 0] = k  # length of each node's context
-        for k in range(self.order, 0, -1):
-            here = open_ & (top >= k)
-            if not here.any():
+        size = _symbols(node, self.order + 1)
+        todo = np.ones(len(node), dtype=bool)
+        total, kinds = np.zeros(len(node)), np.zeros(len(node))  # offered by the context asked next
+        escaped = np.zeros(len(node), dtype=bool)
+        for k in range(self.order + 1, 0, -1):
+            at, all_total, all_kinds, left, new = self.context[k]
+            here = np.flatnonzero(todo & (size >= k))
+            if not len(here) or not len(at):
                 continue
-            context = self._find((node[here] & ((1 << (BITS * (k + 1))) - 1)) >> BITS)
-            ok = (context >= 0) & (self.kinds[context] > 0)
-            idx, context = np.flatnonzero(here)[ok], context[ok]
-            seen = self._find(node[idx] & ((1 << (BITS * (k + 1))) - 1))
-            self._code(out, open_, idx, seen, self.total[context], self.kinds[context], reached[idx], entered[idx])
-            reached[idx], entered[idx] = context, True
-        idx = np.flatnonzero(open_)
-        seen = self._find(node[idx] & ((1 << BITS) - 1))
-        total, kinds = (np.full(len(idx), x) for x in self.root)
-        if self.root[1] > 0:
-            self._code(out, open_, idx, seen, total, kinds, reached[idx], entered[idx])
-        idx = np.flatnonzero(open_)
-        out[idx] -= math.log10(max(1.0, ALPHABET - self.root[1]))
+            context = (node[here] & _mask(k)) >> BITS
+            c = np.minimum(np.searchsorted(at, context), len(at) - 1)
+            known = at[c] == context
+            here, c = here[known], c[known]
+            offered = np.where(escaped[here], total[here], all_total[c])
+            options = np.where(escaped[here], kinds[here], all_kinds[c])
+            seen, count = self.level[k]
+            mine = node[here] & _mask(k)
+            s = np.minimum(np.searchsorted(seen, mine), len(seen) - 1)
+            hit = seen[s] == mine
+            # a symbol: its count less the half that goes to the escape; nothing new to offer: the escape is certain
+            weight = np.where(hit, count[s] - 0.5, options / 2)
+            sure = ~hit & (options <= 0)
+            out[here[~sure]] += np.log10(weight[~sure] / offered[~sure])
+            todo[here[hit]] = False
+            total[here], kinds[here], escaped[here] = left[c], new[c], True
+        alphabet = self.context[1][2]
+        out[todo] -= math.log10(max(1.0, ALPHABET - (alphabet[0] if len(alphabet) else 0.0)))
         return out
 
-    def _code(self, out, open_, idx, seen, total, kinds, left_from, after_escape) -> None:
-        """Code the symbols ``idx`` in a context, or escape from it; ``left_from`` is the longer context left before."""
-        if len(self.node):
-            total = np.where(after_escape, self.left[left_from], total)
-            kinds = np.where(after_escape, self.new[left_from], kinds)
-        hit = seen >= 0
-        with np.errstate(divide="ignore", invalid="ignore"):
-            p = np.where(hit, self.count[seen] - 0.5 if len(self.node) else 1.0, kinds / 2) / total
-            # nothing new in this context: the escape is certain
-            out[idx] += np.where(~hit & (kinds <= 0), 0.0, np.log10(np.where(p > 0, p, 1.0)))
-        open_[idx[hit]] = False
-
 
 def adaptive_code_length(text: bytes, order: int = ORDER) -> float:
     """log10 probability of ``text`` and its end under the model that learns from it alone
@@ -177,28 +200,21 @@ def held_out_fold(doc_id: str = "doc_id", folds: int = 7, fold: int = 2) -> Colu
 
 
 def _blocks(docs: DataFrame, order: int, block_bytes: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One pass over (doc_id, text, held_out): written tables of the texts by block, of the
-    nodes each block asks for (its deepest nodes, which carry the training counts, their
-    suffixes and contexts) and of its distinct words with their training counts."""
+    """One pass over (doc_id, text, held_out): written tables of the texts by block (packed),
+    of the distinct deepest nodes of each block and of its words, with their training counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
-        task, number = context.partitionId() if context else 0, 0
-        nodes: dict[int, int] = {}
+        name = (context.partitionId() if context else 0) << 24  # its rows are what makes a block, not its number
+        packed = pa.ipc.IpcWriteOptions(compression="zstd")
+        nodes: list[tuple[np.ndarray, np.ndarray]] = []
         words: dict[bytes, int] = {}
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            # the order of a block's rows plays no part, only which block they are in
-            name = task << 24 | number
             if nodes:
-                deepest = np.fromiter(nodes.keys(), np.int64, len(nodes))
-                suffixes = np.unique(np.concatenate(list(_shorter(deepest, order))))
-                asked = np.unique(np.concatenate([suffixes, suffixes >> BITS]))
-                asked = asked[asked > 0]
-                n = np.zeros(len(asked), dtype=np.int64)
-                n[np.searchsorted(asked, deepest)] = np.fromiter(nodes.values(), np.int64, len(nodes))
-                yield _rows("node", name, len(asked), node=pa.array(asked), n=pa.array(n))
+                node, n = _merged(*(np.concatenate(x) for x in zip(*nodes, strict=True)))
+                yield _rows("node", name, len(node), node=pa.array(node), n=pa.array(n.astype(np.int64)))
             if words:
                 n = len(words)
                 yield _rows("word", name, n, word=pa.array(list(words), pa.binary()), n=pa.array(np.fromiter(words.values(), np.int64, n)))
@@ -208,81 +224,64 @@ def _blocks(docs: DataFrame, order: int, block_bytes: int) -> tuple[DataFrame, D
                 data, offsets = B.buffers(part.column("text"))
                 if held and held + len(data) > block_bytes:
                     yield from flush()
-                    nodes, words, held, number = {}, {}, 0, number + 1
+                    nodes, words, held, name = [], {}, 0, name + 1
                 held += len(data) + part.num_rows
                 train = ~part.column("held_out").to_numpy(zero_copy_only=False)
                 node, at = windows(data, offsets, order)
                 code, distinct = pd.factorize(node)
-                n = np.bincount(code, np.repeat(train, np.diff(at)), len(distinct)).astype(np.int64)
-                for x, m in zip(distinct.tolist(), n.tolist(), strict=True):
-                    nodes[x] = nodes.get(x, 0) + m
+                nodes.append((distinct, np.bincount(code, np.repeat(train, np.diff(at)), len(distinct))))
+                if len(nodes) > 8:
+                    nodes = [_merged(*(np.concatenate(x) for x in zip(*nodes, strict=True)))]
                 lower = B.LOWER[data].tobytes()
-                for k, t in enumerate(train.tolist()):
-                    for w in lower[offsets[k] : offsets[k + 1]].split():
-                        words[w] = words.get(w, 0) + t
-                name = task << 24 | number
-                yield _rows("text", name, part.num_rows, doc_id=part.column("doc_id"), text=pa.array([lower[i:j] for i, j in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary()), held_out=part.column("held_out"))
+                texts = [lower[i:j] for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+                for t, counts in zip(texts, train.tolist(), strict=True):
+                    for w in t.split():
+                        words[w] = words.get(w, 0) + counts
+                rows = pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.binary()), part.column("held_out")], ["doc_id", "text", "held_out"])
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, rows.schema, options=packed) as out:
+                    out.write_batch(rows)
+                yield _rows("text", name, 1, texts=pa.array([sink.getvalue().to_pybytes()], pa.binary()), n=pa.array([int(train.sum())], pa.int64()))
         yield from flush()
 
-    kind = docs.schema["doc_id"].dataType
-    columns = {"doc_id": docs.schema["doc_id"], "text": None, "held_out": None, "node": None, "word": None, "n": None}
-    types = {"doc_id": to_arrow_type(kind), "text": pa.binary(), "held_out": pa.bool_(), "node": pa.int64(), "word": pa.binary(), "n": pa.int64()}
+    types = {"texts": pa.binary(), "node": pa.int64(), "word": pa.binary(), "n": pa.int64()}
 
     def _rows(what: str, block: int, size: int, **given) -> pa.RecordBatch:
-        filled = [given[c] if c in given else pa.nulls(size, types[c]) for c in columns]
-        return pa.RecordBatch.from_arrays([pa.array([what] * size, pa.string()), pa.array(np.full(size, block)), *filled], ["what", "block", *columns])
+        filled = [given[c] if c in given else pa.nulls(size, t) for c, t in types.items()]
+        return pa.RecordBatch.from_arrays([pa.array([what] * size, pa.string()), pa.array(np.full(size, block)), *filled], ["what", "block", *types])
 
-    schema = f"what string, block long, doc_id {kind.simpleString()}, text binary, held_out boolean, node long, word binary, n long"
+    schema = "what string, block long, texts binary, node long, word binary, n long"
     written = materialize(docs.mapInArrow(run, schema), "ppm_blocks", partition_by=["what"])
     part = lambda what, *cols: written.filter(F.col("what") == what).select("block", *cols)
-    return part("text", "doc_id", "text", "held_out"), part("node", "node", "n"), part("word", "word", "n")
+    return part("text", "texts", "n"), part("node", "node", "n"), part("word", "word", "n")
+
+
+def node_costs(counted: DataFrame, order: int = ORDER) -> DataFrame:
+    """(known, value): log10 probability of every distinct deepest node of (node, n), where
+    n is its count in training (0: only mentioned by documents to score)."""
+    counted = materialize(counted.groupBy("node").agg(F.sum("n").alias("n")), "ppm_nodes")
+    known = counted.filter("n > 0")
+    ends_in = lambda k: F.col("node").bitwiseAND(F.lit(_mask(k)))
+    exactly = lambda k: (F.col("node") >= (1 << (BITS * (k - 1)))) & (F.col("node") < (1 << (BITS * k)))
+    # nodes of two and one symbols, each counting the distinct longer nodes that end in it
+    three = known.filter(F.col("node") >= (1 << (2 * BITS))).select(ends_in(3).alias("node")).distinct()
+    two = three.select(ends_in(2).alias("node"), F.lit(1).alias("n")).unionByName(known.filter(exactly(2))) if order > 1 else known.filter(exactly(2))
+    one = known.filter(exactly(1))
+    gathered = {k: [(r["node"], r["n"]) for r in t.groupBy("node").agg(F.sum("n").alias("n")).collect()] for k, t in ((2, two), (1, one))}
+    arrays = {k: _merged(np.array([x for x, _ in v], dtype=np.int64), np.array([n for _, n in v], dtype=float)) for k, v in gathered.items()}
+    ends = arrays[2][0] & _mask(1)
+    arrays[1] = _merged(np.concatenate([arrays[1][0], ends]), np.concatenate([arrays[1][1], np.ones(len(ends))]))
+    shallow = {k: v for k, v in arrays.items() if k <= order + 1}
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches), pa.schema([("node", pa.int64()), ("n", pa.int64())]))
+        node, n = (table.column(c).to_numpy() for c in ("node", "n"))
+        if len(node):
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(Trie(node, n, order, shallow).log10(node))], ["known", "value"])
 
-def _symbols(node: str, most: int) -> Column:
-    """How many symbols a node holds."""
-    n = F.lit(1)
-    for k in range(1, most):
-        n = F.when(F.col(node) >= F.lit(1 << (BITS * k)), k + 1).otherwise(n)
-    return n
-
-
-def trie(counted: DataFrame, order: int = ORDER) -> DataFrame:
-    """The model table from (node, n) of deepest nodes: every node with its count and,
-    where it is a context, total, kinds, left_total and left_kinds (what its shorter
-    context has left after exclusion of its symbols)."""
-    deepest = counted.groupBy("node").agg(F.sum("n").alias("n")).filter("n > 0")
-    masks = [(1 << (BITS * keep)) - 1 for keep in range(1, order + 2)]
-    # a node and its suffixes; a suffix as long as the node is the node itself, once
-    suffix = F.array_distinct(F.array([F.col("node").bitwiseAND(F.lit(m)) for m in masks]))
-    raw = deepest.select(F.col("node").alias("deepest"), "n", F.explode(suffix).alias("node"))
-    raw = raw.select("node", F.when(F.col("node") == F.col("deepest"), F.col("n")).otherwise(F.lit(0)).alias("n"))
-    raw = materialize(raw.groupBy("node").agg(F.sum("n").alias("n")), "ppm_suffixes")
-    # single counting: a shorter node counts the distinct longer nodes that end in it
-    longer = raw.withColumn("length", _symbols("node", order + 1)).filter("length > 1")
-    longer = longer.groupBy(F.col("node").bitwiseAND(F.expr(f"shiftleft(1L, {BITS} * (length - 1)) - 1")).alias("short")).agg(F.count(F.lit(1)).alias("longer"))
-    nodes = raw.join(longer, F.col("node") == F.col("short"), "left").select("node", (F.col("n") + F.coalesce("longer", F.lit(0))).alias("n"))
-    nodes = materialize(nodes, "ppm_nodes")
-    parent = F.shiftright("node", BITS)
-    sizes = nodes.groupBy(parent.alias("context")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
-    sizes = materialize(sizes.filter("context > 0"), "ppm_contexts")
-    # symbols of a context counted in its shorter context: (context, s) -> (suffix of context, s)
-    mask = F.expr(f"shiftleft(1L, {BITS} * (length - 1)) - 1")
-    inner = nodes.withColumn("length", _symbols("node", order + 1)).filter("length > 1").select(parent.alias("context"), F.col("node").bitwiseAND(mask).alias("short"))
-    excluded = inner.join(nodes.select(F.col("node").alias("short"), "n"), "short").groupBy("context").agg(F.sum("n").alias("excluded"))
-    # the shorter context's own total and kinds; that of a single symbol is the root
-    cmask = F.expr(f"shiftleft(1L, {BITS} * (clength - 1)) - 1")
-    contexts = sizes.join(excluded, "context").withColumn("clength", _symbols("context", order)).withColumn("suffix", F.col("context").bitwiseAND(cmask))
-    shorter = sizes.select(F.col("context").alias("suffix"), F.col("total").alias("stotal"), F.col("kinds").alias("skinds"))
-    root = nodes.filter(F.col("node") <= ALPHABET).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    contexts = contexts.join(shorter, "suffix", "left")
-    contexts = contexts.select(
-        F.col("context").alias("node"),
-        "total",
-        "kinds",
-        (F.coalesce("stotal", F.lit(root[0])) - F.col("excluded")).alias("left_total"),
-        (F.coalesce("skinds", F.lit(root[1])) - F.col("kinds")).alias("left_kinds"),
-    )
-    return materialize(nodes.join(contexts, "node", "left"), "ppm_trie")
+    # whole sub-tries: nodes whose contexts end in the same two symbols
+    dealt = counted.repartition(F.shiftright("node", BITS).bitwiseAND(F.lit(_mask(2))))
+    return dealt.select("node", "n").mapInArrow(run, "known long, value double")
 
 
 def score(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: int = BLOCK) -> DataFrame:
@@ -292,50 +291,55 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: in
     log10) and score (PPM log10), both over the whole lower-cased text and its end."""
     given = docs.select("doc_id", "text", held_out.alias("held_out"))
     texts, nodes, words = _blocks(given, order, block_bytes)
-    model = trie(nodes.select("node", "n"), order)
-    vocabulary = materialize(words.groupBy("word").agg(F.sum("n").alias("n")).filter("n > 0"), "ppm_words")
-    ends = texts.agg(F.count_if(~F.col("held_out"))).first()[0]
-    total, kinds = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    costs = materialize(node_costs(nodes.select("node", "n"), order), "ppm_costs")
+    # a word has one row a block, so its whole count is a window over as many rows as there are blocks at most
+    total_of = F.sum("n").over(Window.partitionBy("word"))
+    # with a row number to count distinct words without another shuffle
+    nth = F.row_number().over(Window.partitionBy("word").orderBy("block"))
+    spoken = words.select("block", "word", "n").withColumn("value", total_of).withColumn("nth", nth)
+    spoken = materialize(spoken.filter("value > 0").select("block", "word", "value", (F.col("nth") == 1).alias("first")), "ppm_words")
+    ends = texts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    total, kinds = spoken.filter("first").agg(F.coalesce(F.sum("value"), F.lit(0)), F.count(F.lit(1))).first()
     train_tokens, distinct = total + ends, kinds + (1 if ends else 0)
-    root = model.filter(F.col("node") <= ALPHABET).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    root = (float(root[0]), float(root[1]))
-
-    model = model.withColumnRenamed("node", "known")
-    answers = nodes.select("block", "node").join(model.drop("block"), F.col("node") == F.col("known")).select("block", "node", F.lit(None).cast("binary").alias("word"), model["n"], "total", "kinds", "left_total", "left_kinds")
-    none = [F.lit(None).cast("long").alias(c) for c in ("total", "kinds", "left_total", "left_kinds")]
-    spoken = words.select("block", "word").join(vocabulary, "word").select("block", F.lit(None).cast("long").alias("node"), "word", "n", *none)
     unseen = -math.log10(train_tokens + distinct + 1)
+    answers = nodes.select("block", "node").join(costs, F.col("node") == F.col("known"))
+    answers = answers.select("block", "node", F.lit(None).cast("binary").alias("word"), "value")
+    heard = spoken.select("block", F.lit(None).cast("long").alias("node"), "word", F.col("value").cast("double").alias("value"))
 
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         is_node = answers.column("node").is_valid()  # kept apart in Arrow: a null would turn the numbers into doubles
-        part = Slice(answers.filter(is_node).select(["node", "n", "total", "kinds", "left_total", "left_kinds"]).to_pandas(), order, root)
-        heard = answers.filter(answers.column("node").is_null())
-        count = dict(zip(heard.column("word").to_pylist(), heard.column("n").to_pylist(), strict=True))
+        node_rows, word_rows = answers.filter(is_node), answers.filter(answers.column("node").is_null())
+        known, value = node_rows.column("node").to_numpy(), node_rows.column("value").to_numpy()
+        order_ = np.argsort(known)
+        known, value = known[order_], value[order_]
+        count = dict(zip(word_rows.column("word").to_pylist(), word_rows.column("value").to_pylist(), strict=True))
         out = defaultdict(list)
-        for batch in rows.combine_chunks().to_batches():
-            for piece in B.slices(batch, "text", PIECE):
-                data, offsets = B.buffers(piece.column("text"))
-                node, at = windows(data, offsets, order)
-                code, deepest = pd.factorize(node)
-                out["score"].append(B.row_sums(part.log10(deepest)[code], at))
-                raw = data.tobytes()
-                for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                    c = np.fromiter((count.get(w, 0) for w in raw[i:j].split()), dtype=float)
-                    out["n_tokens"].append(len(c) + 1)
-                    out["n_known"].append(int((c > 0).sum()) + (ends > 0))
-                    out["base_score"].append(float(np.log10(c + 1).sum()) + math.log10(ends + 1) + unseen * (len(c) + 1))
-        n = rows.num_rows
+        for blob in rows.column("texts").to_pylist():
+            piece = pa.ipc.open_stream(blob).read_all().combine_chunks()
+            data, offsets = B.buffers(piece.column("text"))
+            node, at = windows(data, offsets, order)
+            code, deepest = pd.factorize(node)
+            out["score"].append(B.row_sums(value[np.searchsorted(known, deepest)][code], at))
+            raw = data.tobytes()
+            for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                c = np.fromiter((count.get(w, 0.0) for w in raw[i:j].split()), dtype=float)
+                out["n_tokens"].append(len(c) + 1)
+                out["n_known"].append(int((c > 0).sum()) + (ends > 0))
+                out["base_score"].append(float(np.log10(c + 1).sum()) + math.log10(ends + 1) + unseen * (len(c) + 1))
+            out["doc_id"] += piece.column("doc_id").to_pylist()
+            out["held_out"] += piece.column("held_out").to_pylist()
         return pa.table({
-            "doc_id": rows.column("doc_id"),
-            "held_out": rows.column("held_out"),
+            "doc_id": pa.array(out["doc_id"], id_type),
+            "held_out": pa.array(out["held_out"], pa.bool_()),
             "n_tokens": pa.array(out["n_tokens"], pa.int64()),
             "n_known": pa.array(out["n_known"], pa.int64()),
-            "train_tokens": pa.array([train_tokens] * n, pa.int64()),
+            "train_tokens": pa.array([train_tokens] * len(out["doc_id"]), pa.int64()),
             "base_score": pa.array(out["base_score"], pa.float64()),
-            "score": pa.array(np.concatenate(out["score"]) if n else [], pa.float64()),
+            "score": pa.array(np.concatenate(out["score"]) if out["score"] else [], pa.float64()),
         })
 
+    id_type = to_arrow_type(docs.schema["doc_id"].dataType)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    replies = answers.unionByName(spoken).withColumnRenamed("block", "of_block")
-    return texts.groupBy("block").cogroup(replies.groupBy("of_block")).applyInArrow(run, schema)
+    replies = answers.unionByName(heard).withColumnRenamed("block", "of_block")
+    return texts.select("block", "texts").groupBy("block").cogroup(replies.groupBy("of_block")).applyInArrow(run, schema)
