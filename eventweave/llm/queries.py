@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from . import bfd_shards, containment, entropy_mix, ppm, simhash_trie, weak_quality
+from . import bfd_shards, containment, entropy_mix, hilbert_ann, ppm, simhash_trie, warc, weak_quality
 from .shipping import ship
 
 
@@ -24,11 +24,22 @@ def op3_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(_table(spark, sf_dir, "documents"), ppm.held_out_fold())
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.archive_folder(spark)
+    warc.write_archives(_table(spark, sf_dir, "pages"), folder)
+    captures = warc.transactions(warc.read_archives(spark, folder, with_payload=False))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_to_page").alias("refers_to"))
+
+
 def op5_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return weak_quality.judge(docs, weak_quality.fit(docs))
 
 
+def op6_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert_ann.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return containment.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -52,7 +63,7 @@ def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op3_ppm, op5_weak_quality, op7_containment, op8_entropy_mix, op9_simhash_trie, op10_bfd_shards)}
+    found = {f.__name__: f for f in (op3_ppm, op4_warc, op5_weak_quality, op6_hilbert_ann, op7_containment, op8_entropy_mix, op9_simhash_trie, op10_bfd_shards)}
 
     def wrap(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: build(ship(spark), sf_dir)
