@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from . import bfd_shards, containment, entropy_mix, hilbert_ann, ppm, simhash_trie, warc, weak_quality
+from . import bfd_shards, containment, entropy_mix, hilbert_ann, language_id, ppm, simhash_trie, url_filter, warc, weak_quality
 from .shipping import ship
 
 
@@ -20,6 +20,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages and all documents, one row each (the id of the other table is null)."""
+    docs = _table(spark, sf_dir, "documents")
+    model = language_id.fit_text(docs.select("doc_id", "text", "lang"))
+    no_id = F.lit(None).cast("long")
+    pages = language_id.page_rows(_table(spark, sf_dir, "pages")).withColumn("doc_id", no_id)
+    rows = language_id.document_rows(docs).withColumn("page_id", no_id).unionByName(pages)
+    found = language_id.identify(rows, model)
+    return found.select("doc_id", "page_id", "declared", "text_lang", "lang", "posterior")
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op3_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm.score(_table(spark, sf_dir, "documents"), ppm.held_out_fold())
 
@@ -63,7 +78,7 @@ def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op3_ppm, op4_warc, op5_weak_quality, op6_hilbert_ann, op7_containment, op8_entropy_mix, op9_simhash_trie, op10_bfd_shards)}
+    found = {f.__name__: f for f in (op1_language_id, op2_url_filter, op3_ppm, op4_warc, op5_weak_quality, op6_hilbert_ann, op7_containment, op8_entropy_mix, op9_simhash_trie, op10_bfd_shards)}
 
     def wrap(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: build(ship(spark), sf_dir)
