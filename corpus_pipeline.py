@@ -47,7 +47,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
-    return bfd_shards.pack(bfd_shards.text_columns(docs)).select(*docs.columns, "size", "shard", "slot")
+    added = ["size", "shard", "slot"]  # in place of columns of these names
+    return bfd_shards.pack(bfd_shards.text_columns(docs)).select(*[c for c in docs.columns if c not in added], *added)
 
 
 STAGES = [

@@ -201,7 +201,8 @@ def _slots(assigned: DataFrame, order: list[str]) -> DataFrame:
 
 
 def text_columns(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``size`` (UTF-8 bytes + 1), ``text_crc32`` and ``text_md5``; a null text reads as empty."""
+    """``docs`` with ``size`` (UTF-8 bytes + 1), ``text_crc32`` and ``text_md5`` (in place of
+    columns of these names); a null text reads as empty."""
     text = F.coalesce("text", F.lit(""))
     return docs.withColumns({"size": F.octet_length(text).cast("long") + 1, "text_crc32": F.crc32(text.cast("binary")), "text_md5": F.md5(text.cast("binary"))})
 
