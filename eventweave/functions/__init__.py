@@ -11,7 +11,7 @@ from .columns import (
     remove_first,
     replace_first,
 )
-from .rules import Rule, apply_rules, rules_frame
+from .rules import Rule, apply_rules
 
 __all__ = [
     "compose_date",
@@ -25,5 +25,4 @@ __all__ = [
     "replace_first",
     "Rule",
     "apply_rules",
-    "rules_frame",
 ]

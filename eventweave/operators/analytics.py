@@ -2,33 +2,49 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import with_group_stats
+from .ordered import INDEX, RANGE, join_null_safe, range_offsets, ranged
 
 
 def summarize(df: DataFrame, col: str, by: list[str] | None = None, approx: bool = False) -> DataFrame:
     """Min, quartiles, median, mean, max (R ``summary``: linear quartiles).
 
-    Exact percentiles keep a value->count map per group (bounded by the distinct
-    values, small for day counts); ``approx=True`` uses the sketch instead."""
-    c = F.col(col)
-    if approx:
-        q = lambda p: F.percentile_approx(c, p, 10000).cast("double")
-    else:
-        q = lambda p: F.percentile(c, F.lit(p))
+    Exact quartiles come from counts per distinct value, running over written ranges of
+    the sorted values, so no task holds a group's values; ``approx=True`` uses the
+    sketch instead."""
+    by, c = list(by or []), F.col(col)
     aggs = [
         F.min(c).cast("double").alias("min"),
-        q(0.25).alias("q1"),
-        q(0.5).alias("median"),
         F.avg(c).alias("mean"),
-        q(0.75).alias("q3"),
         F.max(c).cast("double").alias("max"),
         F.count(F.lit(1)).cast("long").alias("n"),
         F.count(F.when(c.isNull(), 1)).cast("long").alias("n_missing"),
     ]
-    return df.groupBy(*(by or [])).agg(*aggs)
+    shares = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    names = [*by, "min", "q1", "median", "mean", "q3", "max", "n", "n_missing"]
+    if approx:
+        sketch = [F.percentile_approx(c, p, 10000).cast("double").alias(q) for q, p in shares.items()]
+        return df.groupBy(*by).agg(*aggs, *sketch).select(*names)
+    stats = df.groupBy(*by).agg(*aggs)
+    values = df.filter(c.isNotNull()).groupBy(*by, c.cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    rows = ranged(values, by, ["__v"])
+    upto = F.sum("__n").over(Window.partitionBy(*by, RANGE).orderBy(INDEX).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = join_null_safe(rows.withColumn("__upto", upto), range_offsets(rows, by, F.col("__n")), [*by, RANGE])
+    counted = counted.withColumn("__upto", F.col("__upto") + F.col("__off"))
+    totals = rows.groupBy(*by).agg(F.sum("__n").alias("__total"))
+    counted = join_null_safe(counted, totals, by) if by else counted.withColumn("__total", F.lit(totals.first()[0]))
+    at = lambda p: (F.col("__total") - 1) * p  # noqa: E731 (position of the quantile, from 0)
+    value = lambda k: F.min(F.when(F.col("__upto") > k, F.col("__v")))
+    ends = [e for q, p in shares.items() for e in (value(F.floor(at(p))).alias(f"__lo_{q}"), value(F.ceil(at(p))).alias(f"__hi_{q}"))]
+    found = counted.groupBy(*by).agg(*ends, F.first("__total").alias("__total"))
+    between = [
+        (F.col(f"__lo_{q}") + (F.col(f"__hi_{q}") - F.col(f"__lo_{q}")) * (at(p) - F.floor(at(p)))).alias(q) for q, p in shares.items()
+    ]
+    quartiles = found.select(*by, *between)
+    joined = join_null_safe(stats, quartiles, by, "left") if by else stats.join(F.broadcast(quartiles), how="left")
+    return joined.select(*names)
 
 
 def search_events(
@@ -117,74 +133,111 @@ def reconcile(
     return b.join(links, on=b_id, how="left").join(a, on=a_id, how="inner")
 
 
-def event_durations(df: DataFrame, id_col: str, day: str = "Day") -> DataFrame:
-    """Per-row event start/end/length (days, inclusive) — the reference's
-    ``group_by(id) %>% mutate(min, max)`` as aggregate + join (skew-safe)."""
-    t = with_group_stats(df, [id_col], [F.min(day).alias("event_start"), F.max(day).alias("event_end")])
-    return t.withColumn("duration", (F.datediff("event_end", "event_start") + 1).cast("int"))
+def event_lengths(
+    spans: DataFrame, id_col: str, by: list[str], begin: str = "begin_date", end: str = "end_date", by_year: bool = False
+) -> DataFrame:
+    """Per event and group: ``n`` day rows and the event's ``event_start``, ``event_end`` and
+    ``duration`` (days, inclusive, over all its rows), from spans instead of exploded days.
+
+    An event's groups travel as a short array on its one aggregated row (one entry for each
+    group it has), so nothing is joined back.  ``by_year`` splits each span's days by calendar year."""
+    b, e = F.col(begin), F.col(end)
+    t = spans.filter(e >= b)
+    if by_year:
+        t = t.withColumn("__year", F.explode(F.sequence(F.year(b), F.year(e))))
+        first = F.greatest(b, F.make_date("__year", F.lit(1), F.lit(1)))
+        last = F.least(e, F.make_date("__year", F.lit(12), F.lit(31)))
+    else:
+        t, first, last = t.withColumn("__year", F.lit(None).cast("int")), b, e
+    days = F.datediff(last, first) + 1
+    t = t.groupBy(id_col, *by, "__year").agg(F.sum(days).alias("n"), F.min(first).alias("__b"), F.max(last).alias("__e"))
+    group = F.struct(*[F.col(c) for c in by], F.col("__year"), F.col("n"))
+    t = t.groupBy(id_col).agg(F.min("__b").alias("event_start"), F.max("__e").alias("event_end"), F.collect_list(group).alias("__g"))
+    t = t.withColumn("duration", (F.datediff("event_end", "event_start") + 1).cast("int"))
+    t = t.withColumn("__g", F.explode("__g"))
+    return t.select(id_col, *[F.col(f"__g.{c}").alias(c) for c in by], F.col("__g.__year").alias("__year"), F.col("__g.n").alias("n"), "event_start", "event_end", "duration")
+
+
+def _row_mean() -> Column:
+    """Mean duration in which every day row of an event counts."""
+    return F.sum(F.col("duration").cast("double") * F.col("n")) / F.sum("n")
 
 
-def mean_duration(df: DataFrame, id_col: str, by: list[str], day: str = "Day") -> DataFrame:
+def mean_duration(spans: DataFrame, id_col: str, by: list[str], begin: str = "begin_date", end: str = "end_date") -> DataFrame:
     """Mean event length per group, weighted by rows (each day row of an
     event counts, as in the reference), sorted longest first."""
-    t = event_durations(df, id_col, day)
-    return t.groupBy(*by).agg(F.avg("duration").alias("mean_duration")).orderBy(F.desc("mean_duration"))
+    t = event_lengths(spans, id_col, by, begin, end)
+    return t.groupBy(*by).agg(_row_mean().alias("mean_duration")).orderBy(F.desc("mean_duration"))
+
+
+OTHER_YEARS = "Other years"
 
 
 def year_labels(years: list[int]) -> list[str]:
     return [f"Year: {y}" for y in years]
 
 
+def _year_label(year: Column, years: list[int]) -> Column:
+    return F.when(year.isin(*years), F.concat(F.lit("Year: "), year.cast("string"))).otherwise(OTHER_YEARS)
+
+
 def duration_pivot(
-    df: DataFrame,
+    spans: DataFrame,
     id_col: str,
     years: list[int],
     row: str = "state",
-    day: str = "Day",
+    begin: str = "begin_date",
+    end: str = "end_date",
     event_weighted: bool = False,
 ) -> DataFrame:
-    """Mean duration, ``row`` x ``Year: yyyy`` columns.
+    """Mean duration, ``row`` x ``Year: yyyy`` columns; years outside ``years``
+    share the column ``Other years``.
 
     Row-weighted (default) averages over day rows, the year being each row's
-    day; ``event_weighted`` first reduces to one row per (event, row) with the
+    day; ``event_weighted`` has one row per (event, row) with the
     year of the event start.  Pivot values are given, so no extra job is run to
     discover them and the output schema is fixed."""
-    t = event_durations(df, id_col, day)
-    if event_weighted:
-        t = t.select(id_col, row, "event_start", "duration").distinct().withColumn("__year", F.year("event_start"))
-    else:
-        t = t.withColumn("__year", F.year(day))
-    t = t.withColumn("__ylab", F.concat(F.lit("Year: "), F.col("__year").cast("string")))
-    return t.groupBy(row).pivot("__ylab", year_labels(years)).agg(F.avg("duration"))
+    t = event_lengths(spans, id_col, [row], begin, end, by_year=not event_weighted)
+    year = F.year("event_start") if event_weighted else F.col("__year")
+    mean = F.avg("duration") if event_weighted else _row_mean()
+    return t.withColumn("__ylab", _year_label(year, years)).groupBy(row).pivot("__ylab", [*year_labels(years), OTHER_YEARS]).agg(mean)
 
 
 def impact_pivot(
-    df: DataFrame,
+    spans: DataFrame,
     event: Column,
     type_col: str,
     measure: str,
     years: list[int],
-    day: str = "Day",
+    begin: str = "begin_date",
+    end: str = "end_date",
 ) -> DataFrame:
     """Total impact per type and year, years as columns, plus a row total.
 
     Distinct (event, type, measure, year) first, so an event's total is counted
     once per year it touches; a (type, year) sum is NULL when any of its values
-    is missing (``sum`` without ``na.rm``); the row total skips NULL cells."""
-    t = df.select(event.alias("__event"), type_col, measure, F.year(day).alias("__year")).distinct()
-    t = t.withColumn("__ylab", F.concat(F.lit("Year: "), F.col("__year").cast("string")))
+    is missing (``sum`` without ``na.rm``).  Years outside ``years`` share the column
+    ``Other years``; the row total takes every year and skips NULL cells."""
+    t = spans.filter(F.col(end) >= F.col(begin)).select(
+        event.alias("__event"), type_col, measure, F.explode(F.sequence(F.year(begin), F.year(end))).alias("__year")
+    ).distinct()
     strict_sum = F.when(F.count(measure) == F.count(F.lit(1)), F.sum(measure))
-    labels = year_labels(years)
-    wide = t.groupBy(type_col).pivot("__ylab", labels).agg(strict_sum)
+    cells = t.groupBy(type_col, "__year").agg(strict_sum.alias("__cell"))
+    labels = [*year_labels(years), OTHER_YEARS]
+    wide = cells.withColumn("__ylab", _year_label(F.col("__year"), years)).groupBy(type_col).pivot("__ylab", labels).agg(F.sum("__cell"))
+    # every cell is under one of the labels, so their sum is the total of all years
     total = sum((F.coalesce(F.col(f"`{c}`"), F.lit(0.0)) for c in labels), F.lit(0.0))
     return wide.withColumn("total", total).orderBy(F.desc("total"))
 
 
-def category_counts(sources: dict[str, DataFrame], id_col: str, prefix_len: int, type_col: str) -> DataFrame:
-    """Per source, distinct (event prefix, type) -> events per type; sources stacked."""
+def category_counts(sources: dict[str, tuple[DataFrame, str, int]], id_col: str, type_col: str) -> DataFrame:
+    """Per source, distinct (event, type) -> events per type; sources stacked.
+
+    ``sources``: name -> (rows, delimiter, parts): the event id is the first ``parts`` parts
+    of the row id, so ids of any width keep apart."""
     out = None
-    for name, df in sources.items():
-        t = df.select(F.substring(F.col(id_col), 1, prefix_len).alias("__ev"), F.col(type_col).alias("incident_type")).distinct()
+    for name, (df, delimiter, parts) in sources.items():
+        t = df.select(F.substring_index(F.col(id_col), delimiter, parts).alias("__ev"), F.col(type_col).alias("incident_type")).distinct()
         c = t.groupBy("incident_type").agg(F.count(F.lit(1)).cast("long").alias("n_events")).withColumn("Source", F.lit(name))
         out = c if out is None else out.unionByName(c)
     return out.select("Source", "incident_type", "n_events")
@@ -196,21 +249,28 @@ def freq(df: DataFrame, cols: list[str], sort: bool = True) -> DataFrame:
     return t.orderBy(F.desc("n"), *cols) if sort else t
 
 
-def fit_duration(df: DataFrame, formula: str = "duration ~ state + year", max_iter: int = 25) -> DataFrame:
+def fit_duration(
+    df: DataFrame, formula: str = "duration ~ state + year", max_iter: int = 25, by: str = "state"
+) -> tuple[DataFrame, DataFrame]:
     """Poisson GLM of duration on state and year (distributed IRLS in
-    Spark ML).  Returns one row per coefficient: term, estimate."""
+    Spark ML).  Returns one row per coefficient (term, estimate) and, per value of
+    ``by``, the rows fitted with their observed and fitted totals (which agree for
+    every level of a factor in the model, whatever the other terms)."""
     from pyspark.ml.feature import RFormula
     from pyspark.ml.regression import GeneralizedLinearRegression
 
     rf = RFormula(formula=formula, featuresCol="__features", labelCol="__label", handleInvalid="skip")
     fitted = rf.fit(df)
-    data = fitted.transform(df).select("__features", "__label")
+    data = fitted.transform(df).select(by, "__features", "__label")
     glm = GeneralizedLinearRegression(
-        family="poisson", link="log", featuresCol="__features", labelCol="__label", maxIter=max_iter
+        family="poisson", link="log", featuresCol="__features", labelCol="__label", maxIter=max_iter, tol=1e-10
     ).fit(data)
     attrs = data.schema["__features"].metadata.get("ml_attr", {}).get("attrs", {})
     names = {a["idx"]: a["name"] for group in attrs.values() for a in group}
     rows = [("(Intercept)", float(glm.intercept))] + [
         (names.get(i, f"x{i}"), float(v)) for i, v in enumerate(glm.coefficients.toArray())
     ]
-    return df.sparkSession.createDataFrame(rows, "term STRING, estimate DOUBLE")
+    totals = glm.transform(data).groupBy(by).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("__label").alias("observed"), F.sum("prediction").alias("fitted")
+    )
+    return df.sparkSession.createDataFrame(rows, "term STRING, estimate DOUBLE"), totals

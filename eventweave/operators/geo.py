@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_blank, regex_trim
-from .cleaning import union_sources
 
 
 def partition_by_presence(df: DataFrame, region: str = "Region", county: str = "County", out: str = "presence") -> DataFrame:
@@ -22,39 +21,48 @@ def partition_by_presence(df: DataFrame, region: str = "Region", county: str = "
     return df.withColumn(out, label)
 
 
+def label_regions(
+    df: DataFrame, gazetteer: DataFrame, state: str = "State", region: str = "Region", look_up: Column | None = None
+) -> DataFrame:
+    """A17 in one pass: ``df`` with the ``county`` and ``level`` its region stands for.
+
+    1. region is a county of the state -> itself, level ``county``;
+    2. else region is a city of the state -> each county of that city, level ``city``;
+    3. else NULL, NULL: a leftover.
+    Only rows with a region for which ``look_up`` holds are looked up.  The dimensions are
+    deduplicated first, so a join fans out only over the counties of a city."""
+    wanted = ~is_blank(region) if look_up is None else ~is_blank(region) & look_up
+    base = df.withColumn("__look", F.when(wanted, F.col(region)))
+    counties = gazetteer.select(F.col("state_id").alias("__cs"), F.col("county_name").alias("__cn")).distinct()
+    cities = gazetteer.select(
+        F.col("state_id").alias("__gs"), F.col("city").alias("__city"), F.col("county_name").alias("__gc")
+    ).distinct()
+    j = base.join(counties, (base[state] == counties["__cs"]) & (base["__look"] == counties["__cn"]), "left")
+    as_city = F.when(F.col("__cn").isNull(), F.col("__look"))
+    j = j.withColumn("__look", as_city)
+    j = j.join(cities, (j[state] == cities["__gs"]) & (j["__look"] == cities["__city"]), "left")
+    level = F.when(F.col("__cn").isNotNull(), "county").when(F.col("__gc").isNotNull(), "city")
+    j = j.withColumn("county", F.coalesce("__cn", "__gc")).withColumn("level", level)
+    return j.drop("__look", "__cs", "__cn", "__gs", "__city", "__gc")
+
+
 def match_gazetteer(
     df: DataFrame,
     gazetteer: DataFrame,
     id_col: str = "region_id",
     state: str = "State",
     region: str = "Region",
+    presence: str = "presence",
 ) -> tuple[DataFrame, DataFrame]:
     """Cascade a free-text region against a gazetteer (state, city, county).
 
-    1. region is a county of the state            -> level ``county``
-    2. else region is a city of the state          -> each county of that city
-       (pairs already matched as a county are excluded)
-    Returns (matched: id, state, region, county, level) and the leftovers
-    (rows of ``df`` whose id matched nothing).  Dimensions are deduplicated
-    before every join so a join never fans out on duplicate gazetteer rows.
-    """
-    base = df.select(id_col, state, region).filter(~is_blank(region))
-    counties = gazetteer.select(F.col("state_id").alias("__gs"), F.col("county_name").alias("__gc")).distinct()
-    cities = gazetteer.select(
-        F.col("state_id").alias("__gs"), F.col("city").alias("__gcity"), F.col("county_name").alias("__gc")
-    ).distinct()
-
-    as_county = base.join(counties, (base[state] == counties["__gs"]) & (base[region] == counties["__gc"]), "inner").select(
-        id_col, state, region, F.col("__gc").alias("county"), F.lit("county").alias("level")
-    )
-    county_pairs = as_county.select(F.col(state).alias("__ms"), F.col(region).alias("__mr")).distinct()
-    rest = base.join(county_pairs, (base[state] == county_pairs["__ms"]) & (base[region] == county_pairs["__mr"]), "left_anti")
-    as_city = rest.join(cities, (rest[state] == cities["__gs"]) & (rest[region] == cities["__gcity"]), "inner").select(
-        id_col, state, region, F.col("__gc").alias("county"), F.lit("city").alias("level")
-    )
-    matched = union_sources(as_county, as_city)
-    leftovers = df.join(matched.select(id_col).distinct(), on=id_col, how="left_anti")
-    return matched, leftovers
+    Works on the rows that have a region and no county (``presence = region_only``, if ``df``
+    has that label).  Returns (matched: id, state, region, county, level) and the
+    leftovers: those rows whose (state, region) is neither a county nor a city."""
+    rows = df.filter(F.col(presence) == "region_only") if presence in df.columns else df.filter(~is_blank(region))
+    labelled = label_regions(rows.select(id_col, state, region), gazetteer, state, region)
+    found = F.col("level").isNotNull()
+    return labelled.filter(found), labelled.filter(~found).drop("county", "level")
 
 
 def assign_leftovers(leftovers: DataFrame, assignments: DataFrame, id_col: str = "region_id", state: str = "State") -> DataFrame:
@@ -68,6 +76,23 @@ def assign_leftovers(leftovers: DataFrame, assignments: DataFrame, id_col: str =
     ).withColumn("county", regex_trim("county"))
 
 
+def clean_places(
+    df: DataFrame, gazetteer: DataFrame, assignments: DataFrame, id_col: str = "region_id", state: str = "State", region: str = "Region", known: str = "County"
+) -> DataFrame:
+    """The clean geography in one pass over the parsed regions (with ``presence``, see A16):
+    rows whose county was given (level ``known``), matched rows (``county``, ``city``) and hand-assigned
+    leftovers (``manual``).  State-only rows and leftovers nobody assigned have no place."""
+    rows = df.withColumnRenamed(known, "__known")
+    labelled = label_regions(rows, gazetteer, state, region, F.col("presence") == "region_only")
+    given = F.col("presence").isin("both", "county_only")
+    open_ = (F.col("presence") == "region_only") & F.col("level").isNull()
+    a = assignments.select(F.col(id_col).alias("__aid"), F.col("counties").alias("__counties"))
+    j = labelled.withColumn("__open", F.when(open_, F.col(id_col))).join(a, F.col("__open") == F.col("__aid"), "left")
+    counties = F.when(given, F.array("__known")).when(F.col("level").isNotNull(), F.array("county")).otherwise(F.split("__counties", ","))
+    level = F.when(given, "known").when(F.col("level").isNotNull(), F.col("level")).otherwise("manual")
+    return j.select(id_col, state, region, level.alias("level"), F.explode(counties).alias("county")).withColumn("county", regex_trim("county"))
+
+
 def match_coverage(df: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
     """How many rows match the dimension on ``keys`` and how many do not."""
     d = dim.select(*keys).distinct().withColumn("__hit", F.lit(True))

@@ -9,10 +9,18 @@ from ..functions.columns import pad_counter
 from .ordered import fill_within, join_null_safe, number_within
 
 
-def fill_updown(df: DataFrame, key: str, col: str, order: list[str | Column], skew_safe: bool = True) -> DataFrame:
+def fill_updown(
+    df: DataFrame, key: str, col: str, order: list[str | Column], skew_safe: bool = True, fill_null_key: bool = True
+) -> DataFrame:
     """Within ``key``, a missing ``col`` takes the next non-missing value in
-    ``order``, else the previous one.  An explicit order replaces R's row order."""
-    return fill_within(df, [key], order, col, "updown", skew_safe=skew_safe)
+    ``order``, else the previous one.  An explicit order replaces R's row order.
+
+    Rows without a key form a group too; ``fill_null_key=False`` passes them through instead
+    (in the event map they are the rows of the other source alone, whose id is never missing)."""
+    if fill_null_key:
+        return fill_within(df, [key], order, col, "updown", skew_safe=skew_safe)
+    filled = fill_within(df.filter(F.col(key).isNotNull()), [key], order, col, "updown", skew_safe=skew_safe)
+    return filled.unionByName(df.filter(F.col(key).isNull()))
 
 
 def composite_id(df: DataFrame, a_id: str = "femaID", b_id: str = "emdatID", out: str = "smashedID") -> DataFrame:
@@ -32,6 +40,7 @@ def mint_keys(
     carry: tuple[str, ...] = ("femaID", "emdatID"),
     keep_state: bool = True,
     skew_safe: bool = True,
+    existing: DataFrame | None = None,
 ) -> DataFrame:
     """``yyyy_MM_ST_nn`` event keys.
 
@@ -42,6 +51,10 @@ def mint_keys(
     states pairs each place with its own state's key; ``False`` joins on the id
     alone (every place of the id gets every key, as a bare id join does).
     The (month, state) numbering goes through the skew-safe scan.
+
+    ``existing`` (id_col, state, eventKey) is the published key table: its (id, state) pairs keep
+    their keys, and only new pairs are numbered, after the largest stored number of
+    their (month, state).
     """
     # one pass over the (large) event map: every distinct id row with its first
     # day; everything after works on this small table
@@ -50,8 +63,19 @@ def mint_keys(
     starts = id_states.groupBy(id_col).agg(F.min("__d").alias("__start"))
     k = id_states.select(id_col, state).join(starts, on=id_col, how="inner")
     k = k.withColumn("__ym", F.date_format("__start", "yyyy_MM"))
+    stored = None
+    if existing is not None:
+        stored = existing.select(id_col, state, "eventKey").distinct()
+        new = k[id_col].eqNullSafe(stored[id_col]) & k[state].eqNullSafe(stored[state])
+        k = k.join(stored, new, "left_anti")
     k = number_within(k, ["__ym", state], [id_col], "__rn", skew_safe=skew_safe)
+    if stored is not None:
+        number = F.substring_index("eventKey", "_", -1).cast("long")
+        last = stored.groupBy(F.substring_index("eventKey", "_", 2).alias("__ym"), state).agg(F.max(number).alias("__last"))
+        k = join_null_safe(k, last, ["__ym", state], "left").withColumn("__rn", F.col("__rn") + F.coalesce("__last", F.lit(0)))
     k = k.withColumn("eventKey", F.concat_ws("_", F.col("__ym"), F.col(state), pad_counter("__rn", pad)))
+    if stored is not None:
+        k = k.select(id_col, state, "eventKey").unionByName(stored)
     ids = ids.drop("__d")
     if keep_state:
         out = join_null_safe(ids, k.select(id_col, state, "eventKey"), [id_col, state])
@@ -72,18 +96,18 @@ def source_event_id(source: str = "Source", id_col: str = "eventid") -> Column:
 
 
 def mint_source_keys(
-    days: DataFrame,
+    spans: DataFrame,
     source: str = "Source",
     id_col: str = "eventid",
-    day: str = "Day",
+    day: str = "begin_date",
     state: str = "state",
     pad: int = 3,
     skew_safe: bool = True,
 ) -> DataFrame:
     """Older per-source keys (pad 3), all sources bound together.  Returns
     Source, eventid, super_id, state, eventKey."""
-    t = days.withColumn("__super", source_event_id(source, id_col))
-    # one pass over the day rows; the rest works on the distinct ids
+    t = spans.withColumn("__super", source_event_id(source, id_col))
+    # one pass over the spans; the rest works on the distinct ids
     ids = t.groupBy(source, id_col, "__super", state).agg(F.min(day).alias("__d"))
     id_states = ids.groupBy(source, "__super", state).agg(F.min("__d").alias("__d"))
     starts = id_states.groupBy(source, "__super").agg(F.min("__d").alias("__start"))
@@ -95,11 +119,11 @@ def mint_source_keys(
     return out.select(source, id_col, F.col("__super").alias("super_id"), state, "eventKey")
 
 
-def check_disjoint(keys: DataFrame, a_id: str = "femaID", b_id: str = "emdatID") -> DataFrame:
-    """Rows carrying both ids (0 when the sources never share a key row)."""
-    both = F.coalesce(F.col(a_id), F.lit("")) != F.lit("")
-    both = both & (F.coalesce(F.col(b_id), F.lit("")) != F.lit(""))
-    return keys.agg(F.count(F.when(both, 1)).cast("long").alias("n_both"), F.count(F.lit(1)).cast("long").alias("n_rows"))
+def check_disjoint(keys: DataFrame, source: str = "Source", key: str = "eventKey") -> DataFrame:
+    """How many keys are shared by rows of more than one source (0 when the sources
+    are disjoint), and how many keys there are."""
+    per_key = keys.groupBy(key).agg((F.min(source) != F.max(source)).alias("__both"))
+    return per_key.agg(F.count_if("__both").cast("long").alias("n_both"), F.count(F.lit(1)).cast("long").alias("n_keys"))
 
 
 def id_map(

@@ -202,22 +202,20 @@ def event_map(
     """Full outer match of two day tables on (Day, state, county), NULL
     county matching NULL county; keeps both ids.
 
-    Written as matched pairs + unmatched a + unmatched b (inner, left-anti and
-    right-anti joins on the same keys) instead of one FULL OUTER join: AQE can
-    split a skewed partition for those three join types but not for a full
-    outer join, and all three read the same hash partitioning of both sides."""
+    Written as two joins instead of one FULL OUTER join: ``a`` left-joined to ``b``, and
+    the rows of ``b`` whose key ``a`` does not have.  AQE can split a skewed partition
+    for both join types but not for a full outer join."""
     A = a_days.select(*keys, a_id)
     B = b_days.select(*[F.col(k).alias(f"__b_{k}") for k in keys], b_id)
     cond = None
     for k in keys:
         e = A[k].eqNullSafe(B[f"__b_{k}"]) if k in null_safe else (A[k] == B[f"__b_{k}"])
         cond = e if cond is None else cond & e
-    both = A.join(B, cond, "inner").select(*keys, a_id, b_id)
-    only_a = A.join(B, cond, "left_anti").select(*keys, a_id, F.lit(None).cast("string").alias(b_id))
-    only_b = B.join(A, cond, "left_anti").select(
+    with_a = A.join(B, cond, "left").select(*keys, a_id, b_id)
+    only_b = B.join(A.select(*keys).distinct(), cond, "left_anti").select(
         *[F.col(f"__b_{k}").alias(k) for k in keys], F.lit(None).cast("string").alias(a_id), b_id
     )
-    return both.unionByName(only_a).unionByName(only_b)
+    return with_a.unionByName(only_b)
 
 
 def collapse_days(df: DataFrame, keys: list[str], day: str = "Day", skew_safe: bool = True) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import regex_trim
+from ..session import materialize
 from .ordered import number_within
 
 
@@ -22,22 +23,30 @@ def parse_site(df: DataFrame, col: str = "sitename") -> DataFrame:
 
 def recode_binary(df: DataFrame, cols: list[str], suffix: str = "_0") -> DataFrame:
     """Code each answer by its sorted level (1, 2, ...) and write ``2 - code``
-    (yes=1/no=2 becomes 1/0).  Levels are ranked on the distinct values and
-    joined back."""
+    (yes=1/no=2 becomes 1/0).
+
+    One pass stacks the distinct (column, level) rows of all columns; a level's code is
+    its row number within its column (numbers in numeric order).  The written code
+    table is then joined once per column, by level."""
+    stacked = F.array(*[F.struct(F.lit(c).alias("col"), F.col(c).cast("string").alias("level")) for c in cols])
+    levels = df.select(F.explode(stacked).alias("s")).select("s.col", "s.level").filter("level is not null").distinct()
+    levels = levels.withColumn("number", F.expr("try_cast(level AS DOUBLE)"))
+    codes = materialize(number_within(levels, ["col"], ["number asc nulls last", "level"], "code"), "level_codes")
     out = df
     for c in cols:
-        levels = df.select(c).filter(F.col(c).isNotNull()).distinct().withColumn("__all", F.lit(0))
-        # levels are distinct, so their row number is their dense rank; the
-        # skew-safe numbering keeps even a large level set off a single task
-        levels = number_within(levels, ["__all"], [c], "__code").drop("__all")
-        out = out.join(levels, on=c, how="left").withColumn(c + suffix, (F.lit(2) - F.col("__code")).cast("int")).drop("__code")
+        mine = codes.filter(F.col("col") == c).select(F.col("level").alias("__level"), F.col("code").alias("__code"))
+        out = out.join(mine, F.col(c).cast("string") == F.col("__level"), "left")
+        out = out.withColumn(c + suffix, (F.lit(2) - F.col("__code")).cast("int")).drop("__level", "__code")
     return out
 
 
 def crosstab_pct(df: DataFrame, row: str, col: str, levels: list[str], digits: int = 2) -> DataFrame:
     """Row-percent crosstab whose cells read ``45.00% (9)``; a missing
-    answer is its own ``NA`` column, as in a tabulation with NA kept."""
-    t = df.withColumn("__col", F.coalesce(F.col(col).cast("string"), F.lit("NA")))
+    answer is its own ``NA`` column, as in a tabulation with NA kept, and answers
+    outside ``levels`` share the column ``other``, so a row's cells add up to 100 %."""
+    answer = F.coalesce(F.col(col).cast("string"), F.lit("NA"))
+    t = df.withColumn("__col", F.when(answer.isin(*levels), answer).otherwise("other"))
+    levels = [*levels, "other"]
     counts = t.groupBy(row, "__col").agg(F.count(F.lit(1)).alias("__n"))
     totals = counts.groupBy(row).agg(F.sum("__n").alias("__tot"))
     cells = counts.join(totals, on=row, how="inner").withColumn(

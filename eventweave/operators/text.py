@@ -132,31 +132,41 @@ def flag_unparsed(df: DataFrame, col: str, out: str = "inProgress") -> DataFrame
     return df.withColumn(out, F.coalesce(F.col(col).rlike(LOWER), F.lit(False)))
 
 
+CODE = r"\b([A-Z]{2})\b"  # a state code: two capitals standing alone
+
+
 def parse_locations(df: DataFrame, key: str, col: str = "Location") -> DataFrame:
     """Multi-level explode of free-text locations.
 
-    ``"Harris [Houston] (TX), Dade, Broward (FL)"`` ->
-    1. pieces split at ``),`` / ``);`` (position kept),
-    2. ``State`` = every two-capital code of the piece joined by ``, ``,
-    3. the text before the first ``(`` holds regions; a ``[..]`` part is the
-       county; regions split again at ``,`` and trimmed.
-    NULL text yields one row of NULLs (explode_outer).  Output columns:
+    ``"harris [houston], dallas [plano] (TX), dade, broward (FL)"`` ->
+    1. pieces split at ``),`` / ``);`` (position kept);
+    2. a piece without lower-case letters is a list of states: ``State`` is its text and there
+       is no region.  Otherwise ``State`` = its two-capital codes joined by ``, `` and the text
+       without them holds the regions;
+    3. the regions are split at ``),``, ``],`` and ``]``; of each part the text before the first
+       ``(`` or ``[`` names regions and the text up to the next one their county, so every
+       part has its own county;
+    4. the region names are split at ``,``.
+    Blank regions and counties are NULL (a part that holds only the emptied code brackets
+    stays as a state-only row).  NULL text yields one row of NULLs.  Output columns:
     key, piece_no, region_no, State, Region, County, inProgress.
     """
     pieces = df.select(F.col(key), F.posexplode_outer(F.split(F.col(col), r"\),|\);")).alias("piece_no", "piece"))
     pieces = flag_unparsed(pieces, "piece")
-    pieces = pieces.withColumn(
-        "State", F.array_join(F.regexp_extract_all(F.col("piece"), F.lit(r"\b([A-Z]{2})\b"), 1), ", ")
-    )
-    head = F.regexp_extract(F.col("piece"), r"^([^(]*)", 1)
-    pieces = pieces.withColumn(
-        "County", F.nullif(regex_trim(F.regexp_extract(head, r"\[([^\]]*)\]?", 1)), F.lit(""))
-    ).withColumn("__regions", F.regexp_replace(head, r"\[[^\]]*\]?", ""))
-    regions = pieces.select(
-        key, "piece_no", "State", "County", "inProgress",
-        F.posexplode_outer(F.split(F.col("__regions"), ",")).alias("region_no", "Region"),
-    )
-    return regions.withColumn("Region", F.nullif(regex_trim(F.col("Region")), F.lit(""))).select(
-        key, "piece_no", "region_no", "State", "Region", "County", "inProgress"
-    )
+    codes = F.array_join(F.regexp_extract_all(F.col("piece"), F.lit(CODE), 1), ", ")
+    pieces = pieces.withColumn("State", F.when(F.col("inProgress"), codes).otherwise(regex_trim("piece")))
+    text = F.when(F.col("inProgress"), F.regexp_replace("piece", CODE, ""))
+    blank = lambda c: F.nullif(regex_trim(c), F.lit(""))
+
+    def names(part):
+        county = blank(F.regexp_replace(F.regexp_extract(part, r"^[^(\[]*[(\[]([^(\[]*)", 1), r"[),]", ""))
+        return F.transform(F.split(F.regexp_extract(part, r"^([^(\[]*)", 1), ","), lambda r: F.struct(blank(r).alias("Region"), county.alias("County")))
+
+    regions = F.flatten(F.transform(F.split(text, r"\),|\],|\]"), names))
+    out = pieces.select(key, "piece_no", "State", "inProgress", F.posexplode_outer(regions).alias("region_no", "r"))
+    return out.select(key, "piece_no", "region_no", "State", F.col("r.Region").alias("Region"), F.col("r.County").alias("County"), "inProgress")
+
 
+def state_codes(df: DataFrame, state: str = "State") -> DataFrame:
+    """One row for each state code of a piece (a piece without a code keeps one row, NULL)."""
+    return df.withColumn(state, F.explode_outer(F.regexp_extract_all(F.col(state), F.lit(CODE), 1)))

@@ -173,11 +173,11 @@ def star_dates(spark, sf):
 
 
 def star_casualties(spark, sf):
-    return tbl(spark, sf, "lineitem").filter(F.col("l_linenumber") == 1).select(
-        F.col("l_orderkey").cast("string").alias("eventKey"),
-        F.col("l_quantity").alias("nKilled"),
-        F.expr("round(l_tax * 100)").alias("nWounded"),
+    """Casualties of an order: the totals of all its lines."""
+    rows = tbl(spark, sf, "lineitem").groupBy("l_orderkey").agg(
+        F.sum("l_quantity").alias("nKilled"), F.sum(F.expr("round(l_tax * 100)")).alias("nWounded")
     )
+    return rows.select(F.col("l_orderkey").cast("string").alias("eventKey"), "nKilled", "nWounded")
 
 
 def star_locations(spark, sf):
@@ -236,8 +236,8 @@ CTE = {
   SELECT cast(o_orderkey AS VARCHAR) AS eventKey, cast(o_orderdate AS DATE) AS eventStart,
          cast(o_orderdate AS DATE) + cast(o_orderkey % 5 AS INTEGER) AS eventEnd FROM orders)""",
     "star_casualties": """star_casualties AS (
-  SELECT cast(l_orderkey AS VARCHAR) AS eventKey, l_quantity AS nKilled, round(l_tax * 100) AS nWounded
-  FROM lineitem WHERE l_linenumber = 1)""",
+  SELECT cast(l_orderkey AS VARCHAR) AS eventKey, sum(l_quantity) AS nKilled, sum(round(l_tax * 100)) AS nWounded
+  FROM lineitem GROUP BY l_orderkey)""",
     "star_locations": """star_locations AS (
   SELECT cast(o_orderkey AS VARCHAR) AS eventKey, s.abbr AS state, lower(c_mktsegment) AS county
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN states s ON c_nationkey = s.n_nationkey

@@ -6,24 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import q_analytics  # noqa: F401  (registration side effects)
+from . import q_analytics, q_cleaning, q_keys, q_spans, q_survey, q_text  # noqa: F401  (each registers its queries)
 from .base import REGISTRY
 
 
-def _load_all() -> None:
-    import importlib
-
-    for mod in ("q_spans", "q_keys", "q_text", "q_geo", "q_cleaning", "q_survey"):
-        try:
-            importlib.import_module(f"{__package__}.{mod}")
-        except ModuleNotFoundError as e:  # a plan module not written yet
-            if mod not in str(e):
-                raise
-
-
-_load_all()
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: q.build for name, q in REGISTRY.items()}
 

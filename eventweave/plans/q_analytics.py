@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..operators import analytics as an
 from ..operators.geo import expand_counties
-from ..operators.spans import expand_days
 from .base import YEARS, county_dim, decl_spans, impact_spans, register, star_casualties, star_dates, star_locations, star_types, with_ctes
 
 SEARCH = dict(year=1997, state="DS", incident_type="1-URGENT")
@@ -69,9 +68,9 @@ def q_summarize(spark, sf):
     return out.select(*[F.round(c, 6).alias(c) if c in ("q1", "median", "mean", "q3") else F.col(c) for c in out.columns])
 
 
-def _impact_days(spark, sf):
-    """Impact spans, county-less rows spread over the state's counties, by day."""
-    return expand_days(expand_counties(impact_spans(spark, sf), county_dim(spark, sf)))
+def _impact_places(spark, sf):
+    """Impact spans, county-less rows spread over the state's counties."""
+    return expand_counties(impact_spans(spark, sf), county_dim(spark, sf))
 
 
 IMPACT_DAYS_SQL = """impact_days AS (
@@ -98,7 +97,7 @@ IMPACT_DAYS_SQL = """impact_days AS (
     "A50",
 )
 def q_mean_duration(spark, sf):
-    d = _impact_days(spark, sf).filter(F.col("incident_type").startswith("R:"))
+    d = _impact_places(spark, sf).filter(F.col("incident_type").startswith("R:"))
     return an.mean_duration(d, "eventid", ["state"]).withColumn("mean_duration", F.round("mean_duration", 6))
 
 
@@ -106,7 +105,9 @@ def _pivot_sql(value_sql: str, source: str, year_col: str) -> str:
     cols = ",\n       ".join(
         f"round(avg(CASE WHEN {year_col} = {y} THEN {value_sql} END), 6) AS \"Year: {y}\"" for y in YEARS
     )
-    return f"SELECT state,\n       {cols}\nFROM {source} GROUP BY state"
+    listed = ", ".join(map(str, YEARS))
+    other = f"round(avg(CASE WHEN {year_col} NOT IN ({listed}) THEN {value_sql} END), 6) AS \"Other years\""
+    return f"SELECT state,\n       {cols},\n       {other}\nFROM {source} GROUP BY state"
 
 
 @register(
@@ -125,9 +126,9 @@ def _pivot_sql(value_sql: str, source: str, year_col: str) -> str:
     "A51",
 )
 def q_duration_pivot(spark, sf):
-    d = _impact_days(spark, sf).filter(F.col("incident_type").startswith("R:"))
+    d = _impact_places(spark, sf).filter(F.col("incident_type").startswith("R:"))
     out = an.duration_pivot(d, "eventid", YEARS, row="state")
-    return out.select("state", *[F.round(F.col(f"`Year: {y}`"), 6).alias(f"Year: {y}") for y in YEARS])
+    return out.select(*[F.round(F.col(f"`{c}`"), 6).alias(c) if c != "state" else F.col(c) for c in out.columns])
 
 
 @register(
@@ -147,33 +148,27 @@ def q_duration_pivot(spark, sf):
     "A51",
 )
 def q_duration_pivot_events(spark, sf):
-    d = _impact_days(spark, sf).filter(F.col("incident_type").startswith("R:"))
+    d = _impact_places(spark, sf).filter(F.col("incident_type").startswith("R:"))
     out = an.duration_pivot(d, "eventid", YEARS, row="state", event_weighted=True)
-    return out.select("state", *[F.round(F.col(f"`Year: {y}`"), 6).alias(f"Year: {y}") for y in YEARS])
+    return out.select(*[F.round(F.col(f"`{c}`"), 6).alias(c) if c != "state" else F.col(c) for c in out.columns])
 
 
 def _impact_pivot_sql(measure: str) -> str:
-    cells = ",\n  ".join(
-        f"""CASE WHEN count(CASE WHEN yr = {y} THEN 1 END) = count(CASE WHEN yr = {y} THEN {measure} END)
-       THEN sum(CASE WHEN yr = {y} THEN {measure} END) END AS \"Year: {y}\"""" for y in YEARS
-    )
-    total = " + ".join(f'coalesce("Year: {y}", 0.0)' for y in YEARS)
+    cells = ",\n  ".join(f'round(sum(CASE WHEN yr = {y} THEN cell END), 6) AS "Year: {y}"' for y in YEARS)
     return with_ctes(
-        ["impact_spans", "county_dim"],
-        f"""SELECT incident_type, {", ".join(f'round("Year: {y}", 6) AS "Year: {y}"' for y in YEARS)}, round({total}, 6) AS total FROM (
-SELECT incident_type,
-  {cells}
-FROM (SELECT DISTINCT substr(eventid, 1, length(eventid) - 5) AS ev, incident_type, {measure}, year(Day) AS yr FROM impact_days) d
-GROUP BY incident_type) w""",
-        [IMPACT_DAYS_SQL],
+        ["impact_spans"],
+        f"""SELECT incident_type, {cells},
+  round(sum(CASE WHEN yr NOT IN ({", ".join(map(str, YEARS))}) THEN cell END), 6) AS "Other years", round(coalesce(sum(cell), 0.0), 6) AS total
+FROM (SELECT incident_type, yr, CASE WHEN count(*) = count({measure}) THEN sum({measure}) END AS cell
+      FROM (SELECT DISTINCT split_part(eventid, '-', 1) AS ev, incident_type, {measure},
+                   unnest(generate_series(year(begin_date), year(end_date))) AS yr FROM impact_spans WHERE end_date >= begin_date) d
+      GROUP BY incident_type, yr) w GROUP BY incident_type""",
     )
 
 
 def _impact_pivot(spark, sf, measure):
-    d = _impact_days(spark, sf)
-    ev = F.expr("substring(eventid, 1, length(eventid) - 5)")
-    out = an.impact_pivot(d, ev, "incident_type", measure, YEARS)
-    return out.select("incident_type", *[F.round(F.col(f"`Year: {y}`"), 6).alias(f"Year: {y}") for y in YEARS], F.round("total", 6).alias("total"))
+    out = an.impact_pivot(impact_spans(spark, sf), F.substring_index("eventid", "-", 1), "incident_type", measure, YEARS)
+    return out.select(*[F.round(F.col(f"`{c}`"), 6).alias(c) if c != "incident_type" else F.col(c) for c in out.columns])
 
 
 @register("impact_pivot_killed", _impact_pivot_sql("nkill"), "A52")
@@ -191,17 +186,16 @@ def q_impact_pivot_wounded(spark, sf):
     with_ctes(
         ["decl_spans", "impact_spans"],
         """SELECT 'FEMA' AS Source, incident_type, count(*) AS n_events
-FROM (SELECT DISTINCT substr(eventid, 1, 5) AS ev, incident_type FROM decl_spans) a GROUP BY incident_type
+FROM (SELECT DISTINCT array_to_string(string_split(eventid, '-')[1:2], '-') AS ev, incident_type FROM decl_spans) a GROUP BY incident_type
 UNION ALL
 SELECT 'EMDAT' AS Source, incident_type, count(*) AS n_events
-FROM (SELECT DISTINCT substr(eventid, 1, 6) AS ev, incident_type FROM impact_spans) b GROUP BY incident_type""",
+FROM (SELECT DISTINCT split_part(eventid, '-', 1) AS ev, incident_type FROM impact_spans) b GROUP BY incident_type""",
     ),
     "A53",
 )
 def q_category_counts(spark, sf):
-    return an.category_counts({"FEMA": decl_spans(spark, sf)}, "eventid", 5, "incident_type").unionByName(
-        an.category_counts({"EMDAT": impact_spans(spark, sf)}, "eventid", 6, "incident_type")
-    )
+    sources = {"FEMA": (decl_spans(spark, sf), "-", 2), "EMDAT": (impact_spans(spark, sf), "-", 1)}
+    return an.category_counts(sources, "eventid", "incident_type")
 
 
 @register(
@@ -213,11 +207,22 @@ def q_freq(spark, sf):
     return an.freq(decl_spans(spark, sf), ["state", "incident_type"])
 
 
-@register("fit_duration", None, "A55")
+@register(
+    "fit_duration",
+    with_ctes(
+        ["decl_spans"],
+        """SELECT state, count(*) AS n, round(sum(d), 3) AS observed, round(sum(d), 3) AS fitted
+FROM (SELECT state, cast(date_diff('day', begin_date, end_date) AS DOUBLE) AS d FROM decl_spans WHERE end_date IS NOT NULL) x
+GROUP BY state""",
+    ),
+    "A55",
+)
 def q_fit_duration(spark, sf):
+    """Fitted totals of a Poisson model equal the observed ones in every state."""
     d = decl_spans(spark, sf).select(
         F.datediff("end_date", "begin_date").cast("double").alias("duration"),
         "state",
         (F.year("begin_date") - 1990).cast("double").alias("year"),
     ).filter(F.col("duration").isNotNull())
-    return an.fit_duration(d)
+    _, totals = an.fit_duration(d)
+    return totals.select("state", "n", F.round("observed", 3).alias("observed"), F.round("fitted", 3).alias("fitted"))

@@ -11,7 +11,7 @@ from ..operators import marts as mt
 from ..operators.geo import expand_counties
 from ..session import cut_lineage
 from .base import CTE, CTE_DEPS, county_dim, decl_spans, impact_spans, register, stage, tbl, with_ctes
-from .q_spans import event_map_frame, fema_days, fema_spans, impact_days
+from .q_spans import event_map_frame, event_map_rows, fema_spans, impact_days, impact_places
 
 # Our own hazard dictionaries (ordered rules) and hierarchy.
 FEMA_RULES = [
@@ -94,7 +94,7 @@ CTE_DEPS["key_map"] = ["keys"]
 
 def filled_map(spark, sf):
     em = event_map_frame(spark, sf)
-    return ky.fill_updown(em, "femaID", "emdatID", ["Day", "emdatID asc nulls last"])
+    return ky.fill_updown(em, "femaID", "emdatID", ["Day", "emdatID asc nulls last"], fill_null_key=False)
 
 
 @stage
@@ -166,10 +166,10 @@ SD_SQL = """sd AS (
   FROM source_days)"""
 
 
-def source_days(spark, sf):
-    a = fema_days(spark, sf).select(F.lit("FEMA").alias("Source"), F.col("femaID").alias("eventid"), "Day", "state")
-    b = impact_days(spark, sf).select(F.lit("EMDAT").alias("Source"), "eventid", "Day", "state")
-    return a.unionByName(b)
+def source_spans(spark, sf):
+    a = fema_spans(spark, sf).select(F.lit("FEMA").alias("Source"), F.col("femaID").alias("eventid"), "begin_date", "end_date", "state")
+    b = impact_places(spark, sf).select(F.lit("EMDAT").alias("Source"), "eventid", "begin_date", "end_date", "state")
+    return a.unionByName(b).filter(F.col("end_date") >= F.col("begin_date"))
 
 
 @register(
@@ -178,26 +178,21 @@ def source_days(spark, sf):
     "A35",
 )
 def q_source_key_mint(spark, sf):
-    return ky.mint_source_keys(source_days(spark, sf))
+    return ky.mint_source_keys(source_spans(spark, sf))
 
 
 @register(
     "check_disjoint",
     with_ctes(
         ["fema_days", "impact_days"],
-        """SELECT count(CASE WHEN coalesce(f, '') <> '' AND coalesce(e, '') <> '' THEN 1 END) AS n_both, count(*) AS n_rows
-FROM (SELECT CASE WHEN Source = 'FEMA' THEN eventid END AS f, CASE WHEN Source = 'EMDAT' THEN eventid END AS e FROM source_keys) x""",
+        """SELECT count(CASE WHEN n > 1 THEN 1 END) AS n_both, count(*) AS n_keys
+FROM (SELECT eventKey, count(DISTINCT Source) AS n FROM source_keys GROUP BY eventKey) x""",
         [CTE["source_days"], SD_SQL, CTE["source_keys"]],
     ),
     "A36",
 )
 def q_check_disjoint(spark, sf):
-    k = ky.mint_source_keys(source_days(spark, sf))
-    k = k.select(
-        F.when(F.col("Source") == "FEMA", F.col("eventid")).alias("femaID"),
-        F.when(F.col("Source") == "EMDAT", F.col("eventid")).alias("emdatID"),
-    )
-    return ky.check_disjoint(k)
+    return ky.check_disjoint(ky.mint_source_keys(source_spans(spark, sf)))
 
 
 @register(
@@ -239,10 +234,8 @@ JOIN key_map k ON d.id = k.id GROUP BY k.eventKey""",
     "A38",
 )
 def q_dates_table(spark, sf):
-    days = fema_days(spark, sf).select(F.col("femaID").alias("id"), "Day").unionByName(
-        impact_days(spark, sf).select(F.col("eventid").alias("id"), "Day")
-    )
-    return mt.build_dates(days, key_map(spark, sf), "id")
+    spans = source_spans(spark, sf).select(F.col("eventid").alias("id"), "begin_date", "end_date")
+    return mt.build_dates(spans, key_map(spark, sf), "id")
 
 
 @register(
@@ -270,7 +263,7 @@ def q_locations_table(spark, sf):
     with_ctes(
         ["key_map"],
         """SELECT k.eventKey, max(r.nkill) AS nKilled, max(r.nwound) AS nWounded
-FROM (SELECT femaID AS id, nkill, nwound FROM fema WHERE coalesce(nkill, 0) + coalesce(nwound, 0) > 0
+FROM (SELECT femaID AS id, nkill, nwound FROM fema WHERE nkill IS NOT NULL OR nwound IS NOT NULL
       UNION SELECT eventid AS id, coalesce(nkill, 0.0), coalesce(nwound, 0.0) FROM impact_spans) r
 JOIN key_map k ON r.id = k.id GROUP BY k.eventKey""",
     ),
@@ -357,12 +350,33 @@ LEFT JOIN fema f ON p.femaID = f.femaID""",
     "A48",
 )
 def q_dossier(spark, sf):
+    a, _ = _dossier(spark, sf)
+    return a.select("femaID", "emdatID", "eventid", "rowkey", "incident_type", "begin_date", "end_date")
+
+
+@register(
+    "dossier_impacts",
+    with_ctes(
+        ["event_map", "impact_spans"],
+        f"""SELECT p.femaID, p.emdatID, i.rowkey, i.incident_type
+FROM (SELECT DISTINCT femaID, emdatID FROM event_map
+      WHERE Day >= DATE '{DOSSIER['day_from']}' AND Day <= DATE '{DOSSIER['day_to']}' AND state = '{DOSSIER['state']}'
+        AND femaID IS NOT NULL AND emdatID IS NOT NULL) p
+LEFT JOIN impact_spans i ON p.emdatID = i.eventid""",
+    ),
+    "A48",
+)
+def q_dossier_impacts(spark, sf):
+    _, b = _dossier(spark, sf)
+    return b.select("femaID", "emdatID", "rowkey", "incident_type")
+
+
+def _dossier(spark, sf):
     rows = fema_spans(spark, sf).select("femaID", "eventid", "rowkey", "incident_type", "begin_date", "end_date")
     impacts = impact_spans(spark, sf).select(F.col("eventid").alias("emdatID"), "rowkey", "incident_type")
-    a, _ = an.dossier(
-        event_map_frame(spark, sf), DOSSIER["day_from"], DOSSIER["day_to"], {"state": DOSSIER["state"]}, rows, impacts
-    )
-    return a.select("femaID", "emdatID", "eventid", "rowkey", "incident_type", "begin_date", "end_date")
+    day = F.col("Day").between(F.lit(DOSSIER["day_from"]).cast("date"), F.lit(DOSSIER["day_to"]).cast("date"))
+    em = event_map_rows(spark, sf, day & (F.col("state") == DOSSIER["state"]))
+    return an.dossier(em, DOSSIER["day_from"], DOSSIER["day_to"], {"state": DOSSIER["state"]}, rows, impacts)
 
 
 @register(
@@ -383,5 +397,6 @@ JOIN (SELECT DISTINCT femaID, incident_type AS a_type, begin_date AS a_begin, en
 )
 def q_reconcile(spark, sf):
     b = impact_days(spark, sf).withColumnRenamed("eventid", "emdatID")
-    out = an.reconcile(b, event_map_frame(spark, sf), fema_spans(spark, sf), {"state": "EJ"}, "^R:")
+    em = event_map_rows(spark, sf, F.col("state") == "EJ")
+    out = an.reconcile(b, em, fema_spans(spark, sf), {"state": "EJ"}, "^R:")
     return out.select("emdatID", "state", "incident_type", "event_start", "event_end", "femaID", "a_type", "a_begin", "a_end")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import spans as sp
 from ..operators.cleaning import sequence_id
 from ..operators.geo import expand_counties
-from ..session import cut_lineage
+from ..session import cut_lineage, materialize
 from .base import CTE, CTE_DEPS, county_dim, decl_spans, impact_spans, register, stage, states, tbl, with_ctes
 
 # ------------------------------------------------------------------ frames
@@ -94,14 +94,27 @@ def fema_days(spark, sf):
 
 
 def impact_days(spark, sf):
-    return sp.expand_days(expand_counties(impact_spans(spark, sf), county_dim(spark, sf)))
+    return sp.expand_days(impact_places(spark, sf))
 
 
-@stage
-def event_map_frame(spark, sf):
+def impact_places(spark, sf):
+    """Impact spans, county-less rows spread over the state's counties."""
+    return expand_counties(impact_spans(spark, sf), county_dim(spark, sf))
+
+
+def event_map_rows(spark, sf, only=None):
+    """The event map; ``only``: a condition on its keys, put on both sides before they are matched."""
     a = fema_days(spark, sf).select("Day", "state", "county", "femaID")
     b = impact_days(spark, sf).select("Day", "state", "county", F.col("eventid").alias("emdatID"))
-    return cut_lineage(sp.event_map(a, b), "event_map")
+    if only is not None:
+        a, b = a.filter(only), b.filter(only)
+    return sp.event_map(a, b)
+
+
+@stage
+def event_map_frame(spark, sf):
+    """The event map as a written table, for queries that read it more than once."""
+    return materialize(event_map_rows(spark, sf).withColumn("__year", F.year("Day")), "event_map", ["__year"]).drop("__year")
 
 
 # ------------------------------------------------------------------ queries
@@ -111,7 +124,7 @@ def event_map_frame(spark, sf):
     "A09",
 )
 def q_sequence_id(spark, sf):
-    return fema_spans(spark, sf).select("eventid", "rowkey", "femaID")
+    return sequence_id(decl_spans(spark, sf), "eventid", ["rowkey"], 3, out="femaID").select("eventid", "rowkey", "femaID")
 
 
 @register(
@@ -230,7 +243,7 @@ FROM decl_days a JOIN imp_days b ON a.Day = b.Day AND a.state = b.state""",
 )
 def q_match_days_state(spark, sf):
     a, b = _sides(spark, sf)
-    m = sp.match_days(a.drop("county"), b.drop("county"), ["state"], b_begin="b_begin", b_end="b_end")
+    m = sp.match_days(a.drop("county"), b.drop("county"), ["state"], bucket="week", b_begin="b_begin", b_end="b_end")
     return m.select("Day", "state", "a_rowkey", "b_rowkey")
 
 
@@ -279,7 +292,7 @@ def q_match_spans(spark, sf):
     "A28",
 )
 def q_event_map(spark, sf):
-    return event_map_frame(spark, sf)
+    return event_map_rows(spark, sf)
 
 
 @register(

@@ -86,11 +86,12 @@ LEVELS = ["1", "2", "NA"]
         "SELECT year, "
         + ", ".join(
             f"""coalesce(max(CASE WHEN a = '{lv}' THEN printf('%.2f%% (%d)', round(n * 100.0 / tot, 2), n) END), '0.00% (0)') AS "{lv}\""""
-            for lv in LEVELS
+            for lv in [*LEVELS, "other"]
         )
-        + """
+        + f"""
 FROM (SELECT year, a, n, sum(n) OVER (PARTITION BY year) AS tot
-      FROM (SELECT year, coalesce(cast(q26 AS VARCHAR), 'NA') AS a, count(*) AS n FROM panel GROUP BY 1, 2) c) t
+      FROM (SELECT year, CASE WHEN coalesce(cast(q26 AS VARCHAR), 'NA') IN ({", ".join(f"'{lv}'" for lv in LEVELS)})
+                              THEN coalesce(cast(q26 AS VARCHAR), 'NA') ELSE 'other' END AS a, count(*) AS n FROM panel GROUP BY 1, 2) c) t
 GROUP BY year""",
         [PANEL_SQL],
     ),

@@ -200,19 +200,24 @@ CTE["pieces"] = r"""pieces AS (
   UNION ALL SELECT p_partkey, NULL, NULL FROM part_locations WHERE Location IS NULL)"""
 CTE_DEPS["pieces"] = ["part_locations"]
 CTE["pieces2"] = r"""pieces2 AS (
-  SELECT p_partkey, piece_no,
-         array_to_string(regexp_extract_all(piece, '\b([A-Z]{2})\b', 1), ', ') AS State,
-         nullif(regexp_replace(regexp_extract(regexp_extract(piece, '^([^(]*)', 1), '\[([^\]]*)\]?', 1), '^\s+|\s+$', '', 'g'), '') AS County,
-         coalesce(regexp_matches(piece, '\p{Ll}'), false) AS inProgress,
-         regexp_replace(regexp_extract(piece, '^([^(]*)', 1), '\[[^\]]*\]?', '', 'g') AS regions
-  FROM pieces)"""
+  SELECT p_partkey, piece_no, inProgress,
+         CASE WHEN inProgress THEN array_to_string(regexp_extract_all(piece, '\b([A-Z]{2})\b', 1), ', ')
+              ELSE regexp_replace(piece, '^\s+|\s+$', '', 'g') END AS State,
+         CASE WHEN inProgress THEN string_split_regex(regexp_replace(piece, '\b[A-Z]{2}\b', '', 'g'), '\),|\],|\]') END AS parts
+  FROM (SELECT *, coalesce(regexp_matches(piece, '\p{Ll}'), false) AS inProgress FROM pieces) x)"""
 CTE_DEPS["pieces2"] = ["pieces"]
-CTE["parsed"] = r"""parsed AS (
-  SELECT p_partkey, piece_no, j - 1 AS region_no, State,
-         nullif(regexp_replace(rarr[j], '^\s+|\s+$', '', 'g'), '') AS Region, County, inProgress
-  FROM (SELECT *, string_split(regions, ',') AS rarr FROM pieces2 WHERE regions IS NOT NULL) x, range(1, len(rarr) + 1) t(j)
+CTE["parsed"] = r"""parts AS (
+  SELECT p_partkey, piece_no, State, inProgress, j AS part_no, string_split_regex(parts[j], '\(|\[') AS sides
+  FROM pieces2, range(1, len(parts) + 1) t(j) WHERE parts IS NOT NULL),
+names AS (
+  SELECT p_partkey, piece_no, State, inProgress, part_no, m AS name_no, string_split(sides[1], ',')[m] AS name,
+         nullif(regexp_replace(regexp_replace(sides[2], '[),]', '', 'g'), '^\s+|\s+$', '', 'g'), '') AS County
+  FROM parts, range(1, len(string_split(sides[1], ',')) + 1) t(m)),
+parsed AS (
+  SELECT p_partkey, piece_no, row_number() OVER (PARTITION BY p_partkey, piece_no ORDER BY part_no, name_no) - 1 AS region_no,
+         State, nullif(regexp_replace(name, '^\s+|\s+$', '', 'g'), '') AS Region, County, inProgress FROM names
   UNION ALL
-  SELECT p_partkey, piece_no, NULL, State, NULL, County, inProgress FROM pieces2 WHERE regions IS NULL)"""
+  SELECT p_partkey, piece_no, NULL, State, NULL, NULL, inProgress FROM pieces2 WHERE parts IS NULL)"""
 CTE_DEPS["parsed"] = ["pieces2"]
 
 
@@ -261,29 +266,40 @@ CTE["gaz"] = """gaz AS (
   SELECT s.abbr AS state_id, split_part(p_name, ' ', 2) AS city, split_part(p_name, ' ', 1) AS county_name
   FROM part JOIN states s ON p_partkey % 25 = s.n_nationkey WHERE p_size % 3 = 0)"""
 CTE_DEPS["gaz"] = ["states"]
-CTE["regions"] = """regions AS (
+CTE["regions"] = r"""region_rows AS (
   SELECT concat_ws('_', cast(p_partkey AS VARCHAR), cast(piece_no AS VARCHAR), cast(region_no AS VARCHAR)) AS region_id,
-         substr(State, 1, 2) AS State, Region FROM parsed)"""
+         regexp_extract_all(State, '\b([A-Z]{2})\b', 1) AS codes, Region, County,
+         CASE WHEN Region IS NOT NULL AND County IS NOT NULL THEN 'both' WHEN Region IS NOT NULL THEN 'region_only'
+              WHEN County IS NOT NULL THEN 'county_only' ELSE 'none' END AS presence
+  FROM parsed),
+regions AS (
+  SELECT region_id, unnest(codes) AS State, Region, County, presence FROM region_rows
+  UNION ALL SELECT region_id, NULL, Region, County, presence FROM region_rows WHERE coalesce(len(codes), 0) = 0)"""
 CTE_DEPS["regions"] = ["parsed"]
 CTE["matched"] = """matched AS (
   SELECT b.region_id, b.State, b.Region, c.county_name AS county, 'county' AS level
-  FROM (SELECT * FROM regions WHERE Region IS NOT NULL AND Region <> '') b
+  FROM (SELECT * FROM regions WHERE presence = 'region_only') b
   JOIN (SELECT DISTINCT state_id, county_name FROM gaz) c ON b.State = c.state_id AND b.Region = c.county_name
   UNION ALL
   SELECT r.region_id, r.State, r.Region, c.county_name AS county, 'city' AS level
-  FROM (SELECT * FROM regions b WHERE Region IS NOT NULL AND Region <> ''
+  FROM (SELECT * FROM regions b WHERE presence = 'region_only'
         AND NOT EXISTS (SELECT 1 FROM gaz g WHERE g.state_id = b.State AND g.county_name = b.Region)) r
   JOIN (SELECT DISTINCT state_id, city, county_name FROM gaz) c ON r.State = c.state_id AND r.Region = c.city)"""
 CTE_DEPS["matched"] = ["regions", "gaz"]
+CTE["leftovers"] = """leftovers AS (
+  SELECT r.region_id, r.State, r.Region FROM regions r WHERE presence = 'region_only' AND NOT EXISTS (
+    SELECT 1 FROM matched m WHERE m.region_id = r.region_id AND m.State = r.State AND m.Region = r.Region))"""
+CTE_DEPS["leftovers"] = ["matched"]
 
 
 def regions_frame(spark, sf):
-    p = parsed_locations(spark, sf)
-    return p.select(
+    """Every parsed region once for each state code of its piece, with its presence label."""
+    p = geo.partition_by_presence(parsed_locations(spark, sf))
+    p = p.select(
         F.concat_ws("_", F.col("p_partkey").cast("string"), F.col("piece_no").cast("string"), F.col("region_no").cast("string")).alias("region_id"),
-        F.substring("State", 1, 2).alias("State"),
-        "Region",
-    )
+        "State", "Region", "County", "presence",
+    )
+    return tx.state_codes(p)
 
 
 def gazetteer_result(spark, sf):
@@ -302,7 +318,7 @@ def q_gazetteer_match(spark, sf):
 
 @register(
     "gazetteer_leftovers",
-    with_ctes(["matched"], "SELECT region_id, State, Region FROM regions WHERE region_id NOT IN (SELECT region_id FROM matched)"),
+    with_ctes(["leftovers"], "SELECT region_id, State, Region FROM leftovers"),
     "A17",
 )
 def q_gazetteer_leftovers(spark, sf):
@@ -316,11 +332,13 @@ CTE["assignments"] = """assignments AS (
 CTE["places"] = r"""places AS (
   SELECT region_id, State, Region, county, level FROM matched
   UNION ALL
+  SELECT region_id, State, Region, County, 'known' FROM regions WHERE presence IN ('both', 'county_only')
+  UNION ALL
   SELECT l.region_id, l.State, l.Region, regexp_replace(unnest(string_split(a.counties, ',')), '^\s+|\s+$', '', 'g') AS county,
          'manual' AS level
-  FROM (SELECT * FROM regions WHERE region_id NOT IN (SELECT region_id FROM matched)) l
+  FROM leftovers l
   JOIN assignments a ON l.region_id = a.region_id)"""
-CTE_DEPS["places"] = ["matched", "assignments"]
+CTE_DEPS["places"] = ["leftovers", "assignments"]
 
 
 def assignments(spark, sf):
@@ -332,10 +350,8 @@ def assignments(spark, sf):
 
 
 def places_frame(spark, sf):
-    matched, left = gazetteer_result(spark, sf)
-    manual = geo.assign_leftovers(left, assignments(spark, sf))
-    return matched.select("region_id", "State", "Region", "county", "level").unionByName(
-        manual.select("region_id", "State", "Region", "county", "level")
+    return geo.clean_places(regions_frame(spark, sf), part_gazetteer(spark, sf), assignments(spark, sf)).select(
+        "region_id", "State", "Region", "county", "level"
     )
 
 

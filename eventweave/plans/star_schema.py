@@ -56,7 +56,7 @@ def build_star_schema(
     a_days = sp.expand_days(d).select("Day", "state", "county", "femaID")
     b_days = sp.expand_days(i).select("Day", "state", "county", "emdatID")
     em = cut_lineage(sp.event_map(a_days, b_days), "event_map")
-    filled = ky.fill_updown(em, "femaID", "emdatID", ["Day", "emdatID asc nulls last"])
+    filled = ky.fill_updown(em, "femaID", "emdatID", ["Day", "emdatID asc nulls last"], fill_null_key=False)
     comp = cut_lineage(ky.composite_id(filled), "composite_map")
     keys = cut_lineage(ky.mint_keys(comp), "keys")
 
@@ -65,11 +65,13 @@ def build_star_schema(
         .unionByName(keys.filter(F.col("emdatID") != "").select(F.col("emdatID").alias("id"), "eventKey"))
         .distinct()
     )
-    days = a_days.select(F.col("femaID").alias("id"), "Day").unionByName(b_days.select(F.col("emdatID").alias("id"), "Day"))
+    spans = d.select(F.col("femaID").alias("id"), "begin_date", "end_date").unionByName(
+        i.select(F.col("emdatID").alias("id"), "begin_date", "end_date")
+    )
     places = d.select(F.col("femaID").alias("id"), "state", "county").unionByName(
         i.select(F.col("emdatID").alias("id"), "state", "county")
     )
-    dates = mt.build_dates(days, key_map, "id")
+    dates = mt.build_dates(spans, key_map, "id")
     locations = mt.build_locations(places, key_map, "id")
     casualties = mt.build_casualties(
         d.select(F.col("femaID").alias("id"), "nkill", "nwound"), i.select(F.col("emdatID").alias("id"), "nkill", "nwound"), key_map, "id"

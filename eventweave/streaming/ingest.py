@@ -2,17 +2,17 @@
 
 The reference re-reads finished source exports in full.  Here a new export
 dropped into a folder is picked up by Structured Streaming, normalized with the
-same batch operator, and appended to the span table; the stream's checkpoint
-(under the shared ``spark.checkpoint.dir``) records which files are done, so a
-restart or a lost executor never loads a file twice or skips one.
+same batch operator, and appended to the span table.  The stream's checkpoint
+records which files are done, and the table is written by the parquet file sink,
+which logs the files of every finished batch: readers see just those, so a
+batch that is repeated after a failure is in the table once.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 from ..operators.cleaning import clean_admin, normalize_declarations
-from ..session import ensure_checkpoint_dir
 from ..sources.schemas import RAW_SCHEMAS
 
 
@@ -22,7 +22,8 @@ def ingest_declarations(
     table_dir: str,
     cutoff: str = "1990-01-01",
     allowed_states: list[str] | None = None,
-    checkpoint: str | None = None,
+    *,
+    checkpoint: str,
     wait: bool = True,
 ):
     """Normalize every declaration CSV in ``source_dir`` not yet ingested and
@@ -30,9 +31,10 @@ def ingest_declarations(
 
     Runs with ``availableNow``: it processes what is there, then stops (a
     scheduled job), in bounded micro-batches of ``maxFilesPerTrigger`` files.
+
+    ``checkpoint`` belongs to this (source, table) pair alone and must be in a folder that all
+    executors share.
     """
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    checkpoint = checkpoint or f"{root}/streams/ingest_declarations"
     raw = (
         spark.readStream.schema(RAW_SCHEMAS["declarations_raw"])
         .option("header", True)
@@ -43,10 +45,8 @@ def ingest_declarations(
     if allowed_states is not None:
         spans = clean_admin(spans, allowed_states)
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("append").parquet(table_dir)
-
-    q = spans.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    out = spans.writeStream.format("parquet").option("path", table_dir).option("checkpointLocation", checkpoint)
+    q = out.outputMode("append").trigger(availableNow=True).start()
     if wait:
         q.awaitTermination()
     return q

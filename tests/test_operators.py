@@ -3,12 +3,14 @@
 import datetime as dt
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from eventweave.functions.columns import compose_date, pad_counter, replace_first
 from eventweave.functions.rules import Rule, apply_rules
 from eventweave.operators import analytics as an
-from eventweave.operators import geo, keys, marts, spans, text
+from eventweave.operators import geo, keys, marts, spans, survey, text
 
 D = dt.date
 
@@ -56,14 +58,43 @@ def test_whole_word_strip_keeps_names(spark):
 
 
 def test_parse_locations_levels(spark):
-    df = spark.createDataFrame(
-        [(1, "Harris [Houston] (TX), Dade, Broward (FL)"), (2, None), (3, "Cook (IL), ")], "k INT, Location STRING"
-    )
+    """Rows written by hand from the reference's splitting rules."""
+    texts = {
+        1: "harris [houston], dallas [plano] (TX), dade, broward (FL)",
+        2: None,
+        3: "cook (IL), ",
+        4: "fort worth (tarrant) (TX)",
+        5: "TX, FL",
+        6: "panhandle (TX, OK)",
+    }
+    df = spark.createDataFrame(list(texts.items()), "k INT, Location STRING")
     rows = text.parse_locations(df, "k").orderBy("k", "piece_no", "region_no").collect()
-    r1 = [(r.State, r.Region, r.County) for r in rows if r.k == 1]
-    assert r1 == [("TX", "Harris", "Houston"), ("FL", "Dade", None), ("FL", "Broward", None)]
-    assert [(r.State, r.Region) for r in rows if r.k == 2] == [(None, None)]
-    assert [(r.State, r.Region) for r in rows if r.k == 3][0] == ("IL", "Cook")
+    got = {k: [(r.State, r.Region, r.County) for r in rows if r.k == k] for k in texts}
+    assert got[1] == [("TX", "harris", "houston"), ("TX", "dallas", "plano"), ("TX", None, None), ("FL", "dade", None), ("FL", "broward", None)]
+    assert got[2] == [(None, None, None)]
+    assert got[3][0] == ("IL", "cook", None)
+    assert got[4] == [("TX", "fort worth", "tarrant")]
+    assert got[5] == [("TX, FL", None, None)]
+    codes = text.state_codes(text.parse_locations(df, "k")).filter("k in (5, 6)").collect()
+    assert sorted((r.k, r.State, r.Region) for r in codes) == [(5, "FL", None), (5, "TX", None), (6, "OK", "panhandle"), (6, "TX", "panhandle")]
+
+
+def test_places_keep_known_counties_and_skip_blank_regions(spark):
+    rows = [
+        ("1", "TX", "harris", None), ("2", "TX", "plano", None), ("2", "OK", "plano", None), ("3", "TX", "houston", "harris"),
+        ("4", "TX", None, "dallas"), ("5", "TX", None, None), ("6", "TX", "nowhere", None), ("7", "TX", "elsewhere", None),
+    ]
+    df = geo.partition_by_presence(spark.createDataFrame(rows, "region_id STRING, State STRING, Region STRING, County STRING"))
+    gaz = spark.createDataFrame([("TX", "plano", "dallas"), ("TX", "plano", "collin"), ("TX", "x", "harris"), ("OK", "y", "tulsa")], "state_id STRING, city STRING, county_name STRING")
+    hand = spark.createDataFrame([("6", "travis, hays"), ("1", "ignored")], "region_id STRING, counties STRING")
+    matched, left = geo.match_gazetteer(df, gaz)
+    assert sorted((r.region_id, r.State) for r in left.collect()) == [("2", "OK"), ("6", "TX"), ("7", "TX")]
+    assert sorted((r.region_id, r.county, r.level) for r in matched.collect()) == [("1", "harris", "county"), ("2", "collin", "city"), ("2", "dallas", "city")]
+    places = sorted((r.region_id, r.State, r.county, r.level) for r in geo.clean_places(df, gaz, hand).collect())
+    assert places == [
+        ("1", "TX", "harris", "county"), ("2", "TX", "collin", "city"), ("2", "TX", "dallas", "city"), ("3", "TX", "harris", "known"),
+        ("4", "TX", "dallas", "known"), ("6", "TX", "hays", "manual"), ("6", "TX", "travis", "manual"),
+    ]
 
 
 def test_presence_labels_exhaustive(spark):
@@ -181,10 +212,86 @@ def test_hierarchy_fallback(spark):
 
 
 def test_impact_pivot_na_propagates(spark):
-    rows = [("e1", "Flood", 3.0, D(2000, 1, 1)), ("e2", "Flood", None, D(2000, 2, 1)), ("e3", "Flood", 5.0, D(2001, 1, 1))]
-    df = spark.createDataFrame(rows, "ev STRING, t STRING, n DOUBLE, Day DATE")
+    rows = [
+        ("e1", "Flood", 3.0, D(2000, 1, 1), D(2000, 1, 1)), ("e2", "Flood", None, D(2000, 2, 1), D(2000, 2, 2)),
+        ("e3", "Flood", 5.0, D(2001, 1, 1), D(2001, 1, 1)), ("e4", "Flood", 7.0, D(2001, 12, 31), D(2003, 1, 1)),
+    ]
+    df = spark.createDataFrame(rows, "ev STRING, t STRING, n DOUBLE, begin_date DATE, end_date DATE")
     r = an.impact_pivot(df, F.col("ev"), "t", "n", [2000, 2001]).first()
-    assert r["Year: 2000"] is None and r["Year: 2001"] == 5.0 and r["total"] == 5.0
+    # years outside the list (2002, 2003) keep their totals
+    assert r["Year: 2000"] is None and r["Year: 2001"] == 12.0 and r["Other years"] == 14.0 and r["total"] == 26.0
+
+
+def test_durations_weigh_day_rows_and_keep_every_year(spark):
+    rows = [("a", "TX", D(1999, 12, 30), D(2000, 1, 2)), ("a", "FL", D(2000, 1, 5), D(2000, 1, 5)), ("b", "TX", D(2005, 3, 1), D(2005, 3, 1)), ("c", "TX", D(2005, 3, 2), D(2005, 3, 1))]
+    df = spark.createDataFrame(rows, "eventid STRING, state STRING, begin_date DATE, end_date DATE")
+    days = [(i, s, b + dt.timedelta(days=k)) for i, s, b, e in rows for k in range((e - b).days + 1)]
+    length = {i: (max(d for j, _, d in days if j == i) - min(d for j, _, d in days if j == i)).days + 1 for i in "ab"}
+    mean = lambda keep: sum(length[i] for i, s, d in days if keep(s, d)) / sum(1 for i, s, d in days if keep(s, d))
+    got = {r.state: r.mean_duration for r in an.mean_duration(df, "eventid", ["state"]).collect()}
+    assert got == pytest.approx({s: mean(lambda x, d, s=s: x == s) for s in ("TX", "FL")})
+    wide = {r.state: r for r in an.duration_pivot(df, "eventid", [1999, 2000]).collect()}
+    assert wide["TX"]["Year: 1999"] == 7 and wide["TX"]["Year: 2000"] == 7 and wide["TX"]["Other years"] == 1
+    wide = {r.state: r for r in an.duration_pivot(df, "eventid", [1999], event_weighted=True).collect()}
+    assert wide["FL"]["Year: 1999"] == 7 and wide["TX"]["Other years"] == 1
+
+
+def test_crosstab_keeps_unlisted_answers(spark):
+    df = spark.createDataFrame([(2000, 1), (2000, 9), (2001, None)], "year INT, q INT")
+    got = {r.year: r for r in survey.crosstab_pct(df, "year", "q", ["1", "2", "NA"]).collect()}
+    assert got[2000]["1"] == "50.00% (1)" and got[2000]["other"] == "50.00% (1)" and got[2001]["NA"] == "100.00% (1)"
+
+
+def test_recode_ranks_numbers_as_numbers(spark):
+    df = spark.createDataFrame([(2, "b"), (10, "a"), (None, "b")], "x INT, y STRING")
+    rows = survey.recode_binary(df, ["x", "y"]).collect()
+    assert sorted((r.x or 0, r.x_0, r.y_0) for r in rows) == [(0, None, 0), (2, 1, 0), (10, 0, 1)]
+    plan = survey.recode_binary(df, ["x", "y"])._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan
+
+
+def test_summary_quartiles(spark):
+    rng = random.Random(4)
+    rows = [(g, rng.choice([None, *range(40)])) for g in ("a", "b", None) for _ in range(200)] + [("empty", None)]
+    df = spark.createDataFrame(rows, "g STRING, v INT")
+    got = {r.g: r for r in an.summarize(df, "v", ["g"]).collect()}
+    for g in ("a", "b", None):
+        v = sorted(x for h, x in rows if h == g and x is not None)
+        assert [got[g].q1, got[g].median, got[g].q3] == pytest.approx(np.percentile(v, [25, 50, 75]).tolist())
+        assert got[g].n == 200 and got[g].n_missing == 200 - len(v)
+    assert got["empty"].median is None and got["empty"].n_missing == 1
+    whole = an.summarize(df, "v").first()
+    assert whole.median == pytest.approx(float(np.percentile([x for _, x in rows if x is not None], 50)))
+
+
+def test_keys_are_stable_when_rows_arrive(spark):
+    schema = "Day DATE, state STRING, smashedID STRING, femaID STRING, emdatID STRING"
+    first = [(D(2000, 1, 3), "TX", f"m{i:02d}", f"m{i:02d}", "") for i in range(5)]
+    later = [(D(2000, 1, 9), "TX", f"a{i:02d}", f"a{i:02d}", "") for i in range(4)] + [(D(1999, 12, 31), "TX", "m00", "m00", "")]
+    old = keys.mint_keys(spark.createDataFrame(first, schema))
+    before = {(r.smashedID, r.state): r.eventKey for r in old.collect()}
+    after = {(r.smashedID, r.state): r.eventKey for r in keys.mint_keys(spark.createDataFrame(first + later, schema), existing=old).collect()}
+    assert {k: v for k, v in after.items() if k in before} == before
+    assert sorted(v for k, v in after.items() if k not in before) == [f"2000_01_TX_{n:02d}" for n in range(6, 10)]
+
+
+def test_disjoint_check_can_fail(spark):
+    df = spark.createDataFrame([("FEMA", "k1"), ("FEMA", "k1"), ("EMDAT", "k2")], "Source STRING, eventKey STRING")
+    assert tuple(keys.check_disjoint(df).first()) == (0, 2)
+    shared = df.unionByName(spark.createDataFrame([("EMDAT", "k1")], df.schema))
+    assert tuple(keys.check_disjoint(shared).first()) == (1, 2)
+
+
+def test_known_zero_casualties_are_published(spark):
+    km = spark.createDataFrame([("a", "K1")], "id STRING, eventKey STRING")
+    counted = spark.createDataFrame([("a", 0.0, 0.0)], "id STRING, nkill DOUBLE, nwound DOUBLE")
+    got = marts.build_casualties(counted, counted.limit(0), km, "id").collect()
+    assert [(r.eventKey, r.nKilled, r.nWounded) for r in got] == [("K1", 0.0, 0.0)]
+
+
+def test_category_ids_of_any_width_keep_apart(spark):
+    df = spark.createDataFrame([(f"DR-{i}-TX", "Flood") for i in (1, 12, 123, 1234, 12345)] + [("DR-1-FL", "Flood")], "eventid STRING, incident_type STRING")
+    assert an.category_counts({"FEMA": (df, "-", 2)}, "eventid", "incident_type").first().n_events == 5
 
 
 def test_span_match_buckets_agree(spark):
@@ -225,7 +332,7 @@ def test_source_key_id_rules(spark):
     days = spark.createDataFrame(
         [("FEMA", "DR-9_001", D(2000, 1, 5), "TX"), ("FEMA", "DR-9_002", D(2000, 1, 3), "TX"),
          ("EMDAT", "2000-0001-0001", D(2000, 1, 4), "TX"), ("GTD", "77", D(2000, 2, 1), "TX")],
-        "Source STRING, eventid STRING, Day DATE, state STRING",
+        "Source STRING, eventid STRING, begin_date DATE, state STRING",
     )
     got = {(r.Source, r.eventid): (r.super_id, r.eventKey) for r in keys.mint_source_keys(days).collect()}
     assert got[("FEMA", "DR-9_001")] == ("DR-9", got[("FEMA", "DR-9_002")][1])

@@ -20,3 +20,19 @@ def test_ingest_is_incremental(spark):
     n2 = spark.read.parquet(out).count()
     ingest_declarations(spark, f"{src}/*", out, checkpoint=ck)
     assert spark.read.parquet(out).count() == n2 > n1 > 0
+
+
+def test_a_repeated_batch_is_in_the_table_once(spark):
+    """A crash after the table's files are written but before the stream's commit repeats the batch."""
+    import glob
+    import os
+
+    raw = declarations_raw(spark, SF001)
+    src, out, ck = tempfile.mkdtemp(), tempfile.mkdtemp(), tempfile.mkdtemp()
+    raw.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{src}/part-a")
+    ingest_declarations(spark, f"{src}/*", out, checkpoint=ck)
+    n = spark.read.parquet(out).count()
+    for f in glob.glob(f"{ck}/commits/*") + glob.glob(f"{ck}/commits/.*crc"):
+        os.remove(f)
+    ingest_declarations(spark, f"{src}/*", out, checkpoint=ck)
+    assert spark.read.parquet(out).count() == n > 0
