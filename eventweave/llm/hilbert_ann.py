@@ -215,11 +215,14 @@ def search(
         run, "vector binary, rep long, asked boolean, own array<long>, asking array<long>"
     )
     placed = materialize(placed, "ann_keys")
-    # range borders of every ordering: cells - 1 numbers a curve
+    # range borders of every ordering: cells - 1 numbers a curve; a range has room for several results
+    cells = max(1, min(cells, n // (4 * (k + 1))))
     shares = [i / cells for i in range(1, cells)]
-    ordered = placed.select(F.posexplode("own").alias("curve", "key")).groupBy("curve").agg(F.percentile_approx("key", shares, 10_000).alias("borders"))
-    borders = {r["curve"]: r["borders"] for r in ordered.collect()}
-    table_of = F.array(*[F.array(*[F.lit(b) for b in borders[c]]) for c in range(curves)])
+    borders = {c: [] for c in range(curves)}
+    if shares:
+        ordered = placed.select(F.posexplode("own").alias("curve", "key")).groupBy("curve").agg(F.percentile_approx("key", shares, 10_000).alias("borders"))
+        borders = {r["curve"]: r["borders"] for r in ordered.collect()}
+    table_of = F.array(*[F.array(*[F.lit(b) for b in borders[c]]).cast("array<bigint>") for c in range(curves)])
     cell = lambda key: F.aggregate(F.get(table_of, F.col("curve")), F.lit(0), lambda a, b: a + (b <= key).cast("int"))
     blocks, query_blocks = max(1, round(n / cells / BLOCK + 0.5)), max(1, round(n / cells / QUERY_BLOCK + 0.5))
     cands = placed.select("vector", "rep", F.posexplode("own").alias("curve", "key")).withColumn("cell", cell(F.col("key")))
@@ -240,10 +243,24 @@ def search(
         i, j, s = nearest_in_block(v[side], v[~side], rep[~side], k + 1)
         return pa.table({"query": rep[side][i], "cand": rep[~side][j], "score": s})
 
-    found = cands.unionByName(asks).groupBy("curve", "cell", "b", "qb").applyInArrow(block, "query long, cand long, score double")
-    best = Window.partitionBy("query").orderBy(F.col("score").desc(), "cand")
-    merged = found.groupBy("query", "cand").agg(F.max("score").alias("score"))
-    merged = materialize(merged.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n"), "ann_merged")
+    def ranked(met: DataFrame) -> DataFrame:
+        """The best of each query over all blocks that met it."""
+        found = met.groupBy("curve", "cell", "b", "qb").applyInArrow(block, "query long, cand long, score double")
+        best = Window.partitionBy("query").orderBy(F.col("score").desc(), "cand")
+        found = found.groupBy("query", "cand").agg(F.max("score").alias("score"))
+        return materialize(found.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k + 1).drop("n"), "ann_merged")
+
+    merged = ranked(cands.unionByName(asks))
+    # queries that fell beside the table's ranges and met too few points: against all, in blocks
+    met = merged.groupBy(F.col("query").alias("rep")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min(k + 1, n))
+    few = materialize(placed.filter("asked").select("rep", "vector").join(met, "rep", "left_anti"), "ann_few")
+    if few.limit(1).count():
+        every = lambda t, asks: t.withColumns({"curve": F.lit(-1), "cell": F.lit(0), "qb": F.lit(0), "asks": F.lit(asks)})
+        parts = max(1, -(-n // BLOCK))
+        whole = every(placed.select("rep", "vector"), False).withColumn("b", F.pmod(F.xxhash64("rep"), F.lit(parts)).cast("int"))
+        asking = every(few, True).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        rest = ranked(whole.unionByName(asking))
+        merged = merged.join(few.select(F.col("rep").alias("query")), "query", "left_anti").unionByName(rest)
     # from points back to rows: a point's ids, then each query row without itself
     members = points.select(F.element_at("ids", 1).alias("cand"), "ids")
     entry = F.struct((-F.col("score")).alias("minus"), F.col("vec_id"))
