@@ -11,8 +11,8 @@ Newton steps, each a grouped aggregation over (source, base rate) cells.  ``copi
 rounds the rates to whole copies by running sums in order of size: inside a source
 the copies of any run of documents differ from the sum of their rates by less than
 one, so (sizes being sorted) its words differ from the target by less than its
-longest document.  Then, a few times, the largest document no longer than the words
-still missing (or too many) gets one copy more (or less) in every source.
+longest document.  Then, a few times, the largest documents that together fit the words
+still missing (or too many) get one copy more (or less) in every source.
 
 Everything stays in Spark tables: sources may be many, and one source may hold most
 rows (running sums go by written ranges of rows, see ``operators.ordered``).
@@ -145,20 +145,26 @@ def copies(sized: DataFrame, share: float = SHARE, limit: int = LIMIT, weights:
 
 
 def _settled(rounded: DataFrame, limit: int, rounds: int = 3) -> DataFrame:
-    """Move single copies until every source's words are as near its target as its
-    documents allow in ``rounds`` moves; one row a source and round decides."""
-    moves, at = None, rounded
+    """Bring every source's words nearer its target: each round, of the documents no longer
+    than the words still missing (or too many), the largest ones that fit together get
+    one copy more (or less).  Running sums go by the rows' written ranges."""
+    at = rounded
     for _ in range(rounds):
         off = materialize(at.groupBy("source").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("off")), "off_target")
         near = join_null_safe(at, off, ["source"])
         free = F.when(F.col("off") > 0, F.col("copies") < limit).otherwise(F.col("copies") > 0)
         fits = (F.col("size") > 0) & free & (F.col("size") <= F.abs("off"))
-        best = near.filter(fits).groupBy("source").agg(F.max(F.struct("size", RANGE, INDEX, F.signum("off").cast("int").alias("move"))).alias("m"))
-        move = materialize(best.select("source", F.col(f"m.{RANGE}").alias(RANGE), F.col(f"m.{INDEX}").alias(INDEX), "m.move"), "moves")
-        moves = move if moves is None else moves.unionByName(move)
-        total = moves.groupBy("source", RANGE, INDEX).agg(F.sum("move").cast("int").alias("move"))
-        at = join_null_safe(rounded, total, ["source", RANGE, INDEX], "left")
-        at = at.withColumn("copies", F.col("copies") + F.coalesce("move", F.lit(0))).drop("move")
+        near = near.withColumn("words", F.when(fits, F.col("size")).otherwise(0))
+        larger = Window.partitionBy("source").orderBy(F.col(RANGE).desc()).rowsBetween(Window.unboundedPreceding, -1)
+        above = near.groupBy("source", RANGE).agg(F.sum("words").alias("n"))
+        above = above.select("source", RANGE, F.coalesce(F.sum("n").over(larger), F.lit(0)).alias("above"))
+        down = Window.partitionBy("source", RANGE).orderBy(F.col(INDEX).desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        near = join_null_safe(near.withColumn("sum", F.sum("words").over(down)), above, ["source", RANGE])
+        moved = (F.col("words") > 0) & (F.col("sum") + F.col("above") <= F.abs("off"))
+        copies = F.col("copies") + F.when(moved, F.signum("off").cast("int")).otherwise(0)
+        following = materialize(near.withColumn("copies", copies.cast("int")).select(*rounded.columns), "settled")
+        discard(at, off)
+        at = following
     return at
 
 
