@@ -14,7 +14,8 @@ The three tables are grouped aggregations over all rows of the text-only posteri
 The text model is fitted on a bounded sample: ``TRAIN_ROWS`` labelled documents in expectation,
 chosen by a hash of doc_id.  It has ``BUCKETS`` numbers a language.
 
-Edge cases: a null or empty text has no trigrams, so only the other evidence counts; a null or
+Edge cases: a null or empty text has no trigrams, so only the other evidence counts (and
+``text_lang`` is null); a null or
 unknown declaration, a null host or suffix are values of their own and count like any other;
 without any evidence the language shares decide, ties going to the first language in order;
 repeated rows are judged alike; an empty table gives an empty result; other columns are ignored.
@@ -117,7 +118,8 @@ def identify(rows: DataFrame, model: np.ndarray, languages: tuple = LANGUAGES) -
     labels = F.split("host", r"\.")
     seen = text_evidence(rows.withColumn("declared", declared), model)
     seen = seen.withColumns({
-        "text_p": _normalised(F.col("ll")),
+        # a text without trigrams says nothing and teaches nothing
+        "text_p": F.when(F.exists("ll", lambda x: x != 0), _normalised(F.col("ll"))).otherwise(F.array(*[F.lit(0.0)] * n)),
         "suffix": F.element_at(labels, -1),
         "domain": F.array_join(F.slice(labels, F.greatest(F.lit(1), F.size(labels) - 1), 2), "."),
     })
@@ -151,7 +153,7 @@ def identify(rows: DataFrame, model: np.ndarray, languages: tuple = LANGUAGES) -
     best = lambda p: F.element_at(names, F.array_position(p, F.array_max(p)).cast("int"))
     out = known.withColumn("posteriors", _normalised(logs))
     keep = [c for c in rows.columns if c != "text"]
-    return out.select(*keep, best(F.col("posteriors")).alias("lang"), F.array_max("posteriors").alias("posterior"), "posteriors", best(F.col("text_p")).alias("text_lang"))
+    return out.select(*keep, best(F.col("posteriors")).alias("lang"), F.array_max("posteriors").alias("posterior"), "posteriors", F.when(F.array_max("text_p") > 0, best(F.col("text_p"))).alias("text_lang"))
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
