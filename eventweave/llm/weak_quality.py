@@ -10,7 +10,7 @@ including those on which every labeller abstains.
 
 The pattern counts that reach the driver are bounded by 3^labellers.  The scorer is
 fitted on a bounded sample of ``train_rows`` documents in expectation, chosen by a hash
-of doc_id, in ``PARTS`` tasks: each round they train on their own part from the common
+of doc_id, in ``PARTS`` groups: each round they train on their own part from the common
 coefficients and the results are averaged by rows.
 
 Edge cases: a null or empty text gets only abstentions, so its weak label is the class
@@ -268,8 +268,8 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS, rounds: int = ROUNDS, epo
     scorer.w[-1] = math.log(prior / (1 - prior))
     share = min(1.0, train_rows / sum(counts.values()))
     chosen = docs.select("doc_id", "text").filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(math.ceil(share * 1_000_000)))
-    chosen = chosen.repartition(PARTS, F.xxhash64("doc_id", "text")).sortWithinPartitions("doc_id", "text")
-    sample = materialize(chosen.withColumn("part", F.spark_partition_id()), "weak_sample")
+    # PARTS groups whatever the partitioning, so as many coefficient vectors come back each round
+    sample = materialize(chosen.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(PARTS)).cast("int")), "weak_sample")
 
     def local(w: np.ndarray):
         def run(table: pa.Table) -> pa.Table:
