@@ -36,7 +36,7 @@ from . import bytesops as B
 
 LANGUAGES = ("de", "en", "es", "fr")
 TRAIN_ROWS = 20_000
-PARTS = 16
+PARTS = 8
 BUCKETS = 1 << 15
 EVIDENCE = 200
 #: pseudo-rows of the level above in a domain's and a host's prior
@@ -76,11 +76,11 @@ def fit_text(labelled: DataFrame, languages: tuple = LANGUAGES, train_rows: int
                 code, border = trigrams(part.column("text"))
                 of = np.array([languages.index(x) for x in part.column("lang").to_pylist()], dtype=np.int64)
                 table += np.bincount(np.repeat(of, np.diff(border)) * BUCKETS + code, minlength=table.size).reshape(table.shape)
-        yield pa.RecordBatch.from_arrays([pa.array([table.tobytes()], pa.binary())], ["counts"])
+        yield pa.RecordBatch.from_arrays([pa.array([table.astype(np.int32).tobytes()], pa.binary())], ["counts"])
 
     total = np.zeros((len(languages), BUCKETS), dtype=np.int64)
     for r in chosen.select("text", "lang").repartition(PARTS).mapInArrow(run, "counts binary").collect():  # PARTS rows of fixed size
-        total += np.frombuffer(r["counts"], dtype=np.int64).reshape(total.shape)
+        total += np.frombuffer(r["counts"], dtype=np.int32).reshape(total.shape)
     smooth = total + 0.5
     return np.log(smooth / smooth.sum(axis=1, keepdims=True))
 
