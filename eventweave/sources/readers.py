@@ -3,7 +3,8 @@ inferred from a sample and column pruning / predicate pushdown reach the scan.""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from .schemas import DRIVER_SCHEMAS, RAW_SCHEMAS
 
@@ -21,11 +22,17 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return read_parquet(spark, f"{root.rstrip('/')}/{name}.parquet", schema)
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
-    """CSV with a given schema.  Exports that carry banner lines above the
-    header are trimmed when exported (the survey's decision); malformed lines
-    become NULL rows rather than failing the job."""
-    return spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").csv(path)
+def read_csv(spark: SparkSession, path: str, schema: str, header: bool = True, skip_lines: int = 0) -> DataFrame:
+    """CSV with a given schema; malformed fields become NULL rather than failing the job.
+
+    ``skip_lines``: banner lines above the header of every file.  They are in a file's first
+    split, so only that split is numbered; quoted line breaks are not supported then."""
+    if not skip_lines:
+        return spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").csv(path)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+    top = lines.filter("start = 0").withColumn("n", F.row_number().over(Window.partitionBy("file").orderBy(F.monotonically_increasing_id())))
+    body = top.filter(F.col("n") > skip_lines + int(header)).select("value").unionByName(lines.filter("start > 0").select("value"))
+    return body.filter("value != ''").select(F.from_csv("value", schema, {"mode": "PERMISSIVE"}).alias("r")).select("r.*")
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "overwrite") -> None:
