@@ -39,7 +39,7 @@ EPOCHS = 6
 TRIGRAMS = 1 << 15
 SHAPES = 1 << 6
 MIN_WORDS = 8
-KEEP = 0.5
+KEEP = 0.35
 
 #: fixed values: frequent function words of the supported languages (en, fr, de, es)
 STOP_WORDS = (
