@@ -30,9 +30,10 @@ def buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary Arrow array; a null reads as empty."""
     if isinstance(arr, pa.ChunkedArray):
         arr = arr.combine_chunks()
+    binary = pa.types.is_binary(arr.type) or pa.types.is_large_binary(arr.type)
     if arr.null_count:
-        arr = arr.fill_null("" if not pa.types.is_binary(arr.type) else b"")
-    arr = arr.cast(pa.large_binary() if pa.types.is_binary(arr.type) else pa.large_string())
+        arr = arr.fill_null(b"" if binary else "")
+    arr = arr.cast(pa.large_binary() if binary else pa.large_string())
     _, off, dat = arr.buffers()
     offsets = np.frombuffer(off, dtype=np.int64)[arr.offset : arr.offset + len(arr) + 1]
     if len(arr) == 0 or dat is None:
@@ -84,21 +85,21 @@ def row_sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-#: constants of the word hash: an odd multiplier and its inverse modulo 2^64
-_P = 0x9E3779B97F4A7C15
-_P_INV = pow(_P, -1, 1 << 64)
-_POWERS: dict[str, np.ndarray] = {"p": np.ones(1, dtype=np.uint64), "i": np.ones(1, dtype=np.uint64)}
+#: odd multipliers of the word hashes; words have a second hash where 64 bits are too few to tell them apart
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(kind: str, n: int) -> np.ndarray:
-    have = _POWERS[kind]
-    if len(have) < n:
+def _powers(base: int, n: int) -> np.ndarray:
+    """base^0 .. base^(n-1) modulo 2^64, kept for slices of the usual size."""
+    have = _POWERS.get(base)
+    if have is None or len(have) < n:
         size = max(n, SLICE_BYTES + 1)
-        base = np.full(size, _P if kind == "p" else _P_INV, dtype=np.uint64)
-        base[0] = 1
-        have = np.multiply.accumulate(base)
+        have = np.full(size, base, dtype=np.uint64)
+        have[0] = 1
+        np.multiply.accumulate(have, out=have)
         if size <= 2 * SLICE_BYTES:
-            _POWERS[kind] = have
+            _POWERS[base] = have
     return have[:n]
 
 
@@ -109,13 +110,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, which: int = 0) -> np.ndarray:
     """64-bit hash of each word's bytes, equal wherever the word stands."""
     if len(start) == 0:
         return np.empty(0, dtype=np.uint64)
+    base = _BASES[which]
     prefix = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers("p", len(data)), out=prefix[1:])
-    value = (prefix[end] - prefix[start]) * _powers("i", len(data))[start]
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(base, len(data)), out=prefix[1:])
+    value = (prefix[end] - prefix[start]) * _powers(pow(base, -1, 1 << 64), len(data))[start]
     return mix(value + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -136,6 +138,6 @@ def shingle_hashes(word: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndar
     acc = np.zeros(total, dtype=np.uint64)
     padded = np.concatenate([word, np.zeros(k, dtype=np.uint64)])
     for j in range(k):
-        term = padded[at + j] * np.uint64(pow(_P, j + 1, 1 << 64))
+        term = padded[at + j] * np.uint64(pow(_BASES[0], j + 1, 1 << 64))
         acc += np.where(size > j, term, np.uint64(0))
     return mix(acc + size.astype(np.uint64)), begin

@@ -52,7 +52,9 @@ BITS = 9
 #: bytes of text scored with one set of nodes
 BLOCK = 32 << 20
 #: bytes of text turned into nodes at once
-PIECE = 1 << 20
+PIECE = 1 << 19
+#: distinct nodes or words of pieces that wait to be merged
+PENDING = 1 << 19
 
 
 # ------------------------------------------------------------------ inside a task
@@ -95,6 +97,41 @@ def _merged(node: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return distinct, np.bincount(code, n, len(distinct))
 
 
+class Words:
+    """Distinct words with counts, told apart by two 64-bit hashes; ``words`` has their bytes."""
+
+    def __init__(self, first: np.ndarray, second: np.ndarray, count: np.ndarray, words: pa.Array):
+        self.first, self.second, self.count, self.words = first, second, count, words
+
+    @classmethod
+    def merged(cls, parts: list[Words]) -> Words:
+        first, second, count = (np.concatenate([getattr(p, x) for p in parts]) for x in ("first", "second", "count"))
+        words = pa.concat_arrays([p.words for p in parts])
+        at, code = np.unique(first, return_index=True, return_inverse=True)[1:]
+        if not (second[at][code] == second).all():  # two words with one first hash: sort by both
+            order = np.lexsort((second, first))
+            new = np.ones(len(order), dtype=bool)
+            new[1:] = (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])
+            at, code = order[new], np.empty(len(order), dtype=np.int64)
+            code[order] = np.cumsum(new) - 1
+        total = np.bincount(code, count, len(at)).astype(np.int64)
+        return cls(first[at], second[at], total, words.take(pa.array(at)))
+
+    def lookup(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Counts of words given by their hashes, 0 for unknown ones; needs words in order of both hashes."""
+        out = np.zeros(len(first))
+        if len(self.first):
+            at = np.minimum(np.searchsorted(self.first, first), len(self.first) - 1)
+            for _ in range(self._ties()):
+                hit = (self.first[at] == first) & (self.second[at] == second)
+                out[hit] = self.count[at][hit]
+                at = np.minimum(at + 1, len(self.first) - 1)
+        return out
+
+    def _ties(self) -> int:
+        return int(np.unique(self.first, return_counts=True)[1].max())
+
+
 class Trie:
     """A (part of a) trie: for each number of symbols the known nodes with their counts, and
     for each context what it offers and what its shorter context has left after exclusion.
@@ -208,7 +245,7 @@ def _blocks(docs: DataFrame, order: int, block_bytes: int) -> tuple[DataFrame, D
         name = (context.partitionId() if context else 0) << 24  # its rows are what makes a block, not its number
         packed = pa.ipc.IpcWriteOptions(compression="zstd")
         nodes: list[tuple[np.ndarray, np.ndarray]] = []
-        words: dict[bytes, int] = {}
+        words: list[Words] = []
         held = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -216,28 +253,40 @@ def _blocks(docs: DataFrame, order: int, block_bytes: int) -> tuple[DataFrame, D
                 node, n = _merged(*(np.concatenate(x) for x in zip(*nodes, strict=True)))
                 yield _rows("node", name, len(node), node=pa.array(node), n=pa.array(n.astype(np.int64)))
             if words:
-                n = len(words)
-                yield _rows("word", name, n, word=pa.array(list(words), pa.binary()), n=pa.array(np.fromiter(words.values(), np.int64, n)))
+                w = Words.merged(words)
+                yield _rows("word", name, len(w.count), word=w.words, n=pa.array(w.count))
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             for part in B.slices(batch, "text", PIECE):
                 data, offsets = B.buffers(part.column("text"))
                 if held and held + len(data) > block_bytes:
                     yield from flush()
-                    nodes, words, held, name = [], {}, 0, name + 1
+                    nodes, words, held, name = [], [], 0, name + 1
                 held += len(data) + part.num_rows
                 train = ~part.column("held_out").to_numpy(zero_copy_only=False)
                 node, at = windows(data, offsets, order)
                 code, distinct = pd.factorize(node)
                 nodes.append((distinct, np.bincount(code, np.repeat(train, np.diff(at)), len(distinct))))
-                if len(nodes) > 8:
+                del node, code
+                if sum(len(x) for x, _ in nodes[1:]) > PENDING:
                     nodes = [_merged(*(np.concatenate(x) for x in zip(*nodes, strict=True)))]
-                lower = B.LOWER[data].tobytes()
-                texts = [lower[i:j] for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
-                for t, counts in zip(texts, train.tolist(), strict=True):
-                    for w in t.split():
-                        words[w] = words.get(w, 0) + counts
-                rows = pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.binary()), part.column("held_out")], ["doc_id", "text", "held_out"])
+                lower = B.LOWER[data]
+                start, end, first = B.words(lower, offsets)
+                if len(start):
+                    hashes = [B.word_hashes(lower, start, end, k) for k in (0, 1)]
+                    of = np.repeat(train, np.diff(first)).astype(np.int64)
+                    code, at = np.unique(hashes[0], return_index=True, return_inverse=True)[2:0:-1]
+                    if not (hashes[1][at][code] == hashes[1]).all():
+                        at, code = np.arange(len(start)), None  # rare: leave all to the merge
+                    raw = lower.tobytes()
+                    spelled = pa.array([raw[i:j] for i, j in zip(start[at].tolist(), end[at].tolist(), strict=True)], pa.binary())
+                    count = of if code is None else np.bincount(code, of, len(at)).astype(np.int64)
+                    words.append(Words(hashes[0][at], hashes[1][at], count, spelled))
+                    if sum(len(w.count) for w in words[1:]) > PENDING:
+                        words = [Words.merged(words)]
+                texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.copy()), pa.py_buffer(lower)])
+                rows = pa.RecordBatch.from_arrays([part.column("doc_id"), texts, part.column("held_out")], ["doc_id", "text", "held_out"])
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, rows.schema, options=packed) as out:
                     out.write_batch(rows)
@@ -312,7 +361,14 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: in
         known, value = node_rows.column("node").to_numpy(), node_rows.column("value").to_numpy()
         order_ = np.argsort(known)
         known, value = known[order_], value[order_]
-        count = dict(zip(word_rows.column("word").to_pylist(), word_rows.column("value").to_pylist(), strict=True))
+        heard_parts = []
+        for batch in word_rows.select(["word", "value"]).combine_chunks().to_batches():
+            for piece in B.slices(batch, "word", PIECE):
+                data, offsets = B.buffers(piece.column("word"))
+                hashes = [B.word_hashes(data, offsets[:-1], offsets[1:], k) for k in (0, 1)]
+                heard_parts.append(Words(*hashes, piece.column("value").to_numpy(), pa.nulls(piece.num_rows, pa.binary())))
+        vocabulary = Words.merged(heard_parts) if heard_parts else None
+        del node_rows, word_rows, answers, heard_parts
         out = defaultdict(list)
         for blob in rows.column("texts").to_pylist():
             piece = pa.ipc.open_stream(blob).read_all().combine_chunks()
@@ -320,22 +376,26 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: in
             node, at = windows(data, offsets, order)
             code, deepest = pd.factorize(node)
             out["score"].append(B.row_sums(value[np.searchsorted(known, deepest)][code], at))
-            raw = data.tobytes()
-            for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                c = np.fromiter((count.get(w, 0.0) for w in raw[i:j].split()), dtype=float)
-                out["n_tokens"].append(len(c) + 1)
-                out["n_known"].append(int((c > 0).sum()) + (ends > 0))
-                out["base_score"].append(float(np.log10(c + 1).sum()) + math.log10(ends + 1) + unseen * (len(c) + 1))
+            start, end, first = B.words(data, offsets)
+            c = np.zeros(len(start))
+            if vocabulary is not None and len(start):
+                c = vocabulary.lookup(*(B.word_hashes(data, start, end, k) for k in (0, 1)))
+            tokens = np.diff(first) + 1
+            out["n_tokens"].append(tokens)
+            out["n_known"].append(B.row_sums((c > 0).astype(np.int64), first) + (1 if ends else 0))
+            out["base_score"].append(B.row_sums(np.log10(c + 1), first) + math.log10(ends + 1) + unseen * tokens)
             out["doc_id"] += piece.column("doc_id").to_pylist()
             out["held_out"] += piece.column("held_out").to_pylist()
+        pa.default_memory_pool().release_unused()
+        numbers = {c: np.concatenate(out[c]) if out[c] else np.empty(0) for c in ("n_tokens", "n_known", "base_score", "score")}
         return pa.table({
             "doc_id": pa.array(out["doc_id"], id_type),
             "held_out": pa.array(out["held_out"], pa.bool_()),
-            "n_tokens": pa.array(out["n_tokens"], pa.int64()),
-            "n_known": pa.array(out["n_known"], pa.int64()),
+            "n_tokens": pa.array(numbers["n_tokens"], pa.int64()),
+            "n_known": pa.array(numbers["n_known"], pa.int64()),
             "train_tokens": pa.array([train_tokens] * len(out["doc_id"]), pa.int64()),
-            "base_score": pa.array(out["base_score"], pa.float64()),
-            "score": pa.array(np.concatenate(out["score"]) if out["score"] else [], pa.float64()),
+            "base_score": pa.array(numbers["base_score"], pa.float64()),
+            "score": pa.array(numbers["score"], pa.float64()),
         })
 
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
