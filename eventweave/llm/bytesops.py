@@ -7,6 +7,7 @@ numpy passes and memory is bounded by the slice, not by the task's partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +43,15 @@ def buffers(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def release() -> None:
+    """Give freed memory back to the system: a Python worker lives on between tasks, and
+    what it keeps adds to the next task's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # in the GNU C library
+    if trim:
+        trim(0)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows of at most ``limit`` bytes of ``column``
     (a single longer row forms a slice of its own)."""

@@ -255,7 +255,6 @@ def _blocks(docs: DataFrame, order: int, block_bytes: int) -> tuple[DataFrame, D
             if words:
                 w = Words.merged(words)
                 yield _rows("word", name, len(w.count), word=w.words, n=pa.array(w.count))
-            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             for part in B.slices(batch, "text", PIECE):
@@ -292,6 +291,8 @@ def _blocks(docs: DataFrame, order: int, block_bytes: int) -> tuple[DataFrame, D
                     out.write_batch(rows)
                 yield _rows("text", name, 1, texts=pa.array([sink.getvalue().to_pybytes()], pa.binary()), n=pa.array([int(train.sum())], pa.int64()))
         yield from flush()
+        nodes, words = [], []
+        B.release()
 
     types = {"texts": pa.binary(), "node": pa.int64(), "word": pa.binary(), "n": pa.int64()}
 
@@ -327,6 +328,8 @@ def node_costs(counted: DataFrame, order: int = ORDER) -> DataFrame:
         node, n = (table.column(c).to_numpy() for c in ("node", "n"))
         if len(node):
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(Trie(node, n, order, shallow).log10(node))], ["known", "value"])
+        del table, node, n
+        B.release()
 
     # whole sub-tries: nodes whose contexts end in the same two symbols
     dealt = counted.repartition(F.shiftright("node", BITS).bitwiseAND(F.lit(_mask(2))))
@@ -386,7 +389,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: in
             out["base_score"].append(B.row_sums(np.log10(c + 1), first) + math.log10(ends + 1) + unseen * tokens)
             out["doc_id"] += piece.column("doc_id").to_pylist()
             out["held_out"] += piece.column("held_out").to_pylist()
-        pa.default_memory_pool().release_unused()
+        B.release()
         numbers = {c: np.concatenate(out[c]) if out[c] else np.empty(0) for c in ("n_tokens", "n_known", "base_score", "score")}
         return pa.table({
             "doc_id": pa.array(out["doc_id"], id_type),
