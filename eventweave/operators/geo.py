@@ -77,11 +77,12 @@ def assign_leftovers(leftovers: DataFrame, assignments: DataFrame, id_col: str =
 
 
 def clean_places(
-    df: DataFrame, gazetteer: DataFrame, assignments: DataFrame, id_col: str = "region_id", state: str = "State", region: str = "Region", known: str = "County"
+    df: DataFrame, gazetteer: DataFrame, assignments: DataFrame, id_col: str = "region_id", state: str = "State", region: str = "Region", known: str = "County", unassigned: bool = False
 ) -> DataFrame:
     """The clean geography in one pass over the parsed regions (with ``presence``, see A16):
     rows whose county was given (level ``known``), matched rows (``county``, ``city``) and hand-assigned
-    leftovers (``manual``).  State-only rows and leftovers nobody assigned have no place."""
+    leftovers (``manual``).  State-only rows have no place; ``unassigned`` keeps leftovers nobody
+    assigned with their state and no county (level ``unassigned``), else they have none either."""
     rows = df.withColumnRenamed(known, "__known")
     labelled = label_regions(rows, gazetteer, state, region, F.col("presence") == "region_only")
     given = F.col("presence").isin("both", "county_only")
@@ -90,6 +91,10 @@ def clean_places(
     j = labelled.withColumn("__open", F.when(open_, F.col(id_col))).join(a, F.col("__open") == F.col("__aid"), "left")
     counties = F.when(given, F.array("__known")).when(F.col("level").isNotNull(), F.array("county")).otherwise(F.split("__counties", ","))
     level = F.when(given, "known").when(F.col("level").isNotNull(), F.col("level")).otherwise("manual")
+    if unassigned:
+        nobody = open_ & F.col("__counties").isNull()
+        counties = F.when(nobody, F.array(F.lit(None).cast("string"))).otherwise(counties)
+        level = F.when(nobody, "unassigned").otherwise(level)
     return j.select(id_col, state, region, level.alias("level"), F.explode(counties).alias("county")).withColumn("county", regex_trim("county"))
 
 

@@ -27,7 +27,8 @@ def places_of_impacts(
     """(eventid, state, county): clean places of ``impacts(eventid, Location)``.
 
     Location text is patched, lower-cased, its state names rewritten to codes and noise words
-    stripped; then it is parsed and matched.  A state-only entry has a NULL county."""
+    stripped; then it is parsed and matched.  A state-only entry has a NULL county, and so has a
+    region that is in neither the gazetteer nor the assignments: its state is known."""
     t = impacts.select("eventid", "Location").distinct()
     if patches is not None:
         t = text.apply_patches(t, "eventid", patches, "Location")
@@ -37,7 +38,7 @@ def places_of_impacts(
     parsed = geo.partition_by_presence(text.parse_locations(t, "eventid"))
     ids = F.concat_ws("_", "eventid", F.col("piece_no").cast("string"), F.col("region_no").cast("string"))
     rows = text.state_codes(parsed.withColumn("region_id", ids))
-    found = geo.clean_places(rows, gazetteer, assignments).select(F.col("region_id"), F.col("State").alias("state"), "county")
+    found = geo.clean_places(rows, gazetteer, assignments, unassigned=True).select(F.col("region_id"), F.col("State").alias("state"), "county")
     named = found.join(rows.select("region_id", "eventid").distinct(), "region_id").select("eventid", "state", "county")
     # an entry that names only states stands for them whole; blanks beside named places of the state do not
     bare = rows.filter((F.col("presence") == "none") & F.col("State").isNotNull()).select("eventid", F.col("State").alias("state")).distinct()

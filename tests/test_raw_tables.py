@@ -75,6 +75,24 @@ def test_raw_exports_to_event_search(spark):
     assert [(r.eventKey, r.county) for r in found] == [(flood, "dade")]
 
 
+def test_impact_in_an_unknown_region_keeps_its_state(spark):
+    read = lambda name, body, **kw: read_csv(spark, _csv(name, body), RAW_SCHEMAS[name], **kw)
+    gaz = spark.createDataFrame([("Plano", "Plano", "TX", "Collin"), ("X", "X", "TX", "Harris"), ("Y", "Y", "OK", "Tulsa")], RAW_SCHEMAS["gazetteer"])
+    states = spark.createDataFrame([("Texas", "TX"), ("Oklahoma", "OK")], RAW_SCHEMAS["states"])
+    header = "\n".join(IMPACTS.split("\n")[:3])
+    impacts = read("impacts_raw", header + "\n2001-0005,USA,2001,3,1,2001,3,2,Flood,,,Fooville (Texas),,7,\n", skip_lines=2)
+    t = build_from_raw(
+        read("declarations_raw", DECLARATIONS), read("incidents_raw", INCIDENTS), impacts, states, gaz,
+        spark.createDataFrame([], "region_id STRING, counties STRING"), spark.createDataFrame([("WATER", "Flood", "rise")], RAW_SCHEMAS["hazard_hierarchy"]),
+        [Rule("^Severe Storm.*", "Storm")], [Rule("^Flood:.*", "Flood")], [Rule("texas", "TX"), Rule("oklahoma", "OK")], allowed=["TX", "OK"],
+    )
+    flood = {r.eventKey for r in t["allKeys"].collect() if r.emdatID.startswith("2001-0005")}
+    assert len(flood) == 1
+    places = {(r.state, r.county) for r in t["disastLocations"].collect() if r.eventKey in flood}
+    assert places == {("TX", "collin"), ("TX", "harris")}  # the whole state, as for an entry that names only the state
+    assert {(r.nKilled) for r in t["disastCasualties"].collect() if r.eventKey in flood} == {7.0}
+
+
 def test_csv_round_trip(spark):
     rows = [("a", 1), ('quoted "text", with comma', None), (None, 3)]
     folder = tempfile.mkdtemp() + "/out"
