@@ -86,11 +86,11 @@ def mint_keys(
 
 def source_event_id(source: str = "Source", id_col: str = "eventid") -> Column:
     """A35 id rule per source: declarations lose their ``_suffix``; impacts lose
-    their last five characters (the region counter); incidents keep the row id."""
+    the region counter after their last ``_`` or ``-``, of any width; incidents keep the row id."""
     s, i = F.col(source), F.col(id_col)
     return (
         F.when(s == "FEMA", F.regexp_replace(i, r"_[^.]*$", ""))
-        .when(s == "EMDAT", F.expr(f"substring(`{id_col}`, 1, length(`{id_col}`) - 5)"))
+        .when(s == "EMDAT", F.regexp_replace(i, r"[_-][^_-]*$", ""))
         .otherwise(i)
     )
 

@@ -339,3 +339,10 @@ def test_source_key_id_rules(spark):
     assert got[("EMDAT", "2000-0001-0001")][0] == "2000-0001"
     assert got[("GTD", "77")] == ("77", "2000_02_TX_001")
     assert {k for _, k in got.values()} >= {"2000_01_TX_001", "2000_01_TX_002"}
+
+
+def test_source_keys_of_an_event_with_more_than_9999_places(spark):
+    rows = spark.range(9_999, 10_002).selectExpr("'EMDAT' AS Source", "concat('2001-0001_', lpad(id, greatest(4, length(id)), '0')) AS eventid", "DATE'2001-01-04' AS begin_date", "'TX' AS state")
+    got = keys.mint_source_keys(rows).collect()
+    assert sorted(r.eventid for r in got) == ["2001-0001_10000", "2001-0001_10001", "2001-0001_9999"]
+    assert {(r.super_id, r.eventKey) for r in got} == {("2001-0001", "2001_01_TX_001")}
