@@ -7,7 +7,8 @@ its connected components are found in Spark, and a component's decision is allow
 a rule allows one of its urls, else block if a rule blocks one, else ``default``.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; path: from
-there up to ``?``, ``#`` or the end.  A rule (verdict, host, path) fits its host and all
+there up to ``?``, ``#`` or the end.  A declared target is unescaped and resolved against its
+page's url (host root, folder, query or fragment alone, dot segments).  A rule (verdict, host, path) fits its host and all
 subdomains where the path starts with the rule's; the longest ``host + path`` wins, ties
 go to allow, then to the smaller text.  Rules are a short literal list, tested on each row.
 
@@ -36,6 +37,15 @@ DEFAULT = "allow"
 #: host prefixes and query parameters that don't change a page, and endings of the same path
 MIRRORS = "www|m|mobile|amp"
 TRACKING = "utm_[a-z]+|ref|fbclid|gclid"
+#: the basic HTML entities, by name and by number
+ENTITIES = (
+    (r"&(?:lt|LT|#0*60|#[xX]0*3[cC]);", "<"),
+    (r"&(?:gt|GT|#0*62|#[xX]0*3[eE]);", ">"),
+    (r"&(?:quot|QUOT|#0*34|#[xX]0*22);", '"'),
+    (r"&(?:apos|#0*39|#[xX]0*27);", "'"),
+    (r"&(?:sol|#0*47|#[xX]0*2[fF]);", "/"),
+    (r"&(?:amp|AMP|#0*38|#[xX]0*26);", "&"),
+)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -67,35 +77,67 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return F.get(F.array_sort(F.array(*found), order), 0)
 
 
+def without_dots(path: Column) -> Column:
+    """``path`` (empty or from a slash on) with its ``.`` and ``..`` segments resolved."""
+    parts = F.split(path, "/", -1)
+    step = lambda done, x: (
+        F.when(x == ".", done).when(x == "..", F.slice(done, 1, F.greatest(F.lit(1), F.size(done) - 1))).otherwise(F.array_append(done, x))
+    )
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array(F.lit("")), step)
+    folder = F.when(F.element_at(parts, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    return F.when(path.rlike(r"/\.\.?(?:/|$)"), F.concat(F.array_join(kept, "/"), folder)).otherwise(path)
+
+
 def normal_form(url: Column) -> Column:
     """The spelling that all variants of a url share; null where there is no ``://``."""
     host = F.regexp_replace(host_of(url), rf"^(?:{MIRRORS})\.", "")
-    path = F.regexp_replace(path_of(url), r"(?:/index)?\.html?$|/+$", "")
+    path = F.regexp_replace(without_dots(path_of(url)), r"(?:/index)?\.html?$|/+$", "")
     query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
     query = F.regexp_replace(F.regexp_replace(query, rf"(?:^|&)(?:{TRACKING})=[^&]*", ""), r"^&", "")
     return F.when(F.instr(url, "://") > 0, F.concat(host, path, F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit(""))))
 
 
+def unescaped(text: Column) -> Column:
+    """``text`` with the basic HTML entities replaced, the ampersand last."""
+    for pattern, mark in ENTITIES:
+        text = F.regexp_replace(text, pattern, mark)
+    return text
+
+
+def resolved(target: Column, source: Column) -> Column:
+    """The absolute url of ``target`` on the page ``source``; null for another scheme than ``x://``
+    and for a relative target on a source without a host."""
+    base = F.regexp_extract(source, r"^([^/?#]*://[^/?#]*)", 1)
+    path = F.regexp_extract(source, r"^[^/?#]*://[^/?#]*([^?#]*)", 1)
+    folder = F.coalesce(F.nullif(F.regexp_extract(path, r"(?s)^(.*/)", 1), F.lit("")), F.lit("/"))
+    url = (
+        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None).cast("string"))
+        .when(base == "", F.lit(None).cast("string"))
+        .when(F.startswith(target, F.lit("//")), F.concat(F.regexp_extract(source, r"^([^/?#]*:)//", 1), target))
+        .when(F.startswith(target, F.lit("/")), F.concat(base, target))
+        .when(F.startswith(target, F.lit("?")), F.concat(base, path, target))
+        .when(F.startswith(target, F.lit("#")), F.concat(F.regexp_extract(source, r"^([^#]*)", 1), target))
+        .otherwise(F.concat(base, folder, target))
+    )
+    piece = lambda i: F.regexp_extract(url, r"(?s)^([^/?#]*://[^/?#]*)([^?#]*)(.*)$", i)
+    return F.concat(piece(1), without_dots(piece(2)), piece(3))
+
+
 def links(pages: DataFrame) -> DataFrame:
     """(source, target): urls that ``pages`` declare canonical or refresh to."""
-    attribute = r"""\b{}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
-    value = lambda tag, name: F.concat(*[F.regexp_extract(tag, "(?i)" + attribute.format(name), i) for i in (1, 2, 3)])
+    attribute = r"""(?<![\w-]){}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+    value = lambda tag, name: unescaped(F.concat(*[F.regexp_extract(tag, "(?i)" + attribute.format(name), i) for i in (1, 2, 3)]))
     tags = lambda pattern: F.regexp_extract_all("html", F.lit(pattern), F.lit(0))
-    canonical = F.transform(tags(r"""(?i)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""), lambda t: value(t, "href"))
+    declared = F.filter(tags(r"(?i)<link\b[^>]*>"), lambda t: value(t, "rel").rlike(r"(?i)(?:^|\s)canonical(?:\s|$)"))
+    canonical = F.transform(declared, lambda t: value(t, "href"))
     refresh = F.transform(
         tags(r"""(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""),
         lambda t: F.regexp_extract(value(t, "content"), r"(?i)\burl\s*=\s*['\"]?([^'\"]*)", 1),
     )
     found = pages.filter(F.col("url").isNotNull()).select(F.col("url").alias("source"), F.explode(F.concat(canonical, refresh)).alias("to"))
-    to, base = F.trim("to"), F.regexp_extract("source", r"^([^/?#]*://[^/?#]*)", 1)
-    folder = F.regexp_extract("source", r"^([^?#]*/)", 1)
-    target = (
-        F.when(F.instr(to, "://") > 0, to)
-        .when(F.startswith(to, F.lit("//")), F.concat(F.regexp_extract("source", r"^([^/?#]*:)//", 1), to))
-        .when(F.startswith(to, F.lit("/")), F.concat(base, to))
-        .otherwise(F.concat(folder, to))
-    )
-    return found.filter(to != "").select("source", target.alias("target"))
+    found = found.withColumn("to", F.regexp_replace("to", r"^\s+|\s+$", "")).filter("to != ''")
+    return found.select("source", resolved(F.col("to"), F.col("source")).alias("target")).filter("target is not null")
 
 
 def judge(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None, default: str = DEFAULT) -> DataFrame:

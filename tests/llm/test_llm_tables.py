@@ -53,6 +53,34 @@ def test_allow_takes_precedence_over_block_among_aliases(spark):
     assert r["verdict"] == "block"
 
 
+def test_declared_targets_of_every_form(spark):
+    link = "<link rel=canonical href='{}'>".format
+    cases = [  # (source, html, url of the page meant)
+        ("http://a.net", link("b.html"), "http://a.net/b"),
+        ("http://b.net?q=/x/", link("b.html"), "http://b.net/b"),
+        ("http://c.net/x/y/1", link("../z/./2"), "http://c.net/x/z/2"),
+        ("http://d.net/x/1", link("../../../up/.."), "http://d.net/"),
+        ("http://e.net/x/1?old=1#f", link("?q=2"), "http://e.net/x/1?q=2"),
+        ("http://f.net/x/1?q=3", link("#top"), "http://f.net/x/1?q=3"),
+        ("http://g.net/1", link("/p?a=1&amp;b=2"), "http://g.net/p?a=1&b=2"),
+        ("http://h.net/1", "<link href=/2 rel='alternate CANONICAL'>", "http://h.net/2"),
+        ("http://i.net/1", "<meta http-equiv=refresh content='0; URL=2?u=http://else.net/'>", "http://i.net/2?u=http://else.net/"),
+        ("http://j.net/1", link("http://j.net/a/../2"), "http://j.net/2"),
+        ("http://k.net/1", link("\n /2\t"), "http://k.net/2"),
+        ("http://l.net/1", "<link data-href='/3' href='/2' rel=canonical>", "http://l.net/2"),
+    ]
+    none = [("http://m.net/1", link("mailto:a@b.net")), ("http://n.net/1", "<link rel='canonical-like' href='/2'>"), ("no scheme", link("2"))]
+    rows = [(i, s, h) for i, (s, h, _) in enumerate(cases)] + [(100 + i, m, None) for i, (*_, m) in enumerate(cases)]
+    pages = spark.createDataFrame(rows + [(200 + i, s, h) for i, (s, h) in enumerate(none)], "page_id long, url string, html string")
+    assert url_filter.links(pages.filter("page_id >= 200")).count() == 0
+    got = {r["page_id"]: r for r in url_filter.judge(pages).collect()}
+    assert [i for i in range(len(cases)) if got[i]["alias_of"] != got[100 + i]["alias_of"]] == []
+    to = {r["source"]: r["target"] for r in url_filter.links(pages).collect()}
+    assert to["http://d.net/x/1"] == "http://d.net/" and to["http://c.net/x/y/1"] == "http://c.net/x/z/2" and to["http://f.net/x/1?q=3"] == "http://f.net/x/1?q=3#top"
+    redirected = spark.createDataFrame([(1, "http://a.net", link("../de/1")), (2, "http://other.com/x", link("b/../../de/1"))], "page_id long, url string, html string")
+    assert {r["page_id"]: r["verdict"] for r in url_filter.judge(redirected).collect()} == {1: "allow", 2: "block"}
+
+
 HTML = [None, "", "<p>same</p>", "<p>same</p>", "a\r\n\r\nWARC/1.1\r\nx", "é" * 50_000, "<p>same</p>", ""]
 
 
