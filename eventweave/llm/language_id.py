@@ -11,8 +11,8 @@ For every row the log posterior of each language adds up
 The three tables are grouped aggregations over all rows of the text-only posteriors
 (soft counts); a row's own share is taken out of its domain and host before it is judged.
 
-The text model is fitted on a bounded sample: ``TRAIN_ROWS`` labelled documents in expectation,
-chosen by a hash of doc_id.  It has ``BUCKETS`` numbers a language.
+The text model is fitted on a bounded sample: at most ``TRAIN_ROWS`` distinct labelled documents,
+chosen by a hash of id, text and label.  It has ``BUCKETS`` numbers a language.
 
 Edge cases: a null or empty text has no trigrams, so only the other evidence counts (and
 ``text_lang`` is null); a null or
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from ..operators.ordered import join_null_safe
 from ..session import materialize
 from . import bytesops as B
+from .sampling import distinct_sample
 
 LANGUAGES = ("de", "en", "es", "fr")
 TRAIN_ROWS = 20_000
@@ -65,9 +66,8 @@ def trigrams(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def fit_text(labelled: DataFrame, languages: tuple = LANGUAGES, train_rows: int = TRAIN_ROWS) -> np.ndarray:
     """(languages, BUCKETS) log probabilities from a bounded sample of ``labelled`` (doc_id, text, lang)."""
-    n = labelled.count()
-    share = min(1.0, train_rows / max(n, 1))
-    chosen = labelled.filter(F.col("lang").isin(*languages)).filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(np.ceil(share * 1_000_000)))
+    known = labelled.select("doc_id", "text", "lang").filter(F.col("lang").isin(*languages))
+    chosen = distinct_sample(known, train_rows, "language_sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros((len(languages), BUCKETS), dtype=np.int64)

@@ -9,8 +9,8 @@ regression on hashed byte trigrams and hashed word shapes), which judges all doc
 including those on which every labeller abstains.
 
 The pattern counts that reach the driver are bounded by 3^labellers.  The scorer is
-fitted on a bounded sample of ``train_rows`` documents in expectation, chosen by a hash
-of doc_id, in ``PARTS`` groups: each round they train on their own part from the common
+fitted on a bounded sample of at most ``train_rows`` distinct documents, chosen by a hash
+of id and text, in ``PARTS`` groups: each round they train on their own part from the common
 coefficients and the results are averaged by rows.
 
 Edge cases: a null or empty text gets only abstentions, so its weak label is the class
@@ -29,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
 from . import bytesops as B
+from .sampling import distinct_sample
 
 TRAIN_ROWS = 20_000
 PARTS = 16
@@ -266,10 +266,9 @@ def fit(docs: DataFrame, train_rows: int = TRAIN_ROWS, rounds: int = ROUNDS, epo
         return WeakModel({}, 0.5, np.full((len(LABELLERS), 2, 3), 1 / 3), scorer)
     labels, prior, table = expectation_maximisation(counts, len(LABELLERS))
     scorer.w[-1] = math.log(prior / (1 - prior))
-    share = min(1.0, train_rows / sum(counts.values()))
-    chosen = docs.select("doc_id", "text").filter(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(math.ceil(share * 1_000_000)))
+    chosen = distinct_sample(docs.select("doc_id", "text"), train_rows, "weak_sample")
     # PARTS groups whatever the partitioning, so as many coefficient vectors come back each round
-    sample = materialize(chosen.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(PARTS)).cast("int")), "weak_sample")
+    sample = chosen.withColumn("part", F.pmod(F.col("pick"), F.lit(PARTS)).cast("int")).drop("pick")
 
     def local(w: np.ndarray):
         def run(table: pa.Table) -> pa.Table:

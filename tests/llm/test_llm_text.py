@@ -211,3 +211,21 @@ def test_language_evidence_adds_up(spark):
     assert found[24]["lang"] == "de" and found[25]["lang"] == "de" and found[27]["lang"] == "fr"
     assert all(abs(sum(r["posteriors"]) - 1) < 1e-9 for r in found.values())
     assert language_id.identify(table.drop("suffix").limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize("ids", ["null", "repeated"])
+def test_training_samples_stay_bounded(spark, ids, monkeypatch):
+    """Rows with a null id, and copies of one row, cannot flood a sample."""
+    text = lambda i: f"{i:06d}" * 2  # noqa: E731  # 10 trigrams
+    odd = [(None, text(i)) if ids == "null" else (-1, text(7)) for i in range(1000)]
+    rows = [(*x, "en") for x in odd + [(i, text(5000 + i)) for i in range(2000)]]
+    docs = ship(spark).createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit_text(docs, train_rows=300)
+    # smallest probability of the language = 0.5 / (trigrams + 0.5 * BUCKETS)
+    learned = 0.5 / np.exp(model[language_id.LANGUAGES.index("en")].min()) - 0.5 * language_id.BUCKETS
+    assert 250 <= round(learned) / 10 <= 300
+    grouped = []
+    train = type(docs).groupBy
+    monkeypatch.setattr(type(docs), "groupBy", lambda self, *by: (grouped.append(self.count()) if by == ("part",) else None, train(self, *by))[1])
+    weak_quality.fit(docs, train_rows=300, rounds=1, epochs=1)
+    assert len(grouped) == 1 and 250 <= grouped[0] <= 300
