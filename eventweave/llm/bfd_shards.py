@@ -5,10 +5,11 @@ size, enter the shard with the tightest remaining capacity, found in a balanced
 tree.  Two entry points: ``pack`` deals into a given number of shards of near equal
 bytes; ``pack_capacity`` uses as few shards of a fixed capacity as the method finds.
 
-What reaches the driver is bounded by the number of shards, whatever the table's size:
-a group of at least 1/64 of a shard is packed by itself (there are at most 64 of them a
-shard), and smaller groups are first gathered by a hash of their text into 64 bundles a
-shard, which are packed like groups.  So at most 128 items a shard are packed.
+All groups are packed as groups.  What reaches the driver is the number of groups of each
+size: at most sqrt(2 * total bytes) rows, as sizes differ.  Groups of one size fill
+the tightest shard while it takes them, so a size costs a few steps however many groups
+it has.  The result is a quota of groups for each size and shard; groups are numbered within
+their size in Spark and fill the quotas in that order.
 A group larger than a fair share gets a shard of its own and the rest is
 shared by the others.
 
@@ -22,17 +23,16 @@ first; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.ordered import INDEX, RANGE, ranged
+from ..operators.ordered import INDEX, RANGE, number_within, ranged
 from ..session import materialize
 
 SHARDS = 16
-#: items of at least this part of a shard are packed by themselves
-FINE = 64
 
 
 class FreeSpace:
@@ -124,71 +124,101 @@ class FreeSpace:
         return t
 
 
-def best_fit_decreasing(sizes: list[int], capacity: int, most: int | None = None) -> list[int] | None:
-    """Bin of each size (given largest first); an item above ``capacity`` gets a bin of its
-    own.  None as soon as more than ``most`` bins are needed."""
+def best_fit_classes(classes: list[tuple[int, int]], capacity: int, most: int | None = None) -> list[tuple[int, int, int]] | None:
+    """(size, bin, items) quotas, in order, of best-fit-decreasing over (size, items) classes, largest
+    first; an item above ``capacity`` gets a bin of its own.  None as soon as more than ``most``
+    bins are needed.  The tightest bin stays the tightest while it takes items of the size."""
     tree, out, bins = FreeSpace(), [], 0
-    for size in sizes:
-        place = tree.tightest(size)
-        if place is None:
-            if most is not None and bins == most:
-                return None
-            place = (max(capacity, size), bins)
-            bins += 1
-        else:
-            tree.remove(place)
-        tree.add(place[0] - size, place[1])
-        out.append(place[1])
+    for size, count in classes:
+        while count:
+            place = tree.tightest(size)
+            if place is None:
+                if most is not None and bins == most:
+                    return None
+                place = (max(capacity, size), bins)
+                bins += 1
+            else:
+                tree.remove(place)
+            n = min(count, place[0] // size) if size else count
+            tree.add(place[0] - n * size, place[1])
+            out.append((size, place[1], n))
+            count -= n
     return out
 
 
-def pack_items(sizes: list[int], shards: int) -> list[int]:
-    """Deal items (largest first) into ``shards`` bins of near equal sums: the smallest
-    capacity for which best-fit-decreasing needs no more bins.  Items above a fair
-    share of what is left get bins of their own."""
-    out, alone, rest = [], 0, sum(sizes)
-    while alone < min(shards - 1, len(sizes)) and sizes[alone] * (shards - alone) >= rest:
-        out.append(alone)
-        rest -= sizes[alone]
+def _classes(sizes: list[int]) -> list[tuple[int, int]]:
+    return [(size, sum(1 for _ in run)) for size, run in itertools.groupby(sizes)]
+
+
+def best_fit_decreasing(sizes: list[int], capacity: int, most: int | None = None) -> list[int] | None:
+    """Bin of each size (given largest first), see ``best_fit_classes``."""
+    quotas = best_fit_classes(_classes(sizes), capacity, most)
+    return None if quotas is None else [b for _, b, n in quotas for _ in range(n)]
+
+
+def pack_classes(classes: list[tuple[int, int]], shards: int) -> list[tuple[int, int, int]]:
+    """Quotas that deal (size, items) classes, largest first, into ``shards`` bins of near equal
+    sums: the smallest capacity found for which best-fit-decreasing needs no more bins.  Items
+    above a fair share of what is left get bins of their own."""
+    out, alone, rest = [], 0, sum(size * n for size, n in classes)
+    todo = list(classes)
+    while todo and alone < shards - 1 and todo[0][0] * (shards - alone) >= rest:
+        size, n = todo[0]
+        out.append((size, alone, 1))
+        rest -= size
         alone += 1
-    todo, bins = sizes[alone:], shards - alone
+        todo[:1] = [(size, n - 1)] if n > 1 else []
     if not todo:
         return out
-    low = max(todo[0], math.ceil(sum(todo) / bins))
-    high = low + todo[0]
-    while (best := best_fit_decreasing(todo, high, bins)) is None:
-        high += max(1, todo[0])
+    bins = shards - alone
+    low = high = max(todo[0][0], math.ceil(rest / bins))
+    step = 1
+    while (best := best_fit_classes(todo, high, bins)) is None:
+        low, high, step = high + 1, high + step, step * 2
     while low < high:
         middle = (low + high) // 2
-        if (found := best_fit_decreasing(todo, middle, bins)) is None:
+        if (found := best_fit_classes(todo, middle, bins)) is None:
             low = middle + 1
         else:
             high, best = middle, found
-    return out + [alone + b for b in best]
+    return out + [(size, alone + b, n) for size, b, n in best]
 
 
-def _assigned(docs: DataFrame, group: str, size: str, fine_limit: int, bundles: int, place) -> DataFrame:
-    """``docs`` with ``shard``: groups of at least ``fine_limit`` bytes and the hash bundles of
-    the others, packed by ``place(sizes, largest first)``."""
-    spark = docs.sparkSession
+def pack_items(sizes: list[int], shards: int) -> list[int]:
+    """Bin of each size (given largest first), see ``pack_classes``."""
+    return [b for _, b, n in pack_classes(_classes(sizes), shards) for _ in range(n)]
+
+
+def _quota_rows(quotas: list[tuple[int, int, int]]) -> list[tuple]:
+    """(bytes, step, buckets) of each size: bucket i lists the (end, shard) of the quotas that reach
+    into numbers i * step to (i + 1) * step - 1, a few on average however many there are."""
+    rows = []
+    for size, run in itertools.groupby(quotas, key=lambda q: q[0]):
+        parts = [(b, n) for _, b, n in run]
+        count = sum(n for _, n in parts)
+        step = -(-count // len(parts))
+        buckets, begin = [[] for _ in range(-(-count // step))], 0
+        for b, n in parts:
+            for i in range(begin // step, (begin + n - 1) // step + 1):
+                buckets[i].append((begin + n, b))
+            begin += n
+        rows.append((size, step, buckets))
+    return rows
+
+
+def _assigned(docs: DataFrame, group: str, size: str, place) -> DataFrame:
+    """``docs`` with ``shard``: groups packed by ``place((bytes, groups) classes, largest first)``."""
     groups = materialize(docs.groupBy(group).agg(F.sum(size).alias("bytes")), "groups")
-    bundle = F.pmod(F.xxhash64(group), F.lit(bundles)).cast("int")
-    large = groups.filter(F.col("bytes") >= fine_limit).select(F.col(group).alias("g"), F.lit(None).cast("int").alias("bundle"), "bytes")
-    small = groups.filter(F.col("bytes") < fine_limit).groupBy(bundle.alias("bundle")).agg(F.sum("bytes").alias("bytes"))
-    small = small.select(F.lit(None).cast("string").alias("g"), "bundle", "bytes")
-    # at most total / fine_limit + bundles rows: bounded by the number of shards
-    items = sorted(large.unionByName(small).collect(), key=lambda r: (-r["bytes"], r["g"] or "", -1 if r["bundle"] is None else r["bundle"]))
-    shard = place([r["bytes"] for r in items])
-    by_group = [(r["g"], s) for r, s in zip(items, shard, strict=True) if r["g"] is not None]
-    by_bundle = [(r["bundle"], s) for r, s in zip(items, shard, strict=True) if r["g"] is None]
-    lone = F.broadcast(spark.createDataFrame(by_group, "__g string, __lone int"))
-    bundled = F.broadcast(spark.createDataFrame(by_bundle, "__b int, __bundled int"))
-    return (
-        docs.join(lone, F.col(group) == F.col("__g"), "left")
-        .join(bundled, bundle == F.col("__b"), "left")
-        .withColumn("shard", F.coalesce("__lone", "__bundled"))
-        .drop("__g", "__lone", "__b", "__bundled")
-    )
+    # distinct sizes: at most sqrt(2 * total)
+    classes = sorted(((r["bytes"], r["n"]) for r in groups.groupBy("bytes").agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True)
+    schema = "bytes long, step long, buckets array<array<struct<end:long,shard:int>>>"
+    quotas = docs.sparkSession.createDataFrame(_quota_rows(place(classes)), schema)
+    numbered = number_within(groups, ["bytes"], [group], "__at").join(quotas, "bytes")
+    at = F.col("__at") - 1
+    bucket = F.element_at("buckets", (F.floor(at / F.col("step")) + 1).cast("int"))
+    shard = F.element_at(F.filter(bucket, lambda q: q["end"] > at), 1)["shard"]
+    placed = numbered.select(F.col(group).alias("__g"), shard.alias("shard"))
+    return docs.join(placed, F.col(group) == F.col("__g"), "left").drop("__g")
 
 
 def _slots(assigned: DataFrame, order: list[str]) -> DataFrame:
@@ -207,18 +237,12 @@ def text_columns(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"size": F.octet_length(text).cast("long") + 1, "text_crc32": F.crc32(text.cast("binary")), "text_md5": F.md5(text.cast("binary"))})
 
 
-def pack(sized: DataFrame, shards: int = SHARDS, fine: int = FINE) -> DataFrame:
+def pack(sized: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``sized`` (size, text_md5, doc_id, any columns) with ``shard`` and ``slot``."""
-    total = sized.agg(F.sum("size")).first()[0] or 0
-    limit = max(1, math.ceil(total / (shards * fine)))
-    return _slots(_assigned(sized, "text_md5", "size", limit, shards * fine, lambda s: pack_items(s, shards)), ["doc_id", "text_md5"])
+    return _slots(_assigned(sized, "text_md5", "size", lambda c: pack_classes(c, shards)), ["doc_id", "text_md5"])
 
 
-def pack_capacity(sized: DataFrame, capacity: int, fine: int = FINE) -> DataFrame:
+def pack_capacity(sized: DataFrame, capacity: int) -> DataFrame:
     """``sized`` with ``shard`` and ``slot``: shards of ``capacity`` bytes, as few as the method
-    finds (a group above the capacity fills one alone).  The driver packs at most
-    ``2 * fine`` items a shard."""
-    total = sized.agg(F.sum("size")).first()[0] or 0
-    bundles = max(1, math.ceil(total / capacity)) * fine
-    place = lambda s: best_fit_decreasing(s, capacity)
-    return _slots(_assigned(sized, "text_md5", "size", max(1, capacity // fine), bundles, place), ["doc_id", "text_md5"])
+    finds (a group above the capacity fills one alone)."""
+    return _slots(_assigned(sized, "text_md5", "size", lambda c: best_fit_classes(c, capacity)), ["doc_id", "text_md5"])

@@ -259,6 +259,24 @@ def test_shards_keep_groups_and_number_slots(spark):
     assert all(r["n"] <= 20_000 for r in packed) and len(packed) <= -(-sum(load.values()) // 20_000) + 1
 
 
+def test_small_groups_are_packed_by_size(spark):
+    """Each shard's bytes are those of best-fit-decreasing over single groups, small and equal ones included."""
+    rng = random.Random(4)
+    texts = [f"{i:04d}" + "x" * rng.choice((0, 3, 3, 40, rng.randint(0, 300))) for i in range(1500)]
+    docs = bfd_shards.text_columns(ship(spark).createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+    sizes = sorted((len(t) + 1 for t in texts), reverse=True)
+    capacity = 1 + 700 * 3
+    for packed, bins in (
+        (bfd_shards.pack_capacity(docs, capacity), bfd_shards.best_fit_decreasing(sizes, capacity)),
+        (bfd_shards.pack(docs), bfd_shards.pack_items(sizes, 16)),
+    ):
+        load = {}
+        for s, b in zip(sizes, bins, strict=True):
+            load.setdefault(b, []).append(s)
+        rows = packed.groupBy("shard").agg(F.array_sort(F.collect_list("size")).alias("sizes")).collect()
+        assert {r["shard"]: list(r["sizes"]) for r in rows} == {b: sorted(x) for b, x in load.items()}
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as cp
 
