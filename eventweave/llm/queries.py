@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from . import bfd_shards, containment, entropy_mix, hilbert_ann, language_id, ppm, simhash_trie, url_filter, warc, weak_quality
+from . import bfd_shards, containment, entropy_mix, hilbert_ann, language_id, ppm, simhash_trie, token_orc, url_filter, warc, weak_quality
 from .shipping import ship
 
 
@@ -77,8 +77,15 @@ def op9_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_trie.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op11_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_orc.token_folder(spark)
+    token_orc.write_tokens(_table(spark, sf_dir, "documents"), folder)
+    checked = token_orc.checksums(token_orc.read_tokens(spark, folder))
+    return token_orc.with_start(checked, token_orc.file_table(spark, folder)).select("doc_id", "start", "n_tokens", "ids_crc32", "file_no")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_language_id, op2_url_filter, op3_ppm, op4_warc, op5_weak_quality, op6_hilbert_ann, op7_containment, op8_entropy_mix, op9_simhash_trie, op10_bfd_shards)}
+    found = {f.__name__: f for f in (op1_language_id, op2_url_filter, op3_ppm, op4_warc, op5_weak_quality, op6_hilbert_ann, op7_containment, op8_entropy_mix, op9_simhash_trie, op10_bfd_shards, op11_token_orc)}
 
     def wrap(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: build(ship(spark), sf_dir)
