@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from . import bfd_shards, containment, entropy_mix, hilbert_ann, language_id, ppm, simhash_trie, token_orc, url_filter, warc, weak_quality
+from . import bfd_shards, containment, conversation_repair, entropy_mix, hilbert_ann, language_id, ppm, repair_sql, simhash_trie, token_orc, url_filter, warc, weak_quality
 from .shipping import ship
 
 
@@ -84,8 +84,13 @@ def op11_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.with_start(checked, token_orc.file_table(spark, folder)).select("doc_id", "start", "n_tokens", "ids_crc32", "file_no")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations")
+    return conversation_repair.every_conversation(given, conversation_repair.summarize(conversation_repair.damage(given)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_language_id, op2_url_filter, op3_ppm, op4_warc, op5_weak_quality, op6_hilbert_ann, op7_containment, op8_entropy_mix, op9_simhash_trie, op10_bfd_shards, op11_token_orc)}
+    found = {f.__name__: f for f in (op1_language_id, op2_url_filter, op3_ppm, op4_warc, op5_weak_quality, op6_hilbert_ann, op7_containment, op8_entropy_mix, op9_simhash_trie, op10_bfd_shards, op11_token_orc, op12_conversation_repair)}
 
     def wrap(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: build(ship(spark), sf_dir)
@@ -94,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _ORACLES = {
+    "op12_conversation_repair": repair_sql.SQL,
     "op4_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, octet_length(encode(h)) AS payload_bytes, sha1(h) AS s FROM p),
