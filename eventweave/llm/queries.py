@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from . import bfd_shards, containment, conversation_repair, entropy_mix, hilbert_ann, language_id, ppm, repair_sql, simhash_trie, token_orc, url_filter, warc, weak_quality
+from . import bfd_shards, containment, conversation_repair, entropy_mix, hard_negatives, hilbert_ann, language_id, ppm, repair_sql, simhash_trie, token_orc, url_filter, warc, weak_quality
 from .shipping import ship
 
 
@@ -89,8 +89,19 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.every_conversation(given, conversation_repair.summarize(conversation_repair.damage(given)))
 
 
+def op13_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "embeddings")
+    used = given.filter(hard_negatives.usable(F.col("label"), F.col("embedding")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return used.select("vec_id", label.alias("label"), hard_negatives.whole_components(F.col("embedding"), 256.0).alias("vec"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(op13_rows(spark, sf_dir), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = {f.__name__: f for f in (op1_language_id, op2_url_filter, op3_ppm, op4_warc, op5_weak_quality, op6_hilbert_ann, op7_containment, op8_entropy_mix, op9_simhash_trie, op10_bfd_shards, op11_token_orc, op12_conversation_repair)}
+    found = {f.__name__: f for f in (op1_language_id, op2_url_filter, op3_ppm, op4_warc, op5_weak_quality, op6_hilbert_ann, op7_containment, op8_entropy_mix, op9_simhash_trie, op10_bfd_shards, op11_token_orc, op12_conversation_repair, op13_hard_negatives)}
 
     def wrap(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: build(ship(spark), sf_dir)
@@ -99,6 +110,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 _ORACLES = {
+    "op13_hard_negatives": """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * cast(x AS DOUBLE))) AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, cast(list_inner_product(a.q, b.q) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id, cast(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) <= 10""",
     "op12_conversation_repair": repair_sql.SQL,
     "op4_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
