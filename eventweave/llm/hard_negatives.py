@@ -52,7 +52,7 @@ BLOCKS = 64
 SLICE = 1 << 21
 
 LOW, HIGH = -(1 << 62), 1 << 62
-_WANTED = "no long, vec_id long, label int, vec array<int>, spans array<struct<at:int,low:long,high:long>>, first_block int, n_blocks int, cells array<int>"
+_WANTED = "no long, vec_id long, label int, vec array<int>, spans array<struct<at:int,low:long,high:long,least:long>>, first_block int, n_blocks int, cells array<int>"
 _FOUND = "no long, at int, vec_id long, score long"
 
 
@@ -311,7 +311,7 @@ def _scan(dims: int, same_label: bool, k: int) -> Callable:
             if not same_label:
                 fits &= member_labels != labels[r]
             for one in span:
-                at = np.flatnonzero(fits & (s >= one["low"]) & (s <= one["high"]))
+                at = np.flatnonzero(fits & (s >= one["least"]) & (s <= one["high"]))
                 at = at[_best(s[at], ids[at], k)]
                 out.extend((no[r], one["at"], i, int(x)) for i, x in zip(ids[at].tolist(), s[at].tolist(), strict=True))
         if out:
@@ -325,7 +325,7 @@ def _scan(dims: int, same_label: bool, k: int) -> Callable:
 def _search(index: Index, wanted: DataFrame, same_label: bool, k: int) -> DataFrame:
     """The best ``k`` rows of every (anchor, span) among the cells wanted, block by block."""
     null = F.lit(None)
-    spans = "array<struct<at:int,low:long,high:long>>"
+    spans = "array<struct<at:int,low:long,high:long,least:long>>"
     rows = index.table.join(wanted.select("block").distinct(), "block", "left_semi")
     rows = rows.select("block", F.lit(0).alias("kind"), "cell", "no", "vec_id", "label", "vec", null.cast(spans).alias("spans"), null.cast("array<int>").alias("cells"))
     asked = wanted.select("block", F.lit(1).alias("kind"), F.lit(0).alias("cell"), "no", "vec_id", "label", "vec", "spans", "cells")
@@ -341,13 +341,15 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 def _two_rounds(index: Index, anchors: DataFrame, same_label: bool, k: int, name: str, trace: list | None) -> DataFrame:
     """The exact best ``k`` of every span of ``anchors(no, vec_id, label, vec, spans)``: (no, at, vec_id, score, rank)."""
     unknown = F.lit(None).cast("long")
-    wanted = materialize(_wanted(index, anchors.withColumn("floor", unknown)), f"{name}_first_cells")
+    started = anchors.withColumn("spans", F.transform("spans", lambda x: x.withField("least", x["low"]))).withColumn("floor", unknown)
+    wanted = materialize(_wanted(index, started), f"{name}_first_cells")
     first = materialize(_top(_search(index, wanted, same_label, k), k).drop("rank"), f"{name}_first")
-    # the last needed score of a span; one that isn't full yet needs all of its scores
+    # the last needed score of a span: lower ones are no answers; a span that isn't full yet needs all of its scores
     last = first.groupBy("no", "at").agg(F.when(F.count(F.lit(1)) >= k, F.min("score")).alias("last"))
-    spans = anchors.select("no", F.explode("spans").alias("span")).select("no", "span.at", "span.low")
-    floors = spans.join(last, ["no", "at"], "left").groupBy("no").agg(F.min(F.coalesce("last", "low")).alias("floor"))
-    rest = materialize(_wanted(index, anchors.join(floors, "no")), f"{name}_other_cells")
+    spans = anchors.select("no", F.explode("spans").alias("span")).select("no", "span.at", "span.low", "span.high").join(last, ["no", "at"], "left")
+    least = F.coalesce("last", "low").alias("least")
+    known = spans.groupBy("no").agg(F.min(least).alias("floor"), F.array_sort(F.collect_list(F.struct("at", "low", "high", least))).alias("spans"))
+    rest = materialize(_wanted(index, anchors.drop("spans").join(known, "no")), f"{name}_other_cells")
     if trace is not None:
         trace.extend([(name, same_label, wanted), (name, same_label, rest)])
     return materialize(_top(first.unionByName(_search(index, rest, same_label, k)), k), name)
