@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import q_analytics, q_cleaning, q_keys, q_spans, q_survey, q_text  # noqa: F401  (each registers its queries)
+from . import q_analytics, q_cleaning, q_keys, q_published, q_spans, q_survey, q_text  # noqa: F401  (each registers its queries)
 from .base import REGISTRY
 
 

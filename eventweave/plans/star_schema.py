@@ -28,6 +28,7 @@ from ..operators import spans as sp
 from ..operators.cleaning import sequence_id
 from ..operators.geo import expand_counties
 from ..session import cut_lineage
+from .published import publish
 
 
 def build_star_schema(
@@ -41,7 +42,10 @@ def build_star_schema(
     exclude_types: tuple[str, ...] = ("Biological",),
     last_begin: str = "2020-01-20",
     out_dir: str | None = None,
+    buckets: int | None = None,
 ) -> dict[str, DataFrame]:
+    """The eight tables; written below ``out_dir`` if given: plainly, or with ``buckets`` in the published layout
+    (``published.py``: start year folders, that many buckets by event key)."""
     # declarations: impute missing ends (state+year, then state), drop excluded
     # types / late spans, number rows within each declaration (pad 3)
     d = declarations.withColumn("year", F.year("begin_date"))
@@ -95,6 +99,8 @@ def build_star_schema(
         "emdat_hazard_cluster": emdat_typed.select("Source", "incident_type", "hazard_cluster").distinct(),
         "hazard_report": hierarchy,
     }
+    if out_dir and buckets:
+        return publish(tables, out_dir, buckets)
     if out_dir:
         spark = declarations.sparkSession
         for name, df in list(tables.items()):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from eventweave.operators import analytics as an
 from eventweave.operators import keys as ky
-from eventweave.plans import base
+from eventweave.plans import base, published
 from eventweave.plans.q_keys import AMBIGUOUS_PARENTS, EMDAT_RULES, FEMA_RULES, _hierarchy
 from eventweave.plans.star_schema import build_star_schema
 
@@ -43,3 +43,20 @@ def test_star_schema_end_to_end(spark):
         year=row.eventStart.year, state=row.state,
     )
     assert res.count() > 0
+
+
+def test_star_schema_in_the_published_layout(spark):
+    decl = base.decl_spans(spark, SF001).drop("rowkey").filter("state < 'C'")
+    imp = base.impact_spans(spark, SF001).drop("rowkey").filter("state < 'C'")
+    given = (decl, imp, base.county_dim(spark, SF001), _hierarchy(spark), FEMA_RULES, EMDAT_RULES)
+    out = tempfile.mkdtemp()
+    t = build_star_schema(*given, ambiguous_parents=AMBIGUOUS_PARENTS, last_begin="2001-06-30", out_dir=out, buckets=4)
+    again = published.open_published(spark, out)
+    for name in published.TABLES:
+        assert again[name].count() == t[name].count() > 0
+    row = t["disastDates"].join(t["disastLocations"], "eventKey").first()
+    plain = an.search_events(
+        *[again[n].drop("Year") for n in ("disastTypes", "disastDates", "disastCasualties", "disastLocations")], year=row.eventStart.year, state=row.state
+    )
+    found = published.search_published(again, year=row.eventStart.year, state=row.state)
+    assert sorted(map(str, found.select(*plain.columns).collect())) == sorted(map(str, plain.collect())) != []
