@@ -1,4 +1,4 @@
-"""Shared event keys."""
+"""Shared event keys (A32-A37, A44): id pairs, keys per pair, and keys per class of linked ids."""
 
 from __future__ import annotations
 
@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import pad_counter
+from ..session import materialize
+from .components import connected_components
 from .ordered import fill_within, join_null_safe, number_within
+from .spans import match_spans
 
 
 def fill_updown(
@@ -149,3 +152,37 @@ def id_map(
 def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     """Key values that occur more than once (empty when unique)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).cast("long").alias("n")).filter(F.col("n") > 1)
+
+
+def link_ids(
+    a: DataFrame, b: DataFrame, place_keys: list[str], null_safe: list[str] | None = None, a_id: str = "femaID", b_id: str = "emdatID"
+) -> DataFrame:
+    """Distinct (a_id, b_id) of spans that share a place and a day: the id pairs of the filled event map (filling
+    gives an id only to rows of an id it is paired with already), found without day rows."""
+    left = a.select(F.col(a_id), *place_keys, F.col("begin_date").alias("__lb"), F.col("end_date").alias("__le"))
+    pairs = match_spans(
+        left, b.select(F.col(b_id), *place_keys, "begin_date", "end_date"), place_keys, null_safe_keys=null_safe, a_begin="__lb", a_end="__le"
+    )
+    return pairs.select(a_id, b_id).distinct()
+
+
+def event_classes(
+    pairs: DataFrame, first_days: DataFrame, a_id: str = "femaID", b_id: str = "emdatID", key: str = "eventKey", pad: int = 4
+) -> DataFrame:
+    """One key per real event (A33-A37): ids linked by ``pairs``, directly or through others, are one event.
+
+    ``first_days`` (source, id, day) lists the ids of both sources, ``source`` being ``a_id`` or ``b_id``; an id without
+    a link is an event of its own.  An event's key is ``yyyy_MM_nnnn``: the month of its first day, and its number among
+    the month's events in order of their smallest ``source:id``.  Returns source, id, root, eventStart, key.
+    Links whose id is null are ignored, and so are ids without a day; an id that only ``pairs`` names joins events
+    but gets no row."""
+    name = lambda source, c: F.concat(F.lit(source + ":"), F.col(c))
+    roots = connected_components(pairs.select(name(a_id, a_id).alias("a"), name(b_id, b_id).alias("b")))
+    days = first_days.filter("id IS NOT NULL AND day IS NOT NULL").groupBy("source", "id").agg(F.min("day").alias("__d"))
+    days = days.withColumn("node", F.concat_ws(":", "source", "id"))
+    ids = days.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")).drop("node")
+    ids = materialize(ids, "event_classes")
+    events = ids.groupBy("root").agg(F.min("__d").alias("eventStart"))
+    events = number_within(events.withColumn("__ym", F.date_format("eventStart", "yyyy_MM")), ["__ym"], ["root"], "__rn")
+    events = events.withColumn(key, F.concat_ws("_", "__ym", pad_counter("__rn", pad)))
+    return ids.drop("__d").join(events.select("root", "eventStart", key), "root").select("source", "id", "root", "eventStart", key)

@@ -9,10 +9,10 @@ matched pair is expanded to days when day rows are wanted.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import join_null_safe, number_within
+from .ordered import INDEX, RANGE, join_null_safe, number_within, range_offsets, ranged
 
 
 def audit_spans(df: DataFrame, by: str = "incident_type", begin: str = "begin_date", end: str = "end_date") -> DataFrame:
@@ -231,6 +231,62 @@ def collapse_days(df: DataFrame, keys: list[str], day: str = "Day", skew_safe: b
     ).drop("__island")
 
 
+def merge_spans(df: DataFrame, keys: list[str], begin: str = "begin_date", end: str = "end_date", partitions: int | None = None) -> DataFrame:
+    """A30 on spans: overlapping or adjacent spans of a key become one; equal, row for row, to
+    ``collapse_days(expand_days(df), keys)`` without any day row.
+
+    Spans that begin on one day are reduced to the longest before anything is shuffled.  In order of their
+    begin, a span opens a new run when it begins later than the day after the largest end so far: a running maximum
+    inside a written range, carried over range borders by one row a (key, range).  Reversed and open spans are left out."""
+    per_day = df.filter(F.col(end) >= F.col(begin)).groupBy(*keys, F.col(begin).alias("__b")).agg(F.max(end).alias("__e"))
+    t = ranged(per_day, keys, ["__b"], partitions)
+    before = (Window.unboundedPreceding, -1)
+    ends = t.groupBy(*keys, RANGE).agg(F.max("__e").alias("__m"))
+    carried = ends.select(*keys, RANGE, F.max("__m").over(Window.partitionBy(*keys).orderBy(RANGE).rowsBetween(*before)).alias("__carried"))
+    seen = F.max("__e").over(Window.partitionBy(*keys, RANGE).orderBy(INDEX).rowsBetween(*before))
+    t = join_null_safe(t.withColumn("__seen", seen), carried.filter(F.col("__carried").isNotNull()), [*keys, RANGE], "left")
+    reached = F.greatest("__seen", "__carried")  # skips nulls
+    t = t.withColumn("__opens", (reached.isNull() | (F.col("__b") > F.date_add(reached, 1))).cast("long"))
+    upto = F.sum("__opens").over(Window.partitionBy(*keys, RANGE).orderBy(INDEX).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    runs = join_null_safe(t.withColumn("__run", upto), range_offsets(t, keys, F.col("__opens")), [*keys, RANGE])
+    merged = runs.groupBy(*keys, (F.col("__run") + F.col("__off")).alias("__run")).agg(F.min("__b").alias(begin), F.max("__e").alias(end))
+    return merged.withColumn("n_days", (F.datediff(F.col(end), F.col(begin)) + 1).cast("long")).drop("__run")
+
+
+def concurrency(df: DataFrame, keys: list[str], begin: str = "begin_date", end: str = "end_date", partitions: int | None = None) -> DataFrame:
+    """How many spans of a key are open over time: maximal intervals of equal ``n_open`` (zero left out).
+
+    A sweep line: a span is +1 on its first day and -1 on the day after its last; borders of one (key, day) are summed
+    before the shuffle, and those that cancel out are dropped.  The running sum and the next border go over
+    written ranges, so a busy place is not one task.  Reversed and open spans are left out."""
+    spans = df.filter(F.col(end) >= F.col(begin))
+    border = F.explode(F.array(F.struct(F.col(begin).alias("d"), F.lit(1).alias("n")), F.struct(F.date_add(F.col(end), 1).alias("d"), F.lit(-1).alias("n"))))
+    borders = spans.select(*keys, border.alias("__x")).groupBy(*keys, F.col("__x.d").alias("__d")).agg(F.sum("__x.n").alias("__n")).filter("__n != 0")
+    t = ranged(borders, keys, ["__d"], partitions)
+    inside = Window.partitionBy(*keys, RANGE).orderBy(INDEX)
+    firsts = t.groupBy(*keys, RANGE).agg(F.min("__d").alias("__first"))
+    after = firsts.select(*keys, RANGE, F.lead("__first").over(Window.partitionBy(*keys).orderBy(RANGE)).alias("__after"))
+    local = t.withColumn("__sum", F.sum("__n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))).withColumn("__next", F.lead("__d").over(inside))
+    joined = join_null_safe(local, range_offsets(t, keys, F.col("__n")), [*keys, RANGE])
+    joined = join_null_safe(joined, after, [*keys, RANGE])
+    n_open = (F.col("__sum") + F.col("__off")).cast("long")
+    until = F.date_sub(F.coalesce("__next", "__after"), 1)
+    return joined.select(*keys, F.col("__d").alias(begin), until.alias(end), n_open.alias("n_open")).filter("n_open > 0")
+
+
+def peaks(intervals: DataFrame, keys: list[str], begin: str = "begin_date", end: str = "end_date") -> DataFrame:
+    """Per key of :func:`concurrency`: the largest number open at once, the first day of it, the days
+    at that level, days with any span open, and span-days in all."""
+    length = F.datediff(F.col(end), F.col(begin)) + 1
+    level = intervals.withColumn("__len", length).groupBy(*keys, "n_open").agg(F.min(begin).alias("__b"), F.sum("__len").alias("__len"))
+    top = F.max(F.struct("n_open", "__b", "__len")).alias("__top")  # one row a level, so n_open alone decides
+    out = level.groupBy(*keys).agg(top, F.sum("__len").cast("long").alias("days_open"), F.sum(F.col("n_open") * F.col("__len")).cast("long").alias("span_days"))
+    return out.select(
+        *keys, F.col("__top.n_open").alias("peak_open"), F.col("__top.__b").alias("peak_begin"), F.col("__top.__len").cast("long").alias("peak_days"),
+        "days_open", "span_days",
+    )
+
+
 def exposure(
     panel: DataFrame,
     events: DataFrame,

@@ -214,6 +214,47 @@ def q_id_map(spark, sf):
     return ky.id_map(cm, ky.mint_keys(cm))
 
 
+CTE["id_classes"] = """id_links AS MATERIALIZED (
+  SELECT DISTINCT 'femaID:' || femaID AS x, 'emdatID:' || emdatID AS y FROM event_map WHERE femaID IS NOT NULL AND emdatID IS NOT NULL),
+id_both AS MATERIALIZED (SELECT x, y FROM id_links UNION ALL SELECT y, x FROM id_links),
+id_nodes AS MATERIALIZED (SELECT 'femaID' AS source, femaID AS id, min(Day) AS d FROM fema_days GROUP BY femaID
+             UNION ALL SELECT 'emdatID', eventid, min(Day) FROM impact_days GROUP BY eventid),
+id_roots(node, root) USING KEY (node) AS (
+  SELECT DISTINCT x, x FROM id_both
+  UNION
+  SELECT l.y, min(c.root) FROM id_roots c JOIN id_both l ON c.node = l.x JOIN recurring.id_roots r ON r.node = l.y
+  WHERE c.root < r.root GROUP BY l.y),
+id_classes AS (SELECT n.source, n.id, n.d, coalesce(r.root, n.source || ':' || n.id) AS root
+               FROM id_nodes n LEFT JOIN id_roots r ON r.node = n.source || ':' || n.id)"""
+CTE_DEPS["id_classes"] = ["event_map"]
+
+
+@register(
+    "event_classes",
+    with_ctes(
+        ["id_classes"],
+        """SELECT source, id, c.root, cast(s AS VARCHAR) AS eventStart,
+       strftime(s, '%Y_%m') || '_' || lpad(cast(rn AS VARCHAR), cast(greatest(4, length(cast(rn AS VARCHAR))) AS INTEGER), '0') AS eventKey
+FROM id_classes c JOIN (
+  SELECT root, s, row_number() OVER (PARTITION BY strftime(s, '%Y_%m') ORDER BY root) AS rn
+  FROM (SELECT root, min(d) AS s FROM id_classes GROUP BY root) a) k ON c.root = k.root""",
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+    "A33-A37",
+)
+def q_event_classes(spark, sf):
+    return ky.event_classes(*_linked_ids(spark, sf))
+
+
+def _linked_ids(spark, sf):
+    a = fema_spans(spark, sf).filter(F.col("end_date") >= F.col("begin_date"))
+    b = impact_places(spark, sf).withColumnRenamed("eventid", "emdatID").filter(F.col("end_date") >= F.col("begin_date"))
+    pairs = ky.link_ids(a, b, ["state", "county"], ["county"])
+    days = a.select(F.lit("femaID").alias("source"), F.col("femaID").alias("id"), F.col("begin_date").alias("day")).unionByName(
+        b.select(F.lit("emdatID").alias("source"), F.col("emdatID").alias("id"), F.col("begin_date").alias("day"))
+    )
+    return pairs, days
+
+
 @register(
     "check_unique",
     with_ctes(["decl_spans"], "SELECT eventid, count(*) AS n FROM decl_spans GROUP BY eventid HAVING count(*) > 1"),

@@ -357,3 +357,59 @@ WHERE x.county IS NULL OR x.county = ''""",
 )
 def q_expand_counties(spark, sf):
     return expand_counties(impact_spans(spark, sf), county_dim(spark, sf)).select("eventid", "state", "county")
+
+
+CTE["open_days"] = """open_days AS (
+  SELECT state, county, Day FROM fema_days UNION ALL SELECT state, county, Day FROM impact_days)"""
+CTE_DEPS["open_days"] = ["fema_days", "impact_days"]
+CTE["open_runs"] = """open_runs AS (
+  SELECT state, county, n_open, min(Day) AS b, max(Day) AS e, count(*) AS n FROM (
+    SELECT *, date_diff('day', DATE '1970-01-01', Day) - row_number() OVER (PARTITION BY state, county, n_open ORDER BY Day) AS g
+    FROM (SELECT state, county, Day, count(*) AS n_open FROM open_days GROUP BY state, county, Day) c) x
+  GROUP BY state, county, n_open, g)"""
+CTE_DEPS["open_runs"] = ["open_days"]
+
+
+def all_spans(spark, sf):
+    """The spans of both sources with their places."""
+    cols = ["state", "county", "begin_date", "end_date"]
+    return fema_spans(spark, sf).select(*cols).unionByName(impact_places(spark, sf).select(*cols))
+
+
+@register(
+    "merge_spans",
+    with_ctes(
+        ["open_days"],
+        """SELECT state, county, cast(min(Day) AS VARCHAR) AS begin_date, cast(max(Day) AS VARCHAR) AS end_date, count(*) AS n_days FROM (
+  SELECT *, date_diff('day', DATE '1970-01-01', Day) - row_number() OVER (PARTITION BY state, county ORDER BY Day) AS g
+  FROM (SELECT DISTINCT state, county, Day FROM open_days) d) x
+GROUP BY state, county, g""",
+    ),
+    "A30",
+)
+def q_merge_spans(spark, sf):
+    return sp.merge_spans(all_spans(spark, sf), ["state", "county"])
+
+
+@register(
+    "event_concurrency",
+    with_ctes(["open_runs"], "SELECT state, county, cast(b AS VARCHAR) AS begin_date, cast(e AS VARCHAR) AS end_date, n_open FROM open_runs"),
+    "A31,A47",
+)
+def q_event_concurrency(spark, sf):
+    return sp.concurrency(all_spans(spark, sf), ["state", "county"])
+
+
+@register(
+    "concurrency_peaks",
+    with_ctes(
+        ["open_runs"],
+        """SELECT state, county, max(n_open) AS peak_open, cast(min(CASE WHEN n_open = m THEN b END) AS VARCHAR) AS peak_begin,
+       sum(CASE WHEN n_open = m THEN n ELSE 0 END) AS peak_days, sum(n) AS days_open, sum(n * n_open) AS span_days
+FROM (SELECT *, max(n_open) OVER (PARTITION BY state, county) AS m FROM open_runs) x GROUP BY state, county""",
+    ),
+    "A31,A47",
+)
+def q_concurrency_peaks(spark, sf):
+    places = ["state", "county"]
+    return sp.peaks(sp.concurrency(all_spans(spark, sf), places), places)
