@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from . import bytesops as B
-from .components import connected_components
+from ..operators.components import connected_components
 
 SHINGLE = 4
 BUDGET = 4

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .components import connected_components
+from ..operators.components import connected_components
 
 #: fixed values: the rules of the query
 RULES = (
