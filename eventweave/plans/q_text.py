@@ -7,7 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 from ..functions.rules import Rule
-from ..operators import geo
+from ..operators import fuzzy, geo
 from ..operators import text as tx
 from ..operators.cleaning import drop_listed
 from .base import CTE, CTE_DEPS, register, states, tbl, with_ctes
@@ -408,3 +408,47 @@ def q_attach_places(spark, sf):
 def q_presence_partition(spark, sf):
     p = geo.partition_by_presence(parsed_locations(spark, sf))
     return p.groupBy("presence").agg(F.count(F.lit(1)).alias("n"))
+
+
+CTE["misspelt"] = """misspelt AS (
+  SELECT state_id AS State, city, overlay_name AS Region FROM (
+    SELECT DISTINCT s.abbr AS state_id, split_part(p_name, ' ', 2) AS city,
+      CASE p_partkey % 4 WHEN 0 THEN split_part(p_name, ' ', 2) || 'e' WHEN 1 THEN substr(split_part(p_name, ' ', 2), 2)
+        WHEN 2 THEN replace(replace(split_part(p_name, ' ', 2), 'e', 'i'), 'l', 'r') ELSE 'x' || split_part(p_name, ' ', 1) END AS overlay_name
+    FROM part JOIN states s ON p_partkey % 25 = s.n_nationkey) x)"""
+CTE_DEPS["misspelt"] = ["states"]
+
+
+def misspelt_regions(spark, sf):
+    """Region names as a careless clerk would write them, by state."""
+    p = tbl(spark, sf, "part").select("p_partkey", "p_name")
+    s = states(spark, sf)
+    j = p.join(s, (p["p_partkey"] % 25) == s["n_nationkey"])
+    spelt = F.expr(
+        "CASE p_partkey % 4 WHEN 0 THEN split_part(p_name, ' ', 2) || 'e' WHEN 1 THEN substr(split_part(p_name, ' ', 2), 2) "
+        "WHEN 2 THEN replace(replace(split_part(p_name, ' ', 2), 'e', 'i'), 'l', 'r') ELSE 'x' || split_part(p_name, ' ', 1) END"
+    )
+    return j.select(F.col("abbr").alias("State"), spelt.alias("Region"))
+
+
+def place_names(spark, sf):
+    """County and city names of the gazetteer, by state."""
+    g = part_gazetteer(spark, sf)
+    names = g.select(F.col("state_id").alias("State"), F.col("city").alias("place"))
+    return names.unionByName(g.select(F.col("state_id").alias("State"), F.col("county_name").alias("place")))
+
+
+@register(
+    "place_candidates",
+    with_ctes(
+        ["misspelt", "gaz"],
+        """SELECT State, Region, place, distance, row_number() OVER (PARTITION BY State, Region ORDER BY distance, place) AS rank
+FROM (SELECT l.State, l.Region, n.place, levenshtein(l.Region, n.place) AS distance
+      FROM (SELECT DISTINCT State, Region FROM misspelt WHERE Region <> '') l
+      JOIN (SELECT state_id, city AS place FROM gaz UNION SELECT state_id, county_name FROM gaz) n ON n.state_id = l.State) x
+WHERE distance <= 2""",
+    ),
+    "A10,A17,A18",
+)
+def q_place_candidates(spark, sf):
+    return fuzzy.candidates(misspelt_regions(spark, sf), place_names(spark, sf), ["State"], "Region", "place")
