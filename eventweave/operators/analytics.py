@@ -250,18 +250,19 @@ def freq(df: DataFrame, cols: list[str], sort: bool = True) -> DataFrame:
 
 
 def fit_duration(
-    df: DataFrame, formula: str = "duration ~ state + year", max_iter: int = 25, by: str = "state"
+    df: DataFrame, formula: str = "duration ~ state + year", max_iter: int = 25, by: str = "state", moments: tuple[str, ...] = ()
 ) -> tuple[DataFrame, DataFrame]:
     """Poisson GLM of duration on state and year (distributed IRLS in
     Spark ML).  Returns one row per coefficient (term, estimate) and, per value of
     ``by``, the rows fitted with their observed and fitted totals (which agree for
-    every level of a factor in the model, whatever the other terms)."""
+    every level of a factor in the model, whatever the other terms).  ``moments``: numeric columns; each adds a row whose
+    totals are weighted by it, under ``by`` = ``(column)`` (they agree only if the column's own coefficient is right)."""
     from pyspark.ml.feature import RFormula
     from pyspark.ml.regression import GeneralizedLinearRegression
 
     rf = RFormula(formula=formula, featuresCol="__features", labelCol="__label", handleInvalid="skip")
     fitted = rf.fit(df)
-    data = fitted.transform(df).select(by, "__features", "__label")
+    data = fitted.transform(df).select(by, *moments, "__features", "__label")
     glm = GeneralizedLinearRegression(
         family="poisson", link="log", featuresCol="__features", labelCol="__label", maxIter=max_iter, tol=1e-10
     ).fit(data)
@@ -270,7 +271,23 @@ def fit_duration(
     rows = [("(Intercept)", float(glm.intercept))] + [
         (names.get(i, f"x{i}"), float(v)) for i, v in enumerate(glm.coefficients.toArray())
     ]
-    totals = glm.transform(data).groupBy(by).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("__label").alias("observed"), F.sum("prediction").alias("fitted")
-    )
+    predicted = glm.transform(data)
+    weighted = lambda w: [
+        F.count(F.lit(1)).alias("n"), F.sum(w * F.col("__label")).alias("observed"), F.sum(w * F.col("prediction")).alias("fitted")
+    ]
+    totals = predicted.groupBy(by).agg(*weighted(F.lit(1.0)))
+    for m in moments:
+        totals = totals.unionByName(predicted.agg(*weighted(F.col(m))).withColumn(by, F.lit(f"({m})")))
     return df.sparkSession.createDataFrame(rows, "term STRING, estimate DOUBLE"), totals
+
+
+def level_estimates(coefficients: DataFrame, levels: DataFrame, factor: str) -> DataFrame:
+    """One row per level of ``factor`` with its own intercept (the model's intercept plus the level's coefficient,
+    0 for the reference level), and one per numeric term, as (term, estimate): the same whichever level
+    is the reference."""
+    base = coefficients.filter("term = '(Intercept)'").select(F.col("estimate").alias("__base"))  # one row
+    own = levels.select(F.col(factor).alias("term")).distinct().crossJoin(base)
+    named = coefficients.withColumn("term", F.regexp_replace("term", f"^{factor}_", "")).withColumnRenamed("estimate", "__own")
+    by_level = own.join(named, "term", "left").select("term", (F.col("__base") + F.coalesce("__own", F.lit(0.0))).alias("estimate"))
+    numeric = coefficients.filter(~F.col("term").startswith(f"{factor}_") & (F.col("term") != "(Intercept)"))
+    return by_level.unionByName(numeric)

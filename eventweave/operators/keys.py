@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import pad_counter
+from ..functions.columns import is_blank, pad_counter
 from ..session import materialize
 from .components import connected_components
 from .ordered import fill_within, join_null_safe, number_within
@@ -107,8 +107,9 @@ def mint_source_keys(
     pad: int = 3,
     skew_safe: bool = True,
 ) -> DataFrame:
-    """Older per-source keys (pad 3), all sources bound together.  Returns
-    Source, eventid, super_id, state, eventKey."""
+    """Older per-source keys (pad 3): each source numbers its own events within (month, state), so sources
+    may use the same key; rows of all sources are then bound together.  Returns Source, eventid, super_id, state,
+    eventKey."""
     t = spans.withColumn("__super", source_event_id(source, id_col))
     # one pass over the spans; the rest works on the distinct ids
     ids = t.groupBy(source, id_col, "__super", state).agg(F.min(day).alias("__d"))
@@ -116,17 +117,27 @@ def mint_source_keys(
     starts = id_states.groupBy(source, "__super").agg(F.min("__d").alias("__start"))
     k = id_states.select(source, "__super", state).join(starts, on=[source, "__super"], how="inner")
     k = k.withColumn("__ym", F.date_format("__start", "yyyy_MM"))
-    k = number_within(k, ["__ym", state], [source, "__super"], "__rn", skew_safe=skew_safe)
+    k = number_within(k, [source, "__ym", state], ["__super"], "__rn", skew_safe=skew_safe)
     k = k.withColumn("eventKey", F.concat_ws("_", F.col("__ym"), F.col(state), pad_counter("__rn", pad)))
     out = ids.drop("__d").join(k.select(source, "__super", state, "eventKey"), on=[source, "__super", state], how="inner")
     return out.select(source, id_col, F.col("__super").alias("super_id"), state, "eventKey")
 
 
-def check_disjoint(keys: DataFrame, source: str = "Source", key: str = "eventKey") -> DataFrame:
-    """How many keys are shared by rows of more than one source (0 when the sources
-    are disjoint), and how many keys there are."""
-    per_key = keys.groupBy(key).agg((F.min(source) != F.max(source)).alias("__both"))
-    return per_key.agg(F.count_if("__both").cast("long").alias("n_both"), F.count(F.lit(1)).cast("long").alias("n_keys"))
+def check_disjoint(keys: DataFrame, a_id: str = "femaID", b_id: str = "emdatID") -> DataFrame:
+    """How many key rows carry the ids of both sources, of one alone, or of none (an id is missing when
+    NULL or blank).  Sources that were keyed apart have no row with both; in a key table of matched
+    events these are the matches."""
+    has_a, has_b = ~is_blank(a_id), ~is_blank(b_id)
+    n = lambda c, name: F.count_if(c).cast("long").alias(name)
+    return keys.agg(
+        n(has_a & has_b, "n_both"), n(has_a & ~has_b, "n_a_only"), n(~has_a & has_b, "n_b_only"), n(~has_a & ~has_b, "n_neither")
+    )
+
+
+def shared_keys(keys: DataFrame, source: str = "Source", key: str = "eventKey") -> DataFrame:
+    """How many keys rows of several sources use, and how many keys there are."""
+    per_key = keys.groupBy(key).agg((F.min(source) != F.max(source)).alias("__several"))
+    return per_key.agg(F.count_if("__several").cast("long").alias("n_shared"), F.count(F.lit(1)).cast("long").alias("n_keys"))
 
 
 def id_map(

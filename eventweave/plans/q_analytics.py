@@ -207,22 +207,60 @@ def q_freq(spark, sf):
     return an.freq(decl_spans(spark, sf), ["state", "incident_type"])
 
 
+DURATIONS_SQL = """durations AS (
+  SELECT state, cast(date_diff('day', begin_date, end_date) AS DOUBLE) AS d, cast(year(begin_date) - 1990 AS DOUBLE) AS year
+  FROM decl_spans WHERE end_date IS NOT NULL AND state IS NOT NULL)"""
+
+
+def _durations(spark, sf):
+    d = decl_spans(spark, sf).select(
+        F.datediff("end_date", "begin_date").cast("double").alias("duration"),
+        "state",
+        (F.year("begin_date") - 1990).cast("double").alias("year"),
+    )
+    return d.filter(F.col("duration").isNotNull())
+
+
 @register(
     "fit_duration",
     with_ctes(
         ["decl_spans"],
-        """SELECT state, count(*) AS n, round(sum(d), 3) AS observed, round(sum(d), 3) AS fitted
-FROM (SELECT state, cast(date_diff('day', begin_date, end_date) AS DOUBLE) AS d FROM decl_spans WHERE end_date IS NOT NULL) x
-GROUP BY state""",
+        """SELECT state, count(*) AS n, round(sum(d), 3) AS observed, round(sum(d), 3) AS fitted FROM durations GROUP BY state
+UNION ALL SELECT '(year)', count(*), round(sum(year * d), 3), round(sum(year * d), 3) FROM durations""",
+        [DURATIONS_SQL],
     ),
     "A55",
 )
 def q_fit_duration(spark, sf):
-    """Fitted totals of a Poisson model equal the observed ones in every state."""
-    d = decl_spans(spark, sf).select(
-        F.datediff("end_date", "begin_date").cast("double").alias("duration"),
-        "state",
-        (F.year("begin_date") - 1990).cast("double").alias("year"),
-    ).filter(F.col("duration").isNotNull())
-    _, totals = an.fit_duration(d)
+    """The score equations of a Poisson model: fitted totals equal the observed ones in every state, and weighted by year."""
+    _, totals = an.fit_duration(_durations(spark, sf), moments=("year",))
     return totals.select("state", "n", F.round("observed", 3).alias("observed"), F.round("fitted", 3).alias("fitted"))
+
+
+@register(
+    "duration_coefficients",
+    with_ctes(
+        ["decl_spans"],
+        """SELECT 'year' AS term, round(b, 6) AS estimate FROM beta WHERE i = 25
+UNION ALL
+SELECT c.state, round(ln(sum(s) / sum(n * exp(b * year))), 6) FROM cells c, beta WHERE i = 25 GROUP BY c.state""",
+        [
+            DURATIONS_SQL,
+            "cells AS MATERIALIZED (SELECT state, year, cast(count(*) AS DOUBLE) AS n, sum(d) AS s FROM durations GROUP BY state, year)",
+            """beta(i, b) AS (
+  SELECT 0, cast(0 AS DOUBLE)
+  UNION ALL
+  SELECT i + 1, b + score / information FROM (
+    SELECT i, b, sum(xs - s * m1 / m0) AS score, sum(s * (m2 / m0 - (m1 / m0) * (m1 / m0))) AS information FROM (
+      SELECT i, b, state, sum(s) AS s, sum(year * s) AS xs, sum(n * exp(b * year)) AS m0,
+             sum(n * year * exp(b * year)) AS m1, sum(n * year * year * exp(b * year)) AS m2
+      FROM beta, cells WHERE i < 25 GROUP BY i, b, state) t GROUP BY i, b) u)""",
+        ],
+    ).replace("WITH ", "WITH RECURSIVE ", 1),
+    "A55",
+)
+def q_duration_coefficients(spark, sf):
+    """The model's year coefficient and the log rate of every state; the SQL solves the profile likelihood by Newton steps."""
+    d = _durations(spark, sf)
+    coefficients, _ = an.fit_duration(d)
+    return an.level_estimates(coefficients, d, "state").withColumn("estimate", F.round("estimate", 6))

@@ -10,7 +10,7 @@ from ..operators import keys as ky
 from ..operators import marts as mt
 from ..operators.geo import expand_counties
 from ..session import cut_lineage
-from .base import CTE, CTE_DEPS, county_dim, decl_spans, impact_spans, register, stage, tbl, with_ctes
+from .base import CTE, CTE_DEPS, county_dim, decl_spans, impact_spans, register, stage, states, tbl, with_ctes
 from .q_spans import event_map_frame, event_map_rows, fema_spans, impact_days, impact_places
 
 # Our own hazard dictionaries (ordered rules) and hierarchy.
@@ -146,13 +146,15 @@ def q_event_key_mint(spark, sf):
 
 CTE["source_days"] = """source_days AS (
   SELECT 'FEMA' AS Source, femaID AS eventid, Day, state FROM fema_days
-  UNION ALL SELECT 'EMDAT' AS Source, eventid, Day, state FROM impact_days)"""
-CTE_DEPS["source_days"] = ["fema_days", "impact_days"]
+  UNION ALL SELECT 'EMDAT' AS Source, eventid, Day, state FROM impact_days
+  UNION ALL SELECT 'GTD' AS Source, cast(event_id AS VARCHAR) || '_1' AS eventid, cast(ts AS DATE) AS Day, abbr AS state
+            FROM events JOIN states ON user_id % 25 = n_nationkey)"""
+CTE_DEPS["source_days"] = ["fema_days", "impact_days", "states"]
 CTE["source_keys"] = """source_keys AS (
   SELECT i.Source, i.eventid, i.super_id, i.state,
          k.ym || '_' || i.state || '_' || lpad(cast(k.rn AS VARCHAR), cast(greatest(3, length(cast(k.rn AS VARCHAR))) AS INTEGER), '0') AS eventKey
   FROM (SELECT DISTINCT Source, eventid, super_id, state FROM sd) i
-  JOIN (SELECT Source, super_id, state, ym, row_number() OVER (PARTITION BY ym, state ORDER BY Source, super_id) AS rn
+  JOIN (SELECT Source, super_id, state, ym, row_number() OVER (PARTITION BY Source, ym, state ORDER BY super_id) AS rn
         FROM (SELECT s.Source, s.super_id, s.state, strftime(t.start, '%Y_%m') AS ym
               FROM (SELECT DISTINCT Source, super_id, state FROM sd) s
               JOIN (SELECT Source, super_id, min(Day) AS start FROM sd GROUP BY Source, super_id) t
@@ -162,19 +164,24 @@ CTE_DEPS["source_keys"] = ["source_days"]
 SD_SQL = """sd AS (
   SELECT Source, eventid, Day, state,
          CASE WHEN Source = 'FEMA' THEN regexp_replace(eventid, '_[^.]*$', '')
-              WHEN Source = 'EMDAT' THEN substr(eventid, 1, length(eventid) - 5) ELSE eventid END AS super_id
+              WHEN Source = 'EMDAT' THEN regexp_replace(eventid, '[_-][^_-]*$', '') ELSE eventid END AS super_id
   FROM source_days)"""
 
 
 def source_spans(spark, sf):
     a = fema_spans(spark, sf).select(F.lit("FEMA").alias("Source"), F.col("femaID").alias("eventid"), "begin_date", "end_date", "state")
     b = impact_places(spark, sf).select(F.lit("EMDAT").alias("Source"), "eventid", "begin_date", "end_date", "state")
-    return a.unionByName(b).filter(F.col("end_date") >= F.col("begin_date"))
+    e = tbl(spark, sf, "events").select("event_id", "user_id", F.col("ts").cast("date").alias("day"))
+    c = e.join(states(spark, sf), (e["user_id"] % 25) == F.col("n_nationkey")).select(
+        F.lit("GTD").alias("Source"), F.concat(F.col("event_id").cast("string"), F.lit("_1")).alias("eventid"),
+        F.col("day").alias("begin_date"), F.col("day").alias("end_date"), F.col("abbr").alias("state"),
+    )
+    return a.unionByName(b).unionByName(c).filter(F.col("end_date") >= F.col("begin_date"))
 
 
 @register(
     "source_key_mint",
-    with_ctes(["fema_days", "impact_days"], "SELECT Source, eventid, super_id, state, eventKey FROM source_keys", [CTE["source_days"], SD_SQL, CTE["source_keys"]]),
+    with_ctes(["fema_days", "impact_days", "states"], "SELECT Source, eventid, super_id, state, eventKey FROM source_keys", [CTE["source_days"], SD_SQL, CTE["source_keys"]]),
     "A35",
 )
 def q_source_key_mint(spark, sf):
@@ -184,15 +191,28 @@ def q_source_key_mint(spark, sf):
 @register(
     "check_disjoint",
     with_ctes(
-        ["fema_days", "impact_days"],
-        """SELECT count(CASE WHEN n > 1 THEN 1 END) AS n_both, count(*) AS n_keys
+        ["keys"],
+        """SELECT count(CASE WHEN femaID <> '' AND emdatID <> '' THEN 1 END) AS n_both, count(CASE WHEN femaID <> '' AND emdatID = '' THEN 1 END) AS n_a_only,
+       count(CASE WHEN femaID = '' AND emdatID <> '' THEN 1 END) AS n_b_only, count(CASE WHEN femaID = '' AND emdatID = '' THEN 1 END) AS n_neither FROM keys""",
+    ),
+    "A36",
+)
+def q_check_disjoint(spark, sf):
+    return ky.check_disjoint(key_table(spark, sf))
+
+
+@register(
+    "shared_source_keys",
+    with_ctes(
+        ["fema_days", "impact_days", "states"],
+        """SELECT count(CASE WHEN n > 1 THEN 1 END) AS n_shared, count(*) AS n_keys
 FROM (SELECT eventKey, count(DISTINCT Source) AS n FROM source_keys GROUP BY eventKey) x""",
         [CTE["source_days"], SD_SQL, CTE["source_keys"]],
     ),
     "A36",
 )
-def q_check_disjoint(spark, sf):
-    return ky.check_disjoint(ky.mint_source_keys(source_spans(spark, sf)))
+def q_shared_source_keys(spark, sf):
+    return ky.shared_keys(ky.mint_source_keys(source_spans(spark, sf)))
 
 
 @register(

@@ -35,6 +35,9 @@ def places_of_impacts(
     t = text.rewrite(t.withColumn("Location", F.lower("Location")), "Location", state_rules)
     if noise_words:
         t = text.strip_tokens(t, "Location", noise_words)
+    # dots go on both sides: the gazetteer writes "st clair", a report "St. Clair"
+    t = t.withColumn("Location", F.regexp_replace("Location", r"\.", ""))
+    gazetteer = gazetteer.select("state_id", *[F.regexp_replace(F.lower(c), r"\.", "").alias(c) for c in ("city", "county_name")])
     parsed = geo.partition_by_presence(text.parse_locations(t, "eventid"))
     ids = F.concat_ws("_", "eventid", F.col("piece_no").cast("string"), F.col("region_no").cast("string"))
     rows = text.state_codes(parsed.withColumn("region_id", ids))
@@ -69,7 +72,7 @@ def build_from_raw(
     declared = cleaning.normalize_declarations(declarations_raw)
     incidents = cleaning.add_county(cleaning.normalize_incidents(incidents_raw, states), gazetteer, city_aliases)
     first = cleaning.clean_admin(cleaning.union_sources(declared, incidents.drop("city")), allowed).select(*columns)
-    gaz = gazetteer.select("state_id", F.lower("city").alias("city"), F.regexp_replace(F.lower("county_name"), r"\.", "").alias("county_name"))
+    gaz = gazetteer.select("state_id", *[F.regexp_replace(F.lower(c), r"\.", "").alias(c) for c in ("city", "county_name")])
     impacts = cleaning.normalize_impacts(impacts_raw, drop_ids=drop_impacts)
     places = places_of_impacts(impacts, gaz, assignments, state_rules, noise_words, patches)
     second = cleaning.clean_admin(geo.attach_places(impacts.drop("Location"), places, "eventid"), allowed).select(*columns)

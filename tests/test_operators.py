@@ -276,10 +276,15 @@ def test_keys_are_stable_when_rows_arrive(spark):
 
 
 def test_disjoint_check_can_fail(spark):
+    df = spark.createDataFrame([("a", None), ("a", ""), (None, "x"), ("", "y"), ("", None)], "femaID STRING, emdatID STRING")
+    assert tuple(keys.check_disjoint(df).first()) == (0, 2, 2, 1)
+    both = df.unionByName(spark.createDataFrame([("a", "x"), ("b", "x")], df.schema))
+    assert tuple(keys.check_disjoint(both).first()) == (2, 2, 2, 1)
+    assert tuple(keys.check_disjoint(df.limit(0)).first()) == (0, 0, 0, 0)
     df = spark.createDataFrame([("FEMA", "k1"), ("FEMA", "k1"), ("EMDAT", "k2")], "Source STRING, eventKey STRING")
-    assert tuple(keys.check_disjoint(df).first()) == (0, 2)
+    assert tuple(keys.shared_keys(df).first()) == (0, 2)
     shared = df.unionByName(spark.createDataFrame([("EMDAT", "k1")], df.schema))
-    assert tuple(keys.check_disjoint(shared).first()) == (1, 2)
+    assert tuple(keys.shared_keys(shared).first()) == (1, 2)
 
 
 def test_known_zero_casualties_are_published(spark):
@@ -331,14 +336,19 @@ def test_exposure_keeps_panel_rows_without_events(spark):
 def test_source_key_id_rules(spark):
     days = spark.createDataFrame(
         [("FEMA", "DR-9_001", D(2000, 1, 5), "TX"), ("FEMA", "DR-9_002", D(2000, 1, 3), "TX"),
-         ("EMDAT", "2000-0001-0001", D(2000, 1, 4), "TX"), ("GTD", "77", D(2000, 2, 1), "TX")],
+         ("EMDAT", "2000-0001-0001", D(2000, 1, 4), "TX"), ("EMDAT", "2000-0002-0001", D(2000, 1, 4), "TX"),
+         ("GTD", "77", D(2000, 2, 1), "TX"), ("GTD", "78_1", D(2000, 2, 1), "TX"), ("GTD", "79", D(2000, 2, 9), "OK")],
         "Source STRING, eventid STRING, begin_date DATE, state STRING",
     )
     got = {(r.Source, r.eventid): (r.super_id, r.eventKey) for r in keys.mint_source_keys(days).collect()}
     assert got[("FEMA", "DR-9_001")] == ("DR-9", got[("FEMA", "DR-9_002")][1])
     assert got[("EMDAT", "2000-0001-0001")][0] == "2000-0001"
     assert got[("GTD", "77")] == ("77", "2000_02_TX_001")
-    assert {k for _, k in got.values()} >= {"2000_01_TX_001", "2000_01_TX_002"}
+    # every source counts for itself; an incident's id is kept whole
+    assert got[("FEMA", "DR-9_001")][1] == got[("EMDAT", "2000-0001-0001")][1] == "2000_01_TX_001"
+    assert got[("EMDAT", "2000-0002-0001")][1] == "2000_01_TX_002"
+    assert got[("GTD", "78_1")] == ("78_1", "2000_02_TX_002") and got[("GTD", "79")][1] == "2000_02_OK_001"
+    assert tuple(keys.shared_keys(keys.mint_source_keys(days)).first()) == (1, 5)
 
 
 def test_source_keys_of_an_event_with_more_than_9999_places(spark):
@@ -346,3 +356,25 @@ def test_source_keys_of_an_event_with_more_than_9999_places(spark):
     got = keys.mint_source_keys(rows).collect()
     assert sorted(r.eventid for r in got) == ["2001-0001_10000", "2001-0001_10001", "2001-0001_9999"]
     assert {(r.super_id, r.eventKey) for r in got} == {("2001-0001", "2001_01_TX_001")}
+
+
+def test_duration_model_totals_and_estimates(spark):
+    import math
+    import random
+
+    rng = random.Random(2)
+    rows = [(s, float(y), float(min(40, int(rng.expovariate(1 / math.exp(a + 0.1 * y)))))) for s, a in (("TX", 1.0), ("OK", 0.2), ("CA", 0.5)) for y in range(8) for _ in range(40)]
+    df = spark.createDataFrame(rows, "state STRING, year DOUBLE, duration DOUBLE")
+    coefficients, totals = an.fit_duration(df, moments=("year",))
+    found = {r.state: (r.n, r.observed, r.fitted) for r in totals.collect()}
+    assert set(found) == {"TX", "OK", "CA", "(year)"}
+    assert all(abs(o - f) < 1e-4 * max(o, 1) for _, o, f in found.values())
+    # without its year the model still meets every state's total, but not the one weighted by year
+    _, without = an.fit_duration(df, "duration ~ state", moments=("year",))
+    bare = {r.state: (r.observed, r.fitted) for r in without.collect()}
+    assert all(abs(bare[s][0] - bare[s][1]) < 1e-3 for s in ("TX", "OK", "CA")) and abs(bare["(year)"][0] - bare["(year)"][1]) > 10
+    levels = {r.term: r.estimate for r in an.level_estimates(coefficients, df, "state").collect()}
+    assert set(levels) == {"TX", "OK", "CA", "year"}
+    for s in ("TX", "OK", "CA"):
+        fitted = sum(math.exp(levels[s] + levels["year"] * y) for t, y, _ in rows if t == s)
+        assert abs(fitted - found[s][1]) < 1e-3 * found[s][1]

@@ -98,3 +98,28 @@ def test_csv_round_trip(spark):
     folder = tempfile.mkdtemp() + "/out"
     write_csv(spark.createDataFrame(rows, "s STRING, n INT"), folder)
     assert sorted(map(tuple, read_csv(spark, folder, "s STRING, n INT").collect()), key=str) == sorted(rows, key=str)
+
+
+def test_dots_in_location_text_do_not_lose_the_county(spark):
+    read = lambda name, body, **kw: read_csv(spark, _csv(name, body), RAW_SCHEMAS[name], **kw)
+    gaz = spark.createDataFrame(
+        [("St. Johns", "St. Johns", "MI", "Clinton"), ("X", "X", "MI", "st clair"), ("Y", "Y", "MI", "Wayne"), ("Z", "Z", "TX", "St. Mary")], RAW_SCHEMAS["gazetteer"]
+    )
+    states = spark.createDataFrame([("Michigan", "MI"), ("Texas", "TX")], RAW_SCHEMAS["states"])
+    header = "\n".join(IMPACTS.split("\n")[:3])
+    body = "\n".join([
+        "2001-0005,USA,2001,3,1,2001,3,2,Flood,,,St. Clair (Michigan),,7,",
+        "2001-0006,USA,2001,4,1,2001,4,2,Flood,,,\"ST. JOHNS (Michigan), St Mary (Texas)\",,1,",
+        "2001-0007,USA,2001,5,1,2001,5,2,Flood,,,St.Clair [St. Clair] (Michigan),,2,",
+    ])
+    t = build_from_raw(
+        read("declarations_raw", DECLARATIONS), read("incidents_raw", INCIDENTS), read("impacts_raw", f"{header}\n{body}\n", skip_lines=2), states, gaz,
+        spark.createDataFrame([], "region_id STRING, counties STRING"), spark.createDataFrame([("WATER", "Flood", "rise")], RAW_SCHEMAS["hazard_hierarchy"]),
+        [Rule("^Severe Storm.*", "Storm")], [Rule("^Flood:.*", "Flood")], [Rule("michigan", "MI"), Rule("texas", "TX")], allowed=["TX", "MI"],
+    )
+    key = {r.emdatID[:9]: set() for r in t["allKeys"].collect() if r.emdatID}
+    for r in t["allKeys"].collect():
+        if r.emdatID:
+            key[r.emdatID[:9]].add(r.eventKey)
+    where = {i: {(r.state, r.county) for r in t["disastLocations"].collect() if r.eventKey in keys} for i, keys in key.items()}
+    assert where == {"2001-0005": {("MI", "st clair")}, "2001-0006": {("MI", "clinton"), ("TX", "st mary")}, "2001-0007": {("MI", "st clair")}}
