@@ -18,8 +18,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-from ..sources.bucketed import open_bucketed, write_bucketed
+from ..operators.ordered import join_null_safe
+from ..session import ensure_checkpoint_dir, materialize
+from ..sources.bucketed import open_bucketed, overwrite_partitions, table_name, write_bucketed
 
 KEY, YEAR = "eventKey", "Year"
 #: bytes of one bucket of a year's largest table
@@ -60,8 +61,50 @@ def publish(tables: dict[str, DataFrame], folder: str, buckets: int) -> dict[str
 
 def open_published(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The four event tables below ``folder``, with their buckets, in a new session."""
-    layout = spark.read.schema("name string, buckets int, columns string").parquet(f"{folder.rstrip('/')}/_layout").collect()  # four rows
-    return {r["name"]: open_bucketed(spark, f"{folder.rstrip('/')}/{r['name']}", r["columns"], KEY, r["buckets"], YEAR) for r in layout}
+    at = folder.rstrip("/")
+    return {r["name"]: open_bucketed(spark, f"{at}/{r['name']}", r["columns"], KEY, r["buckets"], YEAR) for r in _layout(spark, folder)}
+
+
+def changed_rows(old: DataFrame, new: DataFrame, columns: list[str]) -> DataFrame:
+    """Distinct values of ``columns`` in the rows that only one of two versions of a table has, repeats counted."""
+    count = F.count(F.lit(1))
+    a = old.select(*new.columns).groupBy(*new.columns).agg(count.alias("n_old"))
+    b = new.groupBy(*new.columns).agg(count.alias("n_new"))
+    left, right = a.withColumn("n_new", F.lit(0)), b.withColumn("n_old", F.lit(0)).select(*a.columns, "n_new")
+    both = left.unionByName(right).groupBy(*new.columns).agg(F.sum("n_old").alias("n_old"), F.sum("n_new").alias("n_new"))
+    return both.filter("n_old <> n_new").select(*columns).distinct()
+
+
+def refresh(tables: dict[str, DataFrame], touched: DataFrame, folder: str) -> list[int | None]:
+    """Bring the published tables below ``folder`` up to ``tables``, of which only events ``touched`` (eventKey)
+    changed; the years written.
+
+    A touched event can change the year it starts in, so the years are those of touched events before and after.
+    Only these years' rows are computed for the three tables that follow the dates, and only their partitions are
+    overwritten: files of other years stay as they are.  The result equals publishing ``tables`` anew."""
+    spark = touched.sparkSession
+    touched = materialize(touched.select(KEY).distinct(), "touched")
+    published = open_published(spark, folder)
+    buckets = {r["name"]: r["buckets"] for r in _layout(spark, folder)}
+    dates = materialize(tables["disastDates"].withColumn(YEAR, F.year("eventStart")), "refreshed_dates")
+    seen = touched.join(dates, KEY).select(YEAR)
+    for name in TABLES:
+        seen = seen.unionByName(touched.join(published[name], KEY).select(YEAR))
+    years = {r[0] for r in seen.distinct().collect()}  # one row a year
+    if not touched.join(dates, KEY, "left_anti").isEmpty():
+        years.add(None)  # what is left of an event without dates is there
+    years = sorted(years, key=lambda y: (y is not None, y))
+    here = spark.createDataFrame([(y,) for y in years], f"{YEAR} int")
+    for name in TABLES:
+        rows = dates if name == "disastDates" else tables[name].join(dates.select(KEY, YEAR), KEY, "left")
+        # the rows may be computed from anything but the partitions they replace
+        rows = materialize(join_null_safe(rows, here, [YEAR], "left_semi") if years else rows.limit(0), f"refreshed_{name}")
+        overwrite_partitions(table_name(published[name]), f"{folder.rstrip('/')}/{name}", rows, KEY, buckets[name], YEAR, years)
+    return years
+
+
+def _layout(spark: SparkSession, folder: str) -> list:
+    return spark.read.schema("name string, buckets int, columns string").parquet(f"{folder.rstrip('/')}/_layout").collect()  # four rows
 
 
 def search_published(

@@ -27,8 +27,39 @@ from ..operators import marts as mt
 from ..operators import spans as sp
 from ..operators.cleaning import sequence_id
 from ..operators.geo import expand_counties
-from ..session import cut_lineage
-from .published import publish
+from ..session import cut_lineage, materialize
+from .published import TABLES, changed_rows, publish, refresh
+
+
+SOURCE_COLUMNS = ["id", "begin_date", "end_date", "state", "county", "incident_type", "nkill", "nwound"]
+
+
+def _source_rows(declarations: DataFrame, impacts: DataFrame) -> DataFrame:
+    """The numbered rows that the published tables were made from, kept beside them for the next refresh."""
+    a = declarations.withColumn("id", F.col("femaID")).select(*SOURCE_COLUMNS)
+    return a.unionByName(impacts.withColumn("id", F.col("emdatID")).select(*SOURCE_COLUMNS))
+
+
+def refresh_star_schema(folder: str, declarations: DataFrame, impacts: DataFrame, *given, **options) -> list[int | None]:
+    """Bring the published layout in ``folder`` up to date with the sources as they are now; the years written.
+
+    Stored events keep their keys.  Touched are the events whose key rows are new or gone, and those of any id whose
+    source rows changed; ``published.refresh`` rewrites the years of these events alone."""
+    spark, at = declarations.sparkSession, folder.rstrip("/")
+    stored = materialize(spark.read.parquet(f"{at}/allKeys"), "stored_keys")
+    sources = materialize(spark.read.parquet(f"{at}/_sources"), "stored_sources")
+    tables = build_star_schema(declarations, impacts, *given, existing=stored, **options)
+    keys, rows = tables["allKeys"], materialize(tables.pop("_sources"), "new_sources")
+    ids = changed_rows(sources, rows, ["id"])
+    every = keys.unionByName(stored.select(*keys.columns))
+    named = every.select(F.explode(F.array("femaID", "emdatID")).alias("id"), "eventKey").filter("id <> ''").distinct()
+    touched = changed_rows(stored, keys, ["eventKey"]).unionByName(named.join(ids, "id", "left_semi").select("eventKey"))
+    years = refresh(tables, touched, folder)
+    for name in tables:
+        if name not in TABLES:
+            tables[name].write.mode("overwrite").parquet(f"{at}/{name}")
+    rows.write.mode("overwrite").parquet(f"{at}/_sources")
+    return years
 
 
 def build_star_schema(
@@ -43,9 +74,11 @@ def build_star_schema(
     last_begin: str = "2020-01-20",
     out_dir: str | None = None,
     buckets: int | None = None,
+    existing: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """The eight tables; written below ``out_dir`` if given: plainly, or with ``buckets`` in the published layout
-    (``published.py``: start year folders, that many buckets by event key)."""
+    (``published.py``: start year folders, that many buckets by event key).  ``existing``: the stored key
+    table, whose keys stay as they are."""
     # declarations: impute missing ends (state+year, then state), drop excluded
     # types / late spans, number rows within each declaration (pad 3)
     d = declarations.withColumn("year", F.year("begin_date"))
@@ -62,7 +95,7 @@ def build_star_schema(
     em = cut_lineage(sp.event_map(a_days, b_days), "event_map")
     filled = ky.fill_updown(em, "femaID", "emdatID", ["Day", "emdatID asc nulls last"], fill_null_key=False)
     comp = cut_lineage(ky.composite_id(filled), "composite_map")
-    keys = cut_lineage(ky.mint_keys(comp), "keys")
+    keys = cut_lineage(ky.mint_keys(comp, existing=existing), "keys")
 
     key_map = (
         keys.filter(F.col("femaID") != "").select(F.col("femaID").alias("id"), "eventKey")
@@ -100,7 +133,12 @@ def build_star_schema(
         "hazard_report": hierarchy,
     }
     if out_dir and buckets:
-        return publish(tables, out_dir, buckets)
+        written = publish(tables, out_dir, buckets)
+        sources = f"{out_dir.rstrip('/')}/_sources"
+        _source_rows(d, i).write.mode("overwrite").parquet(sources)
+        return written
+    if existing is not None:
+        tables["_sources"] = _source_rows(d, i)
     if out_dir:
         spark = declarations.sparkSession
         for name, df in list(tables.items()):

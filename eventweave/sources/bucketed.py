@@ -53,11 +53,40 @@ def open_bucketed(
     return spark.table(table)
 
 
+def overwrite_partitions(name: str, folder: str, rows: DataFrame, key: str, buckets: int, partition_by: str, values: list[int | None]) -> None:
+    """Put ``rows`` in place of the partitions ``values`` of the bucketed table ``name`` in ``folder``; every other
+    partition keeps its files.  A partition that gets no rows loses its folder.  ``rows`` must not
+    lie outside ``values``, and must not be read from the partitions they replace."""
+    spark = rows.sparkSession
+    kept = [r[0] for r in rows.select(partition_by).distinct().collect()]  # one row a partition
+    if set(kept) - set(values):
+        raise ValueError(f"rows outside the partitions to overwrite: {sorted(map(str, set(kept) - set(values)))}")
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode, None)
+    if kept:
+        columns = [*[c for c in spark.table(name).columns if c != partition_by], partition_by]
+        dealt = rows.select(*columns).repartition(buckets, key).sortWithinPartitions(partition_by, key)
+        try:
+            spark.conf.set(mode, "dynamic")
+            dealt.write.mode("overwrite").insertInto(name)
+        finally:
+            spark.conf.unset(mode) if before is None else spark.conf.set(mode, before)
+    for v in set(values) - set(kept):
+        spark.sql(f"ALTER TABLE {_quoted(name)} DROP IF EXISTS PARTITION ({_quoted(partition_by)} = {'null' if v is None else int(v)})")
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{partition_by}={'__HIVE_DEFAULT_PARTITION__' if v is None else int(v)}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)  # the table is external: its files stay otherwise
+    spark.catalog.refreshTable(name)
+
+
+def table_name(df: DataFrame) -> str:
+    """The catalog name of a table that this module opened."""
+    return re.search(r"bucketed_[0-9a-f]{12}", df._jdf.queryExecution().analyzed().toString()).group(0)
+
+
 def forget(*tables: DataFrame) -> None:
     """Drop the catalog entries of bucketed tables; their files stay."""
     for df in tables:
-        for name in set(re.findall(r"spark_catalog\.[a-z]+\.(bucketed_[0-9a-f]+)", df._jdf.queryExecution().analyzed().toString().lower())):
-            df.sparkSession.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {_quoted(table_name(df))}")
 
 
 def rows_by_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
