@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import INDEX, RANGE, join_null_safe, number_within, range_offsets, ranged
+from .ordered import INDEX, RANGE, fill_within, join_null_safe, number_within, range_offsets, ranged
 
 
 def audit_spans(df: DataFrame, by: str = "incident_type", begin: str = "begin_date", end: str = "end_date") -> DataFrame:
@@ -287,6 +287,44 @@ def peaks(intervals: DataFrame, keys: list[str], begin: str = "begin_date", end:
     )
 
 
+def attach_latest(
+    panel: DataFrame,
+    events: DataFrame,
+    keys: list[str],
+    at: str,
+    when: str,
+    tie: str,
+    columns: list[str] | None = None,
+    forward: bool = False,
+    within_days: int | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """As-of join (A31): every ``panel`` row with the latest event of its keys on or before the day ``at`` (``forward``: the
+    earliest on or after).
+
+    Events and panel rows are laid on one line by (keys, day) and the event is carried to the rows after it by the fill over
+    written ranges, so a place with a third of all rows is many tasks, and no pair is ever formed.
+    Of several events on one day the one with the largest ``tie`` counts.  Adds ``columns`` (default: ``when`` and ``tie``),
+    NULL without an event, where a key or day is NULL, or, with ``within_days``, where the event is farther away."""
+    columns = columns or [when, tie]
+    clash = set(columns) & set(panel.columns)
+    if clash:
+        raise ValueError(f"columns of both sides: {sorted(clash)}")
+    usable = events.filter(F.col(when).isNotNull() & F.col(tie).isNotNull()).dropna(subset=keys)
+    event = F.struct(F.col(when).alias("__when"), F.col(tie).alias("__tie"), *[F.col(c) for c in columns])
+    per_day = usable.groupBy(*keys, F.col(when).alias("__day")).agg(F.max(F.struct(F.col(tie), event.alias("e")))["e"].alias("__event"))
+    rows = panel.select(*keys, F.col(at).alias("__day"), F.struct(*[F.col(c) for c in panel.columns]).alias("__row"))
+    line = per_day.withColumn("__row", F.lit(None).cast(rows.schema["__row"].dataType)).withColumn("__kind", F.lit(0 if not forward else 1))
+    asked = rows.withColumn("__event", F.lit(None).cast(per_day.schema["__event"].dataType)).withColumn("__kind", F.lit(1 if not forward else 0))
+    filled = fill_within(line.unionByName(asked), keys, ["__day", "__kind"], "__event", "up" if forward else "down", partitions=partitions)
+    filled = filled.filter(F.col("__row").isNotNull())
+    good = F.col("__event").isNotNull() & F.col("__day").isNotNull()
+    if within_days is not None:
+        good = good & (F.abs(F.datediff("__day", F.col("__event.__when"))) <= within_days)
+    found = [F.when(good, F.col("__event")[c]).alias(c) for c in columns]
+    return filled.select(*[F.col("__row")[c].alias(c) for c in panel.columns], *found)
+
+
 def exposure(
     panel: DataFrame,
     events: DataFrame,

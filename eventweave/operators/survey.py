@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import regex_trim
 from ..session import materialize
-from .ordered import number_within
+from .ordered import join_null_safe, number_within
 
 
 def parse_site(df: DataFrame, col: str = "sitename") -> DataFrame:
@@ -80,3 +80,53 @@ def map_district(df: DataFrame, mapping: DataFrame, district: str = "district")
 def select_typed(df: DataFrame, spec: list[tuple[str, str, str]]) -> DataFrame:
     """Pick, rename and cast: ``spec`` = [(source expr, name, type)]."""
     return df.select(*[F.expr(src).cast(typ).alias(name) for src, name, typ in spec])
+
+
+def design_estimates(
+    df: DataFrame, by: list[str], y: str, weight: str = "weight", stratum: str = "stratum", psu: str = "PSU"
+) -> DataFrame:
+    """Weighted mean and total of ``y`` per domain ``by`` with design-based standard errors: by..., n, total,
+    se_total, mean, se_mean.
+
+    Linearised (Taylor) variance of a stratified sample of PSUs (ids nested in strata, drawn with replacement): with
+    u the PSU totals of the linearised values, sum over strata of n/(n-1) times the squared distances from
+    the stratum's mean.  All PSUs of the design count, also those without rows of the domain.  The only
+    PSU of a stratum is measured from the mean over all PSUs (the ``adjust`` rule).  Rows without
+    stratum, PSU or weight are no part of the design; rows without ``y`` are, but not of the estimates.
+
+    One aggregation to (domain, PSU) combines before its shuffle; all that follows has a row per PSU or stratum."""
+    design = df.filter(F.col(stratum).isNotNull() & F.col(psu).isNotNull() & F.col(weight).isNotNull())
+    sizes = design.select(stratum, psu).distinct().groupBy(stratum).agg(F.count(F.lit(1)).alias("__n_h"))
+    whole = sizes.agg(F.sum("__n_h").alias("__m"), F.count_if(F.col("__n_h") == 1).alias("__lonely"))  # one row
+    w, value = F.col(weight).cast("double"), F.col(y).cast("double")
+    per_psu = design.filter(F.col(y).isNotNull()).groupBy(*by, stratum, psu).agg(
+        F.sum(w).alias("__w"), F.sum(w * value).alias("__wy"), F.count(F.lit(1)).alias("__rows")
+    )
+    per_psu = materialize(per_psu, "psu_totals")
+    domains = per_psu.groupBy(*by).agg(F.sum("__w").alias("__all_w"), F.sum("__wy").alias("__all_wy"), F.sum("__rows").cast("long").alias("n"))
+    u = join_null_safe(per_psu, domains, by) if by else per_psu.crossJoin(domains)  # one row a domain
+    u = u.withColumn("__um", (F.col("__wy") - F.col("__all_wy") / F.col("__all_w") * F.col("__w")) / F.col("__all_w")).withColumn("__ut", F.col("__wy"))
+    parts = [a for k in ("m", "t") for a in (F.sum(f"__u{k}").alias(f"__s{k}"), F.sum(F.col(f"__u{k}") ** 2).alias(f"__q{k}"))]
+    strata = u.groupBy(*by, stratum).agg(*parts).join(sizes, stratum).crossJoin(whole)
+    lonely = F.col("__n_h") == 1
+    sums = []
+    for k in ("m", "t"):
+        s, q, n = F.col(f"__s{k}"), F.col(f"__q{k}"), F.col("__n_h")
+        sums += [
+            F.sum(F.when(~lonely, n / (n - 1) * (q - s * s / n))).alias(f"__v{k}"),
+            F.sum(s).alias(f"__all{k}"),
+            F.sum(F.when(lonely, s)).alias(f"__l{k}"),
+            F.sum(F.when(lonely, q)).alias(f"__lq{k}"),
+        ]
+    got = strata.groupBy(*by).agg(*sums, F.max("__m").alias("__m"), F.max("__lonely").alias("__lonely"))
+    none = F.lit(0.0)
+
+    def variance(k: str) -> Column:
+        # the squared distances of all lonely PSUs from the mean over PSUs; those without rows of the domain are at 0
+        mean = F.col(f"__all{k}") / F.col("__m")
+        far = F.coalesce(f"__lq{k}", none) - 2 * mean * F.coalesce(f"__l{k}", none) + F.col("__lonely") * mean * mean
+        return F.sqrt(F.greatest(F.coalesce(f"__v{k}", none) + far, none))
+
+    got = got.select(*by, variance("t").alias("se_total"), variance("m").alias("se_mean"))
+    out = join_null_safe(domains, got, by) if by else domains.crossJoin(got)
+    return out.select(*by, "n", F.col("__all_wy").alias("total"), "se_total", (F.col("__all_wy") / F.col("__all_w")).alias("mean"), "se_mean")

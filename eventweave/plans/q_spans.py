@@ -413,3 +413,21 @@ FROM (SELECT *, max(n_open) OVER (PARTITION BY state, county) AS m FROM open_run
 def q_concurrency_peaks(spark, sf):
     places = ["state", "county"]
     return sp.peaks(sp.concurrency(all_spans(spark, sf), places), places)
+
+
+@register(
+    "latest_declaration",
+    with_ctes(
+        ["impact_spans", "decl_spans"],
+        """SELECT i.rowkey, i.state, i.county, cast(i.begin_date AS VARCHAR) AS begin_date, cast(e.declared AS VARCHAR) AS declared, e.declaration, e.incident_type
+FROM (SELECT rowkey, state, county, begin_date FROM impact_spans) i
+ASOF LEFT JOIN (SELECT state, county, begin_date AS declared, max(rowkey) AS declaration, arg_max(incident_type, rowkey) AS incident_type
+                FROM decl_spans GROUP BY state, county, begin_date) e
+  ON i.state = e.state AND i.county = e.county AND i.begin_date >= e.declared""",
+    ),
+    "A31",
+)
+def q_latest_declaration(spark, sf):
+    panel = impact_spans(spark, sf).select("rowkey", "state", "county", "begin_date")
+    events = decl_spans(spark, sf).select("state", "county", F.col("begin_date").alias("declared"), F.col("rowkey").alias("declaration"), "incident_type")
+    return sp.attach_latest(panel, events, ["state", "county"], "begin_date", "declared", "declaration", ["declared", "declaration", "incident_type"])

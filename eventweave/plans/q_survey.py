@@ -162,3 +162,44 @@ SPEC = [
 )
 def q_select_typed(spark, sf):
     return sv.select_typed(panel(spark, sf), SPEC)
+
+
+@register(
+    "design_errors",
+    with_ctes(
+        [],
+        """SELECT g.year, g.n, round(all_wy, 6) AS total, round(sqrt(vt + far_t), 6) AS se_total, round(all_wy / all_w, 9) AS mean, round(sqrt(vm + far_m), 9) AS se_mean
+FROM g JOIN (
+  SELECT year, sum(CASE WHEN n_h > 1 THEN n_h / (n_h - 1.0) * (qt - st * st / n_h) ELSE 0 END) AS vt,
+         sum(CASE WHEN n_h > 1 THEN n_h / (n_h - 1.0) * (qm - sm * sm / n_h) ELSE 0 END) AS vm,
+         sum(CASE WHEN n_h = 1 THEN (st - mt) * (st - mt) ELSE 0 END) AS far_t, sum(CASE WHEN n_h = 1 THEN (sm - mm) * (sm - mm) ELSE 0 END) AS far_m
+  FROM (SELECT *, sum(st) OVER (PARTITION BY year) / sum(n_h) OVER (PARTITION BY year) AS mt,
+               sum(sm) OVER (PARTITION BY year) / sum(n_h) OVER (PARTITION BY year) AS mm
+        FROM (SELECT year, stratum, count(*) AS n_h, sum(ut) AS st, sum(ut * ut) AS qt, sum(um) AS sm, sum(um * um) AS qm
+              FROM u GROUP BY year, stratum) a) b
+  GROUP BY year) v ON g.year = v.year""",
+        [
+            PANEL_SQL,
+            "p AS (SELECT year, CASE WHEN year = 2003 AND stratum = 'de' THEN 'de2003' ELSE stratum END AS stratum, "
+            "CASE WHEN stratum = 'fr' THEN 'all of fr' ELSE PSU END AS PSU, weight, cast(q26 = 1 AS INTEGER) AS y FROM panel)",
+            "g AS (SELECT year, count(*) AS n, sum(weight * y) AS all_wy, sum(weight) AS all_w FROM p WHERE y IS NOT NULL GROUP BY year)",
+            # every PSU of the design for every domain, with zeros where it has no rows
+            """u AS (
+  SELECT g.year, d.stratum, coalesce(wy, 0) AS ut, coalesce((wy - all_wy / all_w * w) / all_w, 0) AS um
+  FROM g CROSS JOIN (SELECT DISTINCT stratum, PSU FROM p WHERE stratum IS NOT NULL AND PSU IS NOT NULL AND weight IS NOT NULL) d
+  LEFT JOIN (SELECT year, stratum, PSU, sum(weight) AS w, sum(weight * y) AS wy FROM p WHERE y IS NOT NULL GROUP BY year, stratum, PSU) x
+    ON x.year = g.year AND x.stratum = d.stratum AND x.PSU = d.PSU)""",
+        ],
+    ),
+    "A59,A60",
+)
+def q_design_errors(spark, sf):
+    """Share of q26 = 1 by year; one stratum lies in one year alone, one has a single PSU."""
+    p = panel(spark, sf).select(
+        "year", "weight",
+        F.expr("CASE WHEN year = 2003 AND stratum = 'de' THEN 'de2003' ELSE stratum END").alias("stratum"),
+        F.expr("CASE WHEN stratum = 'fr' THEN 'all of fr' ELSE PSU END").alias("PSU"),
+        F.expr("cast(q26 = 1 AS INT)").alias("y"),
+    )
+    out = sv.design_estimates(p, ["year"], "y")
+    return out.select("year", "n", F.round("total", 6).alias("total"), F.round("se_total", 6).alias("se_total"), F.round("mean", 9).alias("mean"), F.round("se_mean", 9).alias("se_mean"))
