@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_blank, pad_counter
@@ -177,6 +177,47 @@ def link_ids(
     return pairs.select(a_id, b_id).distinct()
 
 
+def first_links(
+    a: DataFrame, b: DataFrame, places: tuple[str, ...] = ("state", "county"), null_safe: tuple[str, ...] = ("county",),
+    a_id: str = "femaID", b_id: str = "emdatID", day: str = "Day",
+) -> DataFrame:
+    """A28 + A32 on spans: the distinct ids of the filled event map with the first day of each, (a_id, b_id, places[0], day);
+    equal to grouping the filled day map, without a day row.
+
+    ``a_id`` names one span of ``a``, as the row ids of A09 do.  A pair's first day is the first of its overlap.  Filling adds days: those before a
+    matched day, back to the previous matched day or the span's begin, go to the smallest ``b_id`` that starts there.  A span
+    of ``a`` without a match has a row of its own, and so has a span of ``b`` with a day that nothing covers.
+    What is already covered is a running maximum over the overlaps of one span, reduced to one row a day before."""
+    place = places[0]
+    left = a.filter(F.col("end_date") >= F.col("begin_date")).select(
+        a_id, *places, F.col("begin_date").alias("__lb"), F.col("end_date").alias("__le")
+    )
+    right = b.filter(F.col("end_date") >= F.col("begin_date")).select(b_id, *places, "begin_date", "end_date")
+    pairs = match_spans(left, right, list(places), null_safe_keys=list(null_safe), a_begin="__lb", a_end="__le")
+    pairs = materialize(pairs.drop("__le", "overlap_days"), "links")
+    none = F.lit(None).cast("string")
+    own = pairs.select(a_id, b_id, place, F.col("overlap_begin").alias(day))
+
+    def reached(keys: list[str], begin: str) -> Column:
+        before = Window.partitionBy(*keys).orderBy("overlap_begin").rowsBetween(Window.unboundedPreceding, -1)
+        return F.greatest(F.max("__until").over(before), F.date_sub(F.col(begin), 1))  # skips the null of the first row
+
+    starts = pairs.groupBy(a_id, place, "__lb", "overlap_begin").agg(F.min(b_id).alias(b_id), F.max("overlap_end").alias("__until"))
+    starts = starts.withColumn("__reached", reached([a_id], "__lb")).filter(F.col("overlap_begin") > F.date_add("__reached", 1))
+    filled = starts.select(a_id, b_id, place, F.date_add("__reached", 1).alias(day))
+    alone = left.join(pairs.select(a_id).distinct(), a_id, "left_anti").select(a_id, none.alias(b_id), place, F.col("__lb").alias(day))
+    span = [b_id, *places, "begin_date", "end_date"]
+    covers = pairs.groupBy(*span, "overlap_begin").agg(F.max("overlap_end").alias("__until"))
+    covers = covers.withColumn("__reached", reached(span, "begin_date"))
+    hole = F.when(F.col("overlap_begin") > F.date_add("__reached", 1), F.date_add("__reached", 1))
+    covers = covers.groupBy(*span).agg(F.min(hole).alias("__hole"), F.max("__until").alias("__until"))
+    after = F.when(F.col("__until") < F.col("end_date"), F.date_add("__until", 1))
+    uncovered = join_null_safe(right.distinct(), covers, span, "left")
+    uncovered = uncovered.withColumn(day, F.when(F.col("__until").isNull(), F.col("begin_date")).otherwise(F.least("__hole", after)))
+    rest = uncovered.filter(F.col(day).isNotNull()).select(none.alias(a_id), b_id, place, day)
+    return own.unionByName(filled).unionByName(alone).unionByName(rest).groupBy(a_id, b_id, place).agg(F.min(day).alias(day))
+
+
 def event_classes(
     pairs: DataFrame, first_days: DataFrame, a_id: str = "femaID", b_id: str = "emdatID", key: str = "eventKey", pad: int = 4
 ) -> DataFrame:

@@ -102,9 +102,16 @@ def composite_map(spark, sf):
     return cut_lineage(ky.composite_id(filled_map(spark, sf)), "composite_map")
 
 
+@stage
+def linked_ids(spark, sf):
+    """The ids of the filled event map with their first day, found on spans."""
+    links = ky.first_links(fema_spans(spark, sf), impact_places(spark, sf).withColumnRenamed("eventid", "emdatID"))
+    return cut_lineage(ky.composite_id(links), "linked_ids")
+
+
 @stage
 def key_table(spark, sf):
-    return cut_lineage(ky.mint_keys(composite_map(spark, sf)), "keys")
+    return cut_lineage(ky.mint_keys(linked_ids(spark, sf)), "keys")
 
 
 def key_map(spark, sf):
@@ -230,8 +237,7 @@ FULL OUTER JOIN (SELECT DISTINCT emdatID AS kid, eventKey FROM keys WHERE emdatI
     "A37",
 )
 def q_id_map(spark, sf):
-    cm = composite_map(spark, sf)
-    return ky.id_map(cm, ky.mint_keys(cm))
+    return ky.id_map(linked_ids(spark, sf), key_table(spark, sf))
 
 
 CTE["id_classes"] = """id_links AS MATERIALIZED (

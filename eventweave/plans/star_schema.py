@@ -12,8 +12,7 @@ declarations (+ incidents) and impacts, as span tables
 * ``fema_hazard_cluster`` / ``emdat_hazard_cluster``  Source, incident_type, hazard_cluster
 * ``hazard_report`` the hierarchy as given
 
-Stages are written once under ``spark.checkpoint.dir`` (spans, event map,
-filled map, keys) the way the reference saves files between its scripts.
+Stages are written once under ``spark.checkpoint.dir`` (spans, linked ids, keys) the way the reference saves files between its scripts.
 """
 
 from __future__ import annotations
@@ -90,11 +89,7 @@ def build_star_schema(
     i = sequence_id(impacts, "eventid", ["begin_date", "state", "county", "end_date"], 4, out="emdatID")
     i = cut_lineage(expand_counties(i, counties), "impacts")
 
-    a_days = sp.expand_days(d).select("Day", "state", "county", "femaID")
-    b_days = sp.expand_days(i).select("Day", "state", "county", "emdatID")
-    em = cut_lineage(sp.event_map(a_days, b_days), "event_map")
-    filled = ky.fill_updown(em, "femaID", "emdatID", ["Day", "emdatID asc nulls last"], fill_null_key=False)
-    comp = cut_lineage(ky.composite_id(filled), "composite_map")
+    comp = cut_lineage(ky.composite_id(ky.first_links(d, i)), "linked_ids")
     keys = cut_lineage(ky.mint_keys(comp, existing=existing), "keys")
 
     key_map = (
