@@ -16,35 +16,62 @@ stages, so ``ORACLE_SQL`` is None and the tests hold the pipeline against a plai
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventweave.llm import bfd_shards, containment, entropy_mix, simhash_trie, weak_quality
 from eventweave.llm.shipping import ship
-from eventweave.session import materialize
+from eventweave.session import discard, materialize
 
 ORACLE_SQL = None
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def keeps_other_columns(stage: Callable) -> Callable:
+    """A stage that sees the columns of ``documents`` under their names and any others under
+    neutral ones, so that no name a stage works with can clash; they come back as they were."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        others = [c for c in docs.columns if c not in COLUMNS]
+        aside = {c: f"other_{i}" for i, c in enumerate(others)}
+        out = stage(spark, docs.select(*[F.col(f"`{c}`").alias(aside.get(c, c)) for c in docs.columns]), sf_dir)
+        back = {v: k for k, v in aside.items()}
+        added = {c.lower() for c in out.columns if c not in back}
+        # a column that the stage adds takes the place of one of its name
+        return out.select(*[F.col(c).alias(back.get(c, c)) for c in out.columns if back.get(c, "").lower() not in added])
+
+    return run_stage
 
 
+@keeps_other_columns
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     return weak_quality.accepted(docs, weak_quality.fit(docs))
 
 
+@keeps_other_columns
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     return simhash_trie.one_of_each(docs)
 
 
+@keeps_other_columns
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     return containment.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@keeps_other_columns
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     return entropy_mix.mix(docs)
 
 
+@keeps_other_columns
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship(spark)
     added = ["size", "shard", "slot"]  # in place of columns of these names
@@ -61,8 +88,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each stage's result is a written table."""
+    """All stages over ``documents``; each stage's result is a written table, released once the next is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    written = None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        if written is not None:
+            discard(written)
+        written = docs
     return STAGES[-1][1](spark, docs, sf_dir)
