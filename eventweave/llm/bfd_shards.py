@@ -238,11 +238,11 @@ def text_columns(docs: DataFrame) -> DataFrame:
 
 
 def pack(sized: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """``sized`` (size, text_md5, doc_id, any columns) with ``shard`` and ``slot``."""
-    return _slots(_assigned(sized, "text_md5", "size", lambda c: pack_classes(c, shards)), ["doc_id", "text_md5"])
+    """``sized`` (size, text_md5, doc_id, any columns) with ``shard`` and ``slot``, in place of columns of these names."""
+    return _slots(_assigned(sized.drop("shard", "slot"), "text_md5", "size", lambda c: pack_classes(c, shards)), ["doc_id", "text_md5"])
 
 
 def pack_capacity(sized: DataFrame, capacity: int) -> DataFrame:
     """``sized`` with ``shard`` and ``slot``: shards of ``capacity`` bytes, as few as the method
     finds (a group above the capacity fills one alone)."""
-    return _slots(_assigned(sized, "text_md5", "size", lambda c: best_fit_classes(c, capacity)), ["doc_id", "text_md5"])
+    return _slots(_assigned(sized.drop("shard", "slot"), "text_md5", "size", lambda c: best_fit_classes(c, capacity)), ["doc_id", "text_md5"])
