@@ -33,6 +33,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -122,13 +123,15 @@ class Words:
         out = np.zeros(len(first))
         if len(self.first):
             at = np.minimum(np.searchsorted(self.first, first), len(self.first) - 1)
-            for _ in range(self._ties()):
+            for _ in range(self._ties):
                 hit = (self.first[at] == first) & (self.second[at] == second)
                 out[hit] = self.count[at][hit]
                 at = np.minimum(at + 1, len(self.first) - 1)
         return out
 
+    @cached_property
     def _ties(self) -> int:
+        """The most words that share a first hash; found once, a vocabulary serves many lookups."""
         return int(np.unique(self.first, return_counts=True)[1].max())
 
 
