@@ -12,8 +12,9 @@ counts the distinct longer nodes that end in it, which is how often it would be
 
 Pretrained on a corpus, the trie never goes to one place.  A trie node is a number
 (nine bits a symbol).  All contexts that a symbol can back off to share its last
-context bytes, so the nodes are dealt out by the last two: each task holds whole
-sub-tries (contexts of no or one byte, at most 66,049 nodes, go to all tasks) and
+context bytes, so the nodes are dealt out by the last two, or by the last three where more than
+``CROWD`` nodes share two: each task holds whole sub-tries (contexts of no or one byte, at most
+66,049 nodes, and the 257 nodes at most of each crowded context of two go to all tasks) and
 finds the cost of every distinct deepest node (a symbol in its longest context) that
 any document mentions.  Documents are scored in blocks of a bounded number of bytes:
 the pass that counts writes, for each block, its texts (compressed) and the distinct
@@ -38,7 +39,7 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.taskcontext import TaskContext
@@ -56,6 +57,8 @@ BLOCK = 32 << 20
 PIECE = 1 << 19
 #: distinct nodes or words of pieces that wait to be merged
 PENDING = 1 << 19
+#: nodes of one task that finds costs; contexts of two symbols with more are split by a third
+CROWD = 1 << 20
 
 
 # ------------------------------------------------------------------ inside a task
@@ -71,10 +74,12 @@ def windows(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarr
     body = np.ones(len(symbol), dtype=bool)
     body[at[1:] - 1] = False
     symbol[body] = B.LOWER[data].astype(np.int64) + 1
-    place = np.arange(len(symbol)) - np.repeat(at[:-1], np.diff(at))
     node = symbol.copy()
     for back in range(1, order + 1):
-        node[back:] |= np.where(place[back:] >= back, symbol[:-back] << (BITS * back), 0)
+        node[back:] |= symbol[:-back] << (BITS * back)
+    for place in range(order):  # a row's first symbols see none of the row before
+        here = at[:-1][np.diff(at) > place] + place
+        node[here] &= _mask(place + 1)
     return node, at
 
 
@@ -92,18 +97,48 @@ def _symbols(node: np.ndarray, most: int) -> np.ndarray:
 
 def _merged(node: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct nodes, sorted, with their summed counts; sums runs of the sorted nodes, which takes half the memory of
-    numbering them."""
+    numbering them.  The stable sort merges parts that are sorted already."""
     if not len(node):
         return node, n
-    order = np.argsort(node)
+    order = np.argsort(node, kind="stable")
     node, n = node[order], n[order]
     del order
-    new = np.ones(len(node), dtype=bool)
-    np.not_equal(node[1:], node[:-1], out=new[1:])
-    at = np.flatnonzero(new)
+    at = _run_starts(node)
     return node[at], np.add.reduceat(n, at).astype(float)
 
 
+def _run_starts(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    new = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
+def _counted(node: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct nodes, sorted, and how many of each are marked; the mark is the sorted number's last bit."""
+    both = (node << 1) | train
+    both.sort()
+    node = both >> 1
+    at = _run_starts(node)
+    return node[at], np.add.reduceat(both & 1, at).astype(float)
+
+
+def _places(known: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """``searchsorted`` in order of ``wanted``: neighbours in it are neighbours in memory."""
+    order = np.argsort(wanted)
+    out = np.empty(len(wanted), dtype=np.int64)
+    out[order] = np.searchsorted(known, wanted[order])
+    return out
+
+
+def _spelled(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The bytes of the words between ``start`` and ``end``."""
+    border = np.zeros(len(start) + 1, dtype=np.int64)
+    np.cumsum(end - start, out=border[1:])
+    body = data[np.repeat(start - border[:-1], end - start) + np.arange(border[-1])]
+    return pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(border), pa.py_buffer(body)]).cast(pa.binary())
+
+
 class Words:
     """Distinct words with counts, told apart by two 64-bit hashes; ``words`` has their bytes."""
 
@@ -128,7 +163,7 @@ class Words:
         """Counts of words given by their hashes, 0 for unknown ones; needs words in order of both hashes."""
         out = np.zeros(len(first))
         if len(self.first):
-            at = np.minimum(np.searchsorted(self.first, first), len(self.first) - 1)
+            at = np.minimum(_places(self.first, first), len(self.first) - 1)
             for _ in range(self._ties):
                 hit = (self.first[at] == first) & (self.second[at] == second)
                 out[hit] = self.count[at][hit]
@@ -146,9 +181,10 @@ class Trie:
     for each context what it offers and what its shorter context has left after exclusion.
 
     ``deepest``, ``n``: deepest nodes and corpus counts.  ``shallow``: nodes of one and two
-    symbols with their counts where these come from the whole trie (else they are counted here)."""
+    symbols with their counts where these come from the whole trie (else they are counted here);
+    ``crowded``: the nodes of three symbols below split contexts, likewise."""
 
-    def __init__(self, deepest: np.ndarray, n: np.ndarray, order: int, shallow: dict[int, tuple] | None = None):
+    def __init__(self, deepest: np.ndarray, n: np.ndarray, order: int, shallow: dict[int, tuple] | None = None, crowded: tuple | None = None):
         self.order = order
         known = n > 0
         deepest, n = deepest[known], n[known].astype(float)
@@ -161,7 +197,11 @@ class Trie:
             else:  # its own corpus counts, and one for each longer node that ends in it
                 own = size == k
                 ends = longer & _mask(k)
-                self.level[k] = _merged(np.concatenate([deepest[own], ends]), np.concatenate([n[own], np.ones(len(ends))]))
+                node, count = np.concatenate([deepest[own], ends]), np.concatenate([n[own], np.ones(len(ends))])
+                if k == 3 and crowded is not None:  # here only in part: the whole trie's take their place
+                    rest = ~np.isin(node >> BITS, crowded[0] >> BITS)
+                    node, count = np.concatenate([node[rest], crowded[0]]), np.concatenate([count[rest], crowded[1]])
+                self.level[k] = _merged(node, count)
             longer = self.level[k][0]
         self.context: dict[int, tuple] = {}
         for k in range(1, order + 2):  # contexts of k - 1 symbols
@@ -274,9 +314,8 @@ def _blocks(docs: DataFrame, order: int, block_bytes: int) -> tuple[DataFrame, D
                 held += len(data) + part.num_rows
                 train = ~part.column("held_out").to_numpy(zero_copy_only=False)
                 node, at = windows(data, offsets, order)
-                code, distinct = pd.factorize(node)
-                nodes.append((distinct, np.bincount(code, np.repeat(train, np.diff(at)), len(distinct))))
-                del node, code
+                nodes.append(_counted(node, np.repeat(train, np.diff(at)).astype(np.int64)))
+                del node
                 if sum(len(x) for x, _ in nodes[1:]) > PENDING:
                     nodes = [_merged(*(np.concatenate(x) for x in zip(*nodes, strict=True)))]
                 lower = B.LOWER[data]
@@ -287,10 +326,8 @@ def _blocks(docs: DataFrame, order: int, block_bytes: int) -> tuple[DataFrame, D
                     code, at = np.unique(hashes[0], return_index=True, return_inverse=True)[2:0:-1]
                     if not (hashes[1][at][code] == hashes[1]).all():
                         at, code = np.arange(len(start)), None  # rare: leave all to the merge
-                    raw = lower.tobytes()
-                    spelled = pa.array([raw[i:j] for i, j in zip(start[at].tolist(), end[at].tolist(), strict=True)], pa.binary())
                     count = of if code is None else np.bincount(code, of, len(at)).astype(np.int64)
-                    words.append(Words(hashes[0][at], hashes[1][at], count, spelled))
+                    words.append(Words(hashes[0][at], hashes[1][at], count, _spelled(lower, start[at], end[at])))
                     if sum(len(w.count) for w in words[1:]) > PENDING:
                         words = [Words.merged(words)]
                 texts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.copy()), pa.py_buffer(lower)])
@@ -315,7 +352,7 @@ def _blocks(docs: DataFrame, order: int, block_bytes: int) -> tuple[DataFrame, D
     return part("text", "texts", "n"), part("node", "node", "n"), part("word", "word", "n")
 
 
-def node_costs(counted: DataFrame, order: int = ORDER) -> DataFrame:
+def node_costs(counted: DataFrame, order: int = ORDER, crowd: int = CROWD) -> DataFrame:
     """(known, value): log10 probability of every distinct deepest node of (node, n), where
     n is its count in training (0: only mentioned by documents to score)."""
     counted = materialize(counted.groupBy("node").agg(F.sum("n").alias("n")), "ppm_nodes")
@@ -331,17 +368,33 @@ def node_costs(counted: DataFrame, order: int = ORDER) -> DataFrame:
     ends = arrays[2][0] & _mask(1)
     arrays[1] = _merged(np.concatenate([arrays[1][0], ends]), np.concatenate([arrays[1][1], np.ones(len(ends))]))
     shallow = {k: v for k, v in arrays.items() if k <= order + 1}
+    # contexts of two symbols with too many nodes for a task, and the nodes of three symbols below them
+    last_two = F.shiftright("node", BITS).bitwiseAND(F.lit(_mask(2)))
+    sizes = counted.groupBy(last_two.alias("context")).agg(F.count(F.lit(1)).alias("size")).agg(
+        F.coalesce(F.sum("size"), F.lit(0)).alias("all"), F.collect_list(F.when(F.col("size") > crowd, F.col("context"))).alias("split")
+    )
+    size, split = sizes.first()
+    split = [c for c in split if c >= 1 << BITS] if order > 2 else []
+    crowded = None
+    if split:
+        below = known.filter(last_two.isin(split))
+        four = below.filter(F.col("node") >= (1 << (3 * BITS))).select(ends_in(4).alias("node")).distinct()
+        three = four.select(ends_in(3).alias("node"), F.lit(1).alias("n")).unionByName(below.filter(exactly(3)))
+        rows = three.groupBy("node").agg(F.sum("n").alias("n")).collect()
+        crowded = _merged(np.array([r["node"] for r in rows], dtype=np.int64), np.array([r["n"] for r in rows], dtype=float))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(list(batches), pa.schema([("node", pa.int64()), ("n", pa.int64())]))
         node, n = (table.column(c).to_numpy() for c in ("node", "n"))
         if len(node):
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(Trie(node, n, order, shallow).log10(node))], ["known", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(Trie(node, n, order, shallow, crowded).log10(node))], ["known", "value"])
         del table, node, n
         B.release()
 
-    # whole sub-tries: nodes whose contexts end in the same two symbols
-    dealt = counted.repartition(F.shiftright("node", BITS).bitwiseAND(F.lit(_mask(2))))
+    # whole sub-tries: nodes whose contexts end in the same two symbols, or three where two are crowded
+    last_three = F.shiftright("node", BITS).bitwiseAND(F.lit(_mask(3)))
+    sub_trie = F.when(last_two.isin(split), last_three).otherwise(last_two) if split else last_two
+    dealt = counted.repartition(max(8, -(-2 * size // crowd)), sub_trie)
     return dealt.select("node", "n").mapInArrow(run, "known long, value double")
 
 
@@ -353,18 +406,16 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: in
     given = docs.select("doc_id", "text", held_out.alias("held_out"))
     texts, nodes, words = _blocks(given, order, block_bytes)
     costs = materialize(node_costs(nodes.select("node", "n"), order), "ppm_costs")
-    # a word has one row a block, so its whole count is a window over as many rows as there are blocks at most
-    total_of = F.sum("n").over(Window.partitionBy("word"))
-    # with a row number to count distinct words without another shuffle
-    nth = F.row_number().over(Window.partitionBy("word").orderBy("block"))
-    spoken = words.select("block", "word", "n").withColumn("value", total_of).withColumn("nth", nth)
-    spoken = materialize(spoken.filter("value > 0").select("block", "word", "value", (F.col("nth") == 1).alias("first")), "ppm_words")
+    # totals by combined aggregation; joined back, so that a word of every block is no group of one task
+    totals = words.groupBy(F.col("word").alias("spelling")).agg(F.sum("n").alias("value")).filter("value > 0")
+    totals = materialize(totals, "ppm_words")
     ends = texts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    total, kinds = spoken.filter("first").agg(F.coalesce(F.sum("value"), F.lit(0)), F.count(F.lit(1))).first()
+    total, kinds = totals.agg(F.coalesce(F.sum("value"), F.lit(0)), F.count(F.lit(1))).first()
     train_tokens, distinct = total + ends, kinds + (1 if ends else 0)
     unseen = -math.log10(train_tokens + distinct + 1)
     answers = nodes.select("block", "node").join(costs, F.col("node") == F.col("known"))
     answers = answers.select("block", "node", F.lit(None).cast("binary").alias("word"), "value")
+    spoken = words.select("block", "word").join(totals, F.col("word") == F.col("spelling"))
     heard = spoken.select("block", F.lit(None).cast("long").alias("node"), "word", F.col("value").cast("double").alias("value"))
 
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
@@ -387,7 +438,7 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: in
             data, offsets = B.buffers(piece.column("text"))
             node, at = windows(data, offsets, order)
             code, deepest = pd.factorize(node)
-            out["score"].append(B.row_sums(value[np.searchsorted(known, deepest)][code], at))
+            out["score"].append(B.row_sums(value[_places(known, deepest)][code], at))
             start, end, first = B.words(data, offsets)
             c = np.zeros(len(start))
             if vocabulary is not None and len(start):

@@ -134,6 +134,20 @@ def test_ppm_matches_brute_force(spark):
     assert ppm.score(_empty(spark), ppm.held_out_fold()).count() == 0
 
 
+def test_ppm_costs_of_split_sub_tries(spark):
+    """Crowded contexts of two symbols are dealt by a third; the costs are those of the whole trie."""
+    rng = np.random.default_rng(5)
+    text = "".join(rng.choice(list("abcd "), 4_000, p=[0.5, 0.2, 0.1, 0.1, 0.1]).tolist()).encode()
+    node, _ = ppm.windows(np.frombuffer(text, dtype=np.uint8), np.array([0, 1_500, 1_500, 4_000]), ppm.ORDER)
+    node, n = np.unique(node, return_counts=True)
+    n[::7] = 0  # only mentioned
+    expected = dict(zip(node.tolist(), ppm.Trie(node, n, ppm.ORDER).log10(node).tolist(), strict=True))
+    counted = spark.createDataFrame([(int(a), int(b)) for a, b in zip(node, n, strict=True)], "node long, n long")
+    for crowd in (10, 100, ppm.CROWD):
+        found = {r["known"]: r["value"] for r in ppm.node_costs(counted, ppm.ORDER, crowd).collect()}
+        assert found == pytest.approx(expected, abs=1e-9)
+
+
 def test_ppm_without_training_rows(spark):
     from pyspark.sql import functions as F
 
