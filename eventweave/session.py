@@ -96,11 +96,12 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return materialize(df, name)
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None, compression: str | None = None) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     Used between pipeline stages (spans, event map, keys) the way the reference
     saves files between scripts; the written table is also a restart point.
+    ``compression``: the files' codec where the session's own isn't wanted.
     """
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
@@ -108,6 +109,8 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if compression:
+        w = w.option("compression", compression)
     w.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
