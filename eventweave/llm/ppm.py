@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.taskcontext import TaskContext
 
-from ..session import materialize
+from ..session import discard, materialize
 from . import bytesops as B
 
 ORDER = 5
@@ -59,6 +59,8 @@ PIECE = 1 << 19
 PENDING = 1 << 19
 #: nodes of one task that finds costs; contexts of two symbols with more are split by a third
 CROWD = 1 << 20
+#: zstd level of packed texts, which are written and shuffled once each: a sixth smaller than at level 1
+LEVEL = 6
 
 
 # ------------------------------------------------------------------ inside a task
@@ -292,7 +294,7 @@ def _blocks(docs: DataFrame, order: int, block_bytes: int) -> tuple[DataFrame, D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         context = TaskContext.get()
         name = (context.partitionId() if context else 0) << 24  # its rows are what makes a block, not its number
-        packed = pa.ipc.IpcWriteOptions(compression="zstd")
+        packed = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=LEVEL))
         nodes: list[tuple[np.ndarray, np.ndarray]] = []
         words: list[Words] = []
         held = 0
@@ -347,15 +349,14 @@ def _blocks(docs: DataFrame, order: int, block_bytes: int) -> tuple[DataFrame, D
         return pa.RecordBatch.from_arrays([pa.array([what] * size, pa.string()), pa.array(np.full(size, block)), *filled], ["what", "block", *types])
 
     schema = "what string, block long, texts binary, node long, word binary, n long"
-    written = materialize(docs.mapInArrow(run, schema), "ppm_blocks", partition_by=["what"])
+    written = materialize(docs.mapInArrow(run, schema), "ppm_blocks", partition_by=["what"], compression="zstd")
     part = lambda what, *cols: written.filter(F.col("what") == what).select("block", *cols)
     return part("text", "texts", "n"), part("node", "node", "n"), part("word", "word", "n")
 
 
 def node_costs(counted: DataFrame, order: int = ORDER, crowd: int = CROWD) -> DataFrame:
-    """(known, value): log10 probability of every distinct deepest node of (node, n), where
-    n is its count in training (0: only mentioned by documents to score)."""
-    counted = materialize(counted.groupBy("node").agg(F.sum("n").alias("n")), "ppm_nodes")
+    """(known, value): log10 probability of every deepest node of (node, n), distinct nodes, where
+    n is a node's count in training (0: only mentioned by documents to score)."""
     known = counted.filter("n > 0")
     ends_in = lambda k: F.col("node").bitwiseAND(F.lit(_mask(k)))
     exactly = lambda k: (F.col("node") >= (1 << (BITS * (k - 1)))) & (F.col("node") < (1 << (BITS * k)))
@@ -405,9 +406,11 @@ def score(docs: DataFrame, held_out: Column, order: int = ORDER, block_bytes: in
     log10) and score (PPM log10), both over the whole lower-cased text and its end."""
     given = docs.select("doc_id", "text", held_out.alias("held_out"))
     texts, nodes, words = _blocks(given, order, block_bytes)
-    costs = materialize(node_costs(nodes.select("node", "n"), order), "ppm_costs")
+    counted = materialize(nodes.groupBy("node").agg(F.sum("n").alias("n")), "ppm_nodes")
+    costs = materialize(node_costs(counted, order), "ppm_costs")
+    discard(counted)
     # totals by combined aggregation; joined back, so that a word of every block is no group of one task
-    totals = words.groupBy(F.col("word").alias("spelling")).agg(F.sum("n").alias("value")).filter("value > 0")
+    totals = words.filter("n > 0").groupBy(F.col("word").alias("spelling")).agg(F.sum("n").alias("value"))
     totals = materialize(totals, "ppm_words")
     ends = texts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     total, kinds = totals.agg(F.coalesce(F.sum("value"), F.lit(0)), F.count(F.lit(1))).first()
