@@ -12,7 +12,8 @@ The three tables are grouped aggregations over all rows of the text-only posteri
 (soft counts); a row's own share is taken out of its domain and host before it is judged.
 
 The text model is fitted on a bounded sample: at most ``TRAIN_ROWS`` distinct labelled documents,
-chosen by a hash of id, text and label.  It has ``BUCKETS`` numbers a language.
+chosen by a hash of id, text and label.  It has ``BUCKETS`` numbers a language.  The languages are
+an argument; ``label_languages`` takes them from the labels of all rows, the ``MOST_LANGUAGES`` most frequent at most.
 
 Edge cases: a null or empty text has no trigrams, so only the other evidence counts (and
 ``text_lang`` is null); a null or
@@ -35,7 +36,9 @@ from ..session import materialize
 from . import bytesops as B
 from .sampling import distinct_sample
 
+#: languages of a table without labels
 LANGUAGES = ("de", "en", "es", "fr")
+MOST_LANGUAGES = 64
 TRAIN_ROWS = 20_000
 PARTS = 8
 BUCKETS = 1 << 15
@@ -64,9 +67,17 @@ def trigrams(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return code[inside], count[np.minimum(offsets, len(code))]
 
 
+def label_languages(labelled: DataFrame, most: int = MOST_LANGUAGES) -> tuple[str, ...]:
+    """The languages of ``labelled`` (lang), in lower case and in order: of its labels the ``most`` frequent, ties to the
+    first in order; ``LANGUAGES`` where no row has a label."""
+    label = F.lower(F.trim("lang"))
+    counts = labelled.filter(label != "").groupBy(label.alias("lang")).agg(F.count(F.lit(1)).alias("rows"))
+    return tuple(sorted(r["lang"] for r in counts.orderBy(F.col("rows").desc(), "lang").limit(most).collect())) or LANGUAGES
+
+
 def fit_text(labelled: DataFrame, languages: tuple = LANGUAGES, train_rows: int = TRAIN_ROWS) -> np.ndarray:
     """(languages, BUCKETS) log probabilities from a bounded sample of ``labelled`` (doc_id, text, lang)."""
-    known = labelled.select("doc_id", "text", "lang").filter(F.col("lang").isin(*languages))
+    known = labelled.select("doc_id", "text", F.lower(F.trim("lang")).alias("lang")).filter(F.col("lang").isin(*languages))
     chosen = distinct_sample(known, train_rows, "language_sample")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,4 +180,4 @@ def page_rows(pages: DataFrame) -> DataFrame:
 
 def document_rows(docs: DataFrame) -> DataFrame:
     """(doc_id, text, declared, host) of ``documents``: the declared language and the source as host."""
-    return docs.select("doc_id", "text", F.lower("lang").alias("declared"), F.col("source").alias("host"))
+    return docs.select("doc_id", "text", F.lower(F.trim("lang")).alias("declared"), F.col("source").alias("host"))

@@ -23,11 +23,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages and all documents, one row each (the id of the other table is null)."""
     docs = _table(spark, sf_dir, "documents")
-    model = language_id.fit_text(docs.select("doc_id", "text", "lang"))
+    languages = language_id.label_languages(docs)
+    model = language_id.fit_text(docs.select("doc_id", "text", "lang"), languages)
     no_id = F.lit(None).cast("long")
     pages = language_id.page_rows(_table(spark, sf_dir, "pages")).withColumn("doc_id", no_id)
     rows = language_id.document_rows(docs).withColumn("page_id", no_id).unionByName(pages)
-    found = language_id.identify(rows, model)
+    found = language_id.identify(rows, model, languages)
     return found.select("doc_id", "page_id", "declared", "text_lang", "lang", "posterior")
 
 

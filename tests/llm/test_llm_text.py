@@ -134,6 +134,21 @@ def test_ppm_matches_brute_force(spark):
     assert ppm.score(_empty(spark), ppm.held_out_fold()).count() == 0
 
 
+def test_languages_come_from_the_labels(spark):
+    """Rows of a label beside the four of the given tables are learned and found, without a declaration too."""
+    sentence = {"it": "il gatto dorme sulla sedia e la bambina legge", "en": "the cat sleeps on the chair and the girl reads", "fi": "kissa nukkuu tuolilla ja tyttö lukee kirjaa"}
+    rows = [(i, f"{sentence[x]} {i % 7}", x.upper() if i % 2 else f" {x}", "s") for i, x in enumerate(list(sentence) * 20)] + [(90, "?", None, "s"), (91, "?", " ", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    languages = language_id.label_languages(docs)
+    assert languages == ("en", "fi", "it") and language_id.label_languages(docs, most=2) == ("en", "fi")
+    assert language_id.label_languages(docs.limit(0)) == language_id.LANGUAGES
+    model = language_id.fit_text(docs, languages)
+    blind = language_id.document_rows(docs).withColumn("truth", language_id.F.col("declared"))
+    for asked in (blind, blind.withColumn("declared", language_id.F.lit(None).cast("string"))):
+        found = language_id.identify(asked.filter("doc_id < 90"), model, languages).collect()
+        assert len(found) == 60 and all(r["lang"] == r["truth"] for r in found)
+
+
 def test_ppm_costs_of_split_sub_tries(spark):
     """Crowded contexts of two symbols are dealt by a third; the costs are those of the whole trie."""
     rng = np.random.default_rng(5)
