@@ -90,7 +90,7 @@ def build_star_schema(
     i = cut_lineage(expand_counties(i, counties), "impacts")
 
     comp = cut_lineage(ky.composite_id(ky.first_links(d, i)), "linked_ids")
-    keys = cut_lineage(ky.mint_keys(comp, existing=existing), "keys")
+    keys = cut_lineage(ky.mint_keys(comp, existing=existing, grouped=True), "keys")
 
     key_map = (
         keys.filter(F.col("femaID") != "").select(F.col("femaID").alias("id"), "eventKey")
