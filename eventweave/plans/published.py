@@ -25,6 +25,8 @@ from ..sources.bucketed import open_bucketed, overwrite_partitions, table_name,
 KEY, YEAR = "eventKey", "Year"
 #: bytes of one bucket of a year's largest table
 BUCKET_BYTES = 128 << 20
+#: rows of a bucket, over all years, of the largest table
+BUCKET_ROWS = 1 << 20
 TABLES = ("disastDates", "disastCasualties", "disastTypes", "disastLocations")
 
 
@@ -33,6 +35,11 @@ def buckets_for(total_bytes: int, years: int = 1) -> int:
     return max(1, math.ceil(total_bytes / max(years, 1) / BUCKET_BYTES))
 
 
+def buckets_for_rows(rows: int, least: int = 1) -> int:
+    """A number of buckets that keeps a bucket, read over all years by one task, at ``BUCKET_ROWS`` rows or fewer on average."""
+    return max(least, math.ceil(rows / BUCKET_ROWS))
+
+
 def new_folder(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/published-{uuid.uuid4().hex[:8]}"
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from . import published as pb
-from .base import REGISTRY, register, star_casualties, star_dates, star_locations, star_types, stage
+from .base import REGISTRY, register, star_casualties, star_dates, star_locations, star_types, stage, tbl
 from .q_analytics import SEARCH
 
+#: the fewest buckets; larger tables get more, so that a bucket does not grow with the input
 BUCKETS = 8
 
 
@@ -18,7 +19,12 @@ def published_star(spark, sf):
         "disastCasualties": star_casualties(spark, sf),
         "disastLocations": star_locations(spark, sf),
     }
-    return pb.publish(tables, pb.new_folder(spark), BUCKETS)
+    return pb.publish(tables, pb.new_folder(spark), star_buckets(spark, sf))
+
+
+def star_buckets(spark, sf) -> int:
+    """Buckets for the places, the largest table: at most one for each line and each order (counts come from file footers)."""
+    return pb.buckets_for_rows(tbl(spark, sf, "lineitem").count() + tbl(spark, sf, "orders").count(), BUCKETS)
 
 
 @register("event_search_published", REGISTRY["event_search"].sql, "A38-A43,A46")

@@ -25,9 +25,9 @@ RUNTIME_CONF = {
     # side's shuffle stage has run and measured below this size: the size check
     # behind every data-derived broadcast in this library.
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
-    # shuffle partitions are coalesced (or skew-split) towards this size: large
-    # enough that 100 TB is not millions of tasks, small enough to sort in memory
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    # shuffle partitions are coalesced (or skew-split) towards this size.  Sorted or hashed rows take up to ten
+    # times their compressed size: 32 MB keep a task's memory near 300 MB however large the input is
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32MB",
     # scan splits: only the projected columns of a split are decoded, so a
     # 256 MB file split stays well inside a task's memory
     "spark.sql.files.maxPartitionBytes": "256MB",
